@@ -27,9 +27,6 @@ REMOVED_TEXT = "삭제되었습니다."
 REBUILD_HOUR = 18
 REBUILD_MINUTES = 20
 
-# Rows per write of the region update.
-UPDATE_ROWS = 1000
-
 # Fault notice.
 NOTICE_SUBJECT = "전기차 충전소 고장신고내역 접수 안내"
 NOTICE_BODY = """

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import codes, geo, text, times
 from ..functions.lists import ROWS, parse_list, row_ids
 from ..schemas import KEYS
+from .skew import group_apart
 
 
 def stations_in_box(chargers: DataFrame, top, bottom, right, left) -> DataFrame:
@@ -92,7 +93,9 @@ def list_contains(requests: DataFrame, users: DataFrame, field: str, id_at: int)
     )
     hit = requests.join(stored, ["snsid", "appid"], "left")
     count = lambda test: F.coalesce(F.sum(test.cast("bigint")), F.lit(0))
-    return hit.groupBy("snsid", "appid", "item").agg(
+    return group_apart(
+        hit,
+        ["snsid", "appid", "item"],
         count(F.array_contains("_ids", F.col("item"))).alias("exact"),
         count(F.contains("_text", F.col("item"))).alias("raw"),
     )

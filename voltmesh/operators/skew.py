@@ -1,8 +1,12 @@
-"""Running sums, ranks and joins that stay spread out when one key holds most rows.
+"""Running sums, ranks and groups that stay spread out when one key holds most rows.
 
-A plain window puts a whole key into one task. Here the key is cut into buckets
-that follow the order of the rows: each task sees one bucket, the per-bucket
-totals (a small table) give the offsets, and both are added.
+A plain window puts a whole key into one task. Here the key is cut into slices
+that follow the order of the rows: a task sees one slice, the totals per slice
+(a small table) give the offsets, and both are added.
+
+A join on a hot key is split at run time by adaptive execution, unless a later
+step counts on the rows of a key being together; `group_apart` and `repartition`
+keep the later steps from doing so.
 """
 
 from __future__ import annotations
@@ -11,19 +15,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Copies of the one-row-per-key side in a salted join.
-SALTS = 32
-
 
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
-    bucket: Column,
+    slice_by: Column,
     order: Sequence[Column],
     sums: dict[str, Column],
 ) -> DataFrame:
-    """Add inclusive running sums per key. `bucket` must not fall along `order`."""
-    sliced = df.withColumn("_slice", bucket)
+    """Add inclusive running sums per key. `slice_by` must not fall along `order`."""
+    sliced = df.withColumn("_slice", slice_by).repartition(*keys, "_slice")
     inside = (
         Window.partitionBy(*keys, "_slice")
         .orderBy(*order)
@@ -55,30 +56,26 @@ def running_sums(
 def ranked(
     df: DataFrame,
     keys: Sequence[str],
-    bucket: Column,
+    slice_by: Column,
     order: Sequence[Column],
     name: str = "rank",
 ) -> DataFrame:
     """Row number from 1 within each key; the order has to be total."""
-    return running_sums(df, keys, bucket, order, {name: F.lit(1).cast("bigint")})
+    return running_sums(df, keys, slice_by, order, {name: F.lit(1).cast("bigint")})
 
 
-def salted_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    spread: Column,
-    how: str = "inner",
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join rows with a table of one row per key, each hot key over `salts` tasks.
+def group_apart(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """groupBy with a shuffle of its own, after combining rows where they are.
 
-    Used where an aggregate on the same keys follows: there the runtime's own
-    splitting of skewed joins does not apply.
+    Grouping by the keys directly would reuse the layout of a join on them, and
+    then a hot key could not be split in that join.
     """
-    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    grouped = df.groupBy(F.struct(*keys).alias("_key")).agg(*aggregates)
+    return grouped.select("_key.*", *[c for c in grouped.columns if c != "_key"])
+
+
+def distinct_apart(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(F.struct(*columns).alias("_key")).distinct().select("_key.*")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

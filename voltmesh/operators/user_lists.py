@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.lists import dump_items
-from ..functions.times import hour_number
-from .skew import ranked, salted_join
+from ..functions.times import minute_number
+from .skew import group_apart, ranked
 
 PAIR = ["user_id", "item"]
 FLAGS = 6
@@ -53,22 +53,20 @@ def _held(commands: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _placed(entries: DataFrame, newest_first: bool) -> DataFrame:
-    hour = hour_number(F.col("ts"))
+    minute = minute_number(F.col("ts"))
     if newest_first:
-        order, bucket = [F.col("ts").desc(), F.col("event_id").desc()], -hour
+        order, slice_by = [F.col("ts").desc(), F.col("event_id").desc()], -minute
     else:
-        order, bucket = [F.col("ts"), F.col("event_id")], hour
-    return ranked(entries, ["user_id"], bucket, order, "pos")
+        order, slice_by = [F.col("ts"), F.col("event_id")], minute
+    return ranked(entries, ["user_id"], slice_by, order, "pos")
 
 
 def bookmark_entries(commands: DataFrame) -> DataFrame:
     """Items in the list with the add that put them there; a repeated add changes nothing."""
     held = _held(commands).select(*PAIR, "_limit")
     adds = commands.filter(F.col("op") == "add").select(*PAIR, "ts", "event_id")
-    live = salted_join(adds, held, PAIR, F.col("event_id")).filter(
-        F.col("_limit").isNull() | (_at() > F.col("_limit"))
-    )
-    first = live.groupBy(*PAIR).agg(F.min(_at()).alias("_since"))
+    live = adds.join(held, PAIR).filter(F.col("_limit").isNull() | (_at() > F.col("_limit")))
+    first = group_apart(live, PAIR, F.min(_at()).alias("_since"))
     return first.select(
         *PAIR, F.col("_since.ts").alias("ts"), F.col("_since.event_id").alias("event_id")
     )
@@ -97,11 +95,11 @@ def filter_entries(commands: DataFrame) -> DataFrame:
 
     How many copies are left follows from the balance of adds and removes and
     its lowest point; the survivors are the last so many adds. Sums run inside
-    slices of an hour; the slice totals give each slice its start.
+    slices of a minute; the slice totals give each slice its start.
     """
     log = commands.filter(F.col("op").isin("add", "remove")).withColumns(
         {
-            "_slice": hour_number(F.col("ts")),
+            "_slice": minute_number(F.col("ts")),
             "_step": F.when(F.col("op") == "add", 1).otherwise(-1).cast("bigint"),
             "_one": (F.col("op") == "add").cast("bigint"),
         }
@@ -111,7 +109,7 @@ def filter_entries(commands: DataFrame) -> DataFrame:
         .orderBy("ts", "event_id")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    stepped = log.withColumns(
+    stepped = log.repartition(*PAIR, "_slice").withColumns(
         {"_level": F.sum("_step").over(inside), "_nth": F.sum("_one").over(inside)}
     )
     slices = stepped.groupBy(*PAIR, "_slice").agg(

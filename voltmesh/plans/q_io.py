@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.fixed_values import NOTICE_BODY, NOTICE_SUBJECT, UPDATE_ROWS
-from ..functions.times import hour_number
+from ..functions.fixed_values import NOTICE_BODY, NOTICE_SUBJECT
+from ..functions.times import minute_number
 from ..operators import merges, notices, regions, reviews, user_lists
 from ..schemas import CHARGER_FEED, KEYS, STATUS, STATUS_COLUMNS
 from ..session import workspace
@@ -58,7 +58,7 @@ def scan_table(b):
 @query()
 def object_inventory(b):
     path = workspace(b.spark, "objects")
-    b["fx_station"].write.partitionBy("addcd").option("maxRecordsPerFile", UPDATE_ROWS).parquet(path)
+    b["fx_station"].write.parquet(path)
     return tables.object_inventory(b.spark, path)
 
 
@@ -137,22 +137,22 @@ def append_rows(b):
     from {fx_charger} c join {fx_station} s on c.statid = s.statid"""
 )
 def chunked_update(b):
-    """Every row of the update arrives, in files of a thousand rows."""
+    """Every row of the update arrives, in files of a bounded number of rows."""
     missing = b["fx_station"].filter(F.col("addcd").isNull())
     found = missing.select("statid", F.col("code").alias("addcd"))
     chargers = b["fx_charger"].select("statid", "chgerid", "addcd")
     table = sinks.VersionedTable(b.spark, workspace(b.spark, "chunks"))
     updated = merges.keyed_update(chargers, found, ["statid"], ["addcd"])
-    table.publish(updated, max_rows_per_file=UPDATE_ROWS)
+    table.publish(updated, max_rows_per_file=sinks.ROWS_PER_FILE)
     return table.read()
 
 
 @query(
-    """select 1 as id, 1 as ck, floor(epoch(max(ts)) / 3600) * 3600 as time from {events}"""
+    """select 1 as id, 1 as ck, floor(epoch(max(ts)) / 60) * 60 as time from {events}"""
 )
 def ensure_tables(b):
-    """Control row seeded with the hour of the last event; asking again changes nothing."""
-    newest = b["events"].agg((F.max(hour_number(F.col("ts"))) * 3600).alias("t")).first()["t"]
+    """Control row seeded with the minute of the last event; asking again changes nothing."""
+    newest = b["events"].agg((F.max(minute_number(F.col("ts"))) * 60).alias("t")).first()["t"]
     store = status.StatusStore(b.spark, workspace(b.spark, "control"))
     store.ensure_tables(float(newest))
     store.ensure_tables(0.0)

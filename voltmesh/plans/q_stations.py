@@ -7,14 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import codes, geo, text, times
 from ..functions.fixed_values import OVERLAP_BOX
 from ..operators import filters, merges, regions, spatial
+from ..operators.skew import distinct_apart
 from ..schemas import KEYS, STATUS_COLUMNS
 from .bindings import Bindings
 from .registry import query
 
 # A map section and a point on it.
-BOX = (37.606001, 37.307641, 126.700499, 126.406166)
+BOX = (37.606001, 35.307641, 128.700499, 126.406166)
 POINT = (37.571076, 126.99588)
-IN_BOX = "lat <= 37.606001 and lat >= 37.307641 and lng <= 126.700499 and lng >= 126.406166"
+IN_BOX = "lat <= 37.606001 and lat >= 35.307641 and lng <= 128.700499 and lng >= 126.406166"
 
 # Epoch seconds of the run before and of this run: 2024-01-10 00:00:00 and a day and 30 s later.
 LAST_RUN, THIS_RUN = 1704844800, 1704931230
@@ -405,7 +406,7 @@ def station_representative(b):
 
 @query("select distinct statid, lat, lng from {fx_charger}")
 def distinct_lookups(b):
-    return b["fx_charger"].select("statid", "lat", "lng").dropDuplicates()
+    return distinct_apart(b["fx_charger"], "statid", "lat", "lng")
 
 
 # --- column functions ------------------------------------------------------
@@ -448,7 +449,7 @@ def region_level(b):
     )
 
 
-@query()
+@query("select statid, concat(cast(lng as varchar), ',', cast(lat as varchar)) as key from {fx_station}")
 def coord_key(b):
     return b["fx_station"].select("statid", geo.coord_key(F.col("lat"), F.col("lng")).alias("key"))
 

@@ -17,6 +17,7 @@ def get_session(app: str = "voltmesh", cpus: str = "*", **conf: str) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in conf.items():

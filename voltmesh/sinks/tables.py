@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import schema
 
+# Rows per file of a chunked write.
+ROWS_PER_FILE = 1_000_000
+
 _VERSIONS = schema("version BIGINT, upto BIGINT")
 
 

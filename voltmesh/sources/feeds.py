@@ -60,6 +60,10 @@ def missing_pages(totals: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def read_districts(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """The tab-separated district file as it is; region_rows keeps those in force."""
+    """The tab-separated district file as it is; region_rows keeps those in force.
+
+    For a file in a Korean code page pass its Java name, MS949, and set
+    spark.sql.legacy.javaCharsets.
+    """
     reader = spark.read.option("sep", "\t").option("encoding", encoding).schema(REGION_TEXT)
     return reader.csv(path)
