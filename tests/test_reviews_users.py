@@ -66,6 +66,10 @@ def test_edit_needs_every_id(spark):
     )
     rows = {r["no"]: r["review"] for r in reviews.edit(df, asked, reviews.REVIEW_KEY, "review").collect()}
     assert rows == {1: "new", 2: "t"}
+    two = asked.filter("snsid = 1 and reviewid = 'R1'").withColumn("seq", F.lit(1))
+    two = two.unionByName(two.withColumns({"seq": F.lit(2), "review": F.lit("newer")}))
+    last = reviews.edit(df, two, reviews.REVIEW_KEY, "review", [F.col("seq").desc()])
+    assert {r["no"]: r["review"] for r in last.collect()} == {1: "newer", 2: "t"}
 
 
 USER = "sns string, snsid bigint, email string, name string, nickname string, appid string"
@@ -79,6 +83,12 @@ def test_sign_in(spark):
     rows = {r["snsid"]: r for r in users.upsert_users(known, incoming, "x").collect()}
     assert tuple(rows[1]) == ("k", 1, "e1", "n1", "nick", "app")
     assert tuple(rows[2])[:5] == ("k", 2, "e2", "n2", "n2") and len(rows[2]["appid"]) == 20
+    twice = spark.createDataFrame(
+        [("k", 3, "first", "zz", 1), ("k", 3, "second", "aa", 2)],
+        "sns string, snsid bigint, email string, name string, seq int",
+    )
+    row = users.upsert_users(known, twice, "x", F.col("seq")).filter("snsid = 3").first()
+    assert tuple(row)[2:5] == ("second", "aa", "zz")
     again = users.upsert_users(known, incoming, "x")
     answer = {r["snsid"]: r["appid"] for r in users.signed_in(again, incoming).collect()}
     assert answer == {1: "app", 2: rows[2]["appid"]}

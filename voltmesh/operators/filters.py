@@ -82,8 +82,8 @@ def user_field(requests: DataFrame, users: DataFrame, *fields: str) -> DataFrame
 def list_contains(requests: DataFrame, users: DataFrame, field: str, id_at: int) -> DataFrame:
     """Number of user rows (0 or more) whose stored list holds the requested id.
 
-    `exact` tests the ids in the list; `raw` is the plain text search of the
-    stored column, for which M333 is also found in M3333.
+    `exact` tests the ids in the list; `raw` is LIKE '%id%' on the stored text,
+    for which M333 is also found in M3333.
     """
     stored = users.select(
         "snsid",
@@ -97,5 +97,5 @@ def list_contains(requests: DataFrame, users: DataFrame, field: str, id_at: int)
         hit,
         ["snsid", "appid", "item"],
         count(F.array_contains("_ids", F.col("item"))).alias("exact"),
-        count(F.contains("_text", F.col("item"))).alias("raw"),
+        count(text.like_any(F.col("_text"), F.col("item"))).alias("raw"),
     )

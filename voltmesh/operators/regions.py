@@ -90,7 +90,7 @@ def company_dimension(chargers: DataFrame) -> DataFrame:
 
 
 def override_names(companies: DataFrame, names: DataFrame) -> DataFrame:
-    """Replace names from a table of (busiid, businm); the others stay."""
+    """Replace names from a table of (busiid, businm), one row per id; the others stay."""
     fixed = names.select("busiid", F.col("businm").alias("_fixed"))
     return companies.join(fixed, "busiid", "left").select(
         "busiid", F.coalesce("_fixed", "businm").alias("businm")

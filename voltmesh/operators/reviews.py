@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.fixed_values import REMOVED_NICKNAME, REMOVED_TEXT
+from .merges import keyed_update
 from .skew import ranked, running_sums, top_per_key
 
 REVIEW, REPLY = "1", "2"
@@ -126,14 +127,17 @@ def reply_page(table: DataFrame, limit: int = PAGE) -> DataFrame:
 
 
 def edit(
-    table: DataFrame, requests: DataFrame, key: Sequence[str], text: str
+    table: DataFrame,
+    requests: DataFrame,
+    key: Sequence[str],
+    text: str,
+    order: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Set nickname and text of the rows whose id columns all match a request."""
-    right = requests.select(*key, F.struct("nickname", text).alias("_new"))
-    joined = table.join(right, list(key), "left")
-    hit = F.col("_new").isNotNull()
-    value = lambda c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
-    return joined.select(*[value(c) if c in ("nickname", text) else F.col(c) for c in table.columns])
+    """Set nickname and text of the rows whose id columns all match a request.
+
+    With several requests for one row, `order` puts the one that counts first.
+    """
+    return keyed_update(table, requests, key, ["nickname", text], order)
 
 
 def delete_reviews(table: DataFrame, requests: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ids import stable_appid
 from .merges import keyed_update
-from .skew import first_per_key
 
 USER_KEY = ["sns", "snsid"]
 
@@ -14,19 +15,25 @@ USER_KEY = ["sns", "snsid"]
 TAKEN = "1"
 
 
-def upsert_users(users: DataFrame, incoming: DataFrame, salt: str) -> DataFrame:
+def upsert_users(
+    users: DataFrame, incoming: DataFrame, salt: str, order: Column | None = None
+) -> DataFrame:
     """Known users get the new e-mail and name; new ones are added with their name as nickname.
 
-    Of several entries for one new user the first (by e-mail, name) is taken.
+    Of several sign-ins of one user the last by `order` (e-mail and name, if not
+    given) sets e-mail and name; the first gives a new user the nickname.
     """
-    entries = first_per_key(incoming, USER_KEY, [F.col("email"), F.col("name")])
-    fresh = entries.select(*USER_KEY, F.struct("email", "name").alias("_in"))
+    entry = F.struct("email", "name")
+    order = entry if order is None else order
+    fresh = incoming.groupBy(*USER_KEY).agg(
+        F.max_by(entry, order).alias("_in"), F.min_by("name", order).alias("_first")
+    )
     held = users.withColumn("_known", F.lit(True))
     joined = held.join(fresh, USER_KEY, "full_outer")
     known = F.col("_known").isNotNull()
     newest = lambda c: F.coalesce(F.col(f"_in.{c}"), F.col(c)).alias(c)
     first = {
-        "nickname": F.col("_in.name"),
+        "nickname": F.col("_first"),
         "appid": stable_appid(F.col("sns"), F.col("snsid"), salt),
     }
     added = lambda c: F.when(known, F.col(c)).otherwise(first[c]).alias(c)
@@ -56,8 +63,11 @@ def nickname_answers(users: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
-def set_nicknames(users: DataFrame, requests: DataFrame) -> DataFrame:
-    return keyed_update(users, requests, ["snsid", "appid"], ["nickname"])
+def set_nicknames(
+    users: DataFrame, requests: DataFrame, order: Sequence[Column] | None = None
+) -> DataFrame:
+    """Store the new nicknames; with several requests of a user `order` puts the last first."""
+    return keyed_update(users, requests, ["snsid", "appid"], ["nickname"], order)
 
 
 def taken_elsewhere(users: DataFrame, requests: DataFrame) -> DataFrame:

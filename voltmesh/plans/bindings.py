@@ -102,10 +102,14 @@ VIEWS: dict[str, str] = {
             l_returnflag as method,
             l_linestatus as parkingfree,
             case when l_tax > 0.05 then 'late hours' else '' end as note,
-            'N' as limityn, '' as limitdetail, 'N' as delyn, '' as deldetail,
-            row_number() over (partition by l_orderkey, l_linenumber
-                order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) as seq
-        from {{lineitem}}""",
+            'N' as limityn, '' as limitdetail, 'N' as delyn, '' as deldetail, seq
+        from (
+            select l_orderkey, l_linenumber, l_suppkey, l_partkey, l_linestatus, l_returnflag,
+                l_shipdate, l_quantity, l_tax,
+                row_number() over (partition by l_orderkey, l_linenumber
+                    order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) as seq
+            from {{lineitem}}
+        ) as l""",
     "fx_charger": """
         select s.statnm, c.statid, c.chgerid, c.chgertype, s.addr, c.location, s.lat, s.lng, s.addcd,
             c.usetime, c.busiid, c.bnm, c.businm, c.busicall, c.stat, c.statupddt, c.lasttsdt,

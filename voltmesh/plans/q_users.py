@@ -49,7 +49,7 @@ def auth_rows(b):
 @query(
     """select snsid, appid, item,
         cast(contains(bookmark, '"' || item || '"') as bigint) as exact,
-        cast(contains(bookmark, item) as bigint) as raw
+        cast(bookmark like '%' || item || '%' as bigint) as raw
     from {fx_profile}"""
 )
 def user_list_contains(b):
