@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import codes, geo, text, times
 from ..functions.lists import ROWS, parse_list, row_ids
 from ..schemas import KEYS
-from .skew import group_apart
+from .skew import distinct_apart, group_apart
 
 
 def stations_in_box(chargers: DataFrame, top, bottom, right, left) -> DataFrame:
@@ -26,7 +26,7 @@ def regions_in_box(regions: DataFrame, top, bottom, right, left, level: int) ->
 
 def station_detail(chargers: DataFrame, wanted: DataFrame) -> DataFrame:
     """Every column of every charger of the wanted stations (column statid)."""
-    return chargers.join(wanted.select("statid").distinct(), "statid", "left_semi")
+    return chargers.join(distinct_apart(wanted, "statid"), "statid", "left_semi")
 
 
 def regions_by_terms(regions: DataFrame, terms: Sequence[str], limit: int = 3) -> DataFrame:
@@ -68,7 +68,7 @@ def within_lookback(feed: DataFrame, now: Column, last_run: Column) -> DataFrame
 
 def authorised(requests: DataFrame, users: DataFrame, exactly_one: bool = True) -> DataFrame:
     """Requests whose (snsid, appid) matches one user row, or at least one."""
-    counts = users.groupBy("snsid", "appid").agg(F.count("*").alias("_n"))
+    counts = group_apart(users, ["snsid", "appid"], F.count("*").alias("_n"))
     allowed = counts.filter(F.col("_n") == 1 if exactly_one else F.col("_n") > 0)
     return requests.join(allowed, ["snsid", "appid"], "left_semi")
 

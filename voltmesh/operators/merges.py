@@ -84,7 +84,7 @@ def keyed_update(
 
     Without `order` the list has one entry per key already.
     """
-    entries = updates if order is None else first_per_key(updates, keys, order)
+    entries = updates if order is None else first_per_key(updates, keys, order, apart=True)
     right = entries.select(*keys, F.struct(*columns).alias("_new"))
     joined = base.join(right, list(keys), "left")
     value = lambda c: F.when(F.col("_new").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}"))

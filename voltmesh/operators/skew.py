@@ -4,9 +4,11 @@ A plain window puts a whole key into one task. Here the key is cut into slices
 that follow the order of the rows: a task sees one slice, the totals per slice
 (a small table) give the offsets, and both are added.
 
-A join on a hot key is split at run time by adaptive execution, unless a later
-step counts on the rows of a key being together; `group_apart` and `repartition`
-keep the later steps from doing so.
+A join on a hot key is split at run time by adaptive execution if both sides come
+straight from a shuffle and no later step counts on the rows of a key being
+together. Aggregates on the join's own keys, before or after it, are in the way;
+`group_apart` and its relatives give them a shuffle of their own, of rows that
+have been combined already.
 """
 
 from __future__ import annotations
@@ -65,11 +67,7 @@ def ranked(
 
 
 def group_apart(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
-    """groupBy with a shuffle of its own, after combining rows where they are.
-
-    Grouping by the keys directly would reuse the layout of a join on them, and
-    then a hot key could not be split in that join.
-    """
+    """groupBy whose layout a join on the same keys neither takes over nor hands on."""
     grouped = df.groupBy(F.struct(*keys).alias("_key")).agg(*aggregates)
     return grouped.select("_key.*", *[c for c in grouped.columns if c != "_key"])
 
@@ -78,15 +76,23 @@ def distinct_apart(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(F.struct(*columns).alias("_key")).distinct().select("_key.*")
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], apart: bool = False
+) -> DataFrame:
     """One row per key. Spark keeps one row per key and input partition before the shuffle."""
-    return top_per_key(df, keys, order, 1)
+    return top_per_key(df, keys, order, 1, apart=apart)
 
 
 def top_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, name: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    limit: int,
+    name: str | None = None,
+    apart: bool = False,
 ) -> DataFrame:
     """The first `limit` rows of each key, cut down before the shuffle as well."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    by = [F.struct(*keys)] if apart else keys
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     out = df.withColumn("_rank", rank).filter(F.col("_rank") <= limit)
     return out.drop("_rank") if name is None else out.withColumnRenamed("_rank", name)

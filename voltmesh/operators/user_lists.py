@@ -40,11 +40,8 @@ def _held(commands: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
         )
         .filter(F.col("_add").isNotNull())
     )
-    clears = (
-        commands.filter(F.col("op") == "removeall")
-        .groupBy("user_id")
-        .agg(F.max(_at()).alias("_clear"))
-    )
+    removals = commands.filter(F.col("op") == "removeall")
+    clears = group_apart(removals, ["user_id"], F.max(_at()).alias("_clear"))
     joined = per_item.join(clears, "user_id", "left")
     limit = F.greatest("_gone", "_clear")
     last = F.struct(F.col("_add.ts").alias("ts"), F.col("_add.event_id").alias("event_id"))

@@ -46,7 +46,7 @@ _SIGNED = "{BASE64}({UNHEX}('%s') || {BYTES})"
 
 VIEWS: dict[str, str] = {
     "fx_station": f"""
-        select statid, statnm, addr, lat, lng, code,
+        select k, statid, statnm, addr, lat, lng, code,
             case when k % 50 = 0 then '0' when k % 50 = 1 then null else code end as addcd
         from (
             select o.o_orderkey as k,
@@ -84,7 +84,7 @@ VIEWS: dict[str, str] = {
             ) as words
         ) as r""",
     "fx_charger_raw": f"""
-        select concat('S', {_pad('l_orderkey', 7)}) as statid,
+        select l_orderkey as k, concat('S', {_pad('l_orderkey', 7)}) as statid,
             l_linenumber as chgerid,
             cast(l_suppkey % 8 as int) as chgertype,
             concat('GATE ', l_linestatus) as location,
@@ -115,7 +115,7 @@ VIEWS: dict[str, str] = {
             c.usetime, c.busiid, c.bnm, c.businm, c.busicall, c.stat, c.statupddt, c.lasttsdt,
             c.lasttedt, c.nowtsdt, c.output, c.method, cast(substr(s.code, 1, 2) as int) as zcode,
             c.parkingfree, c.note, c.limityn, c.limitdetail, c.delyn, c.deldetail
-        from {fx_charger_raw} c join {fx_station} s on c.statid = s.statid
+        from {fx_charger_raw} c join {fx_station} s on c.k = s.k
         where c.seq = 1""",
     "fx_company": f"select {_pad('s_suppkey', 5)} as busiid, s_name as businm from {{supplier}}",
     "fx_company_names": f"""

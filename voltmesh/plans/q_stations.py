@@ -88,13 +88,14 @@ def nearest_station_search(b):
 
 
 @query(
-    """select statid, min(statnm) as statnm from {fx_charger} where statnm like '%HOUSE%'
-    group by statid order by statid limit 5"""
+    """select statid, chgerid, statnm from (
+        select *, row_number() over (partition by statid order by chgerid) as rn
+        from {fx_charger} where statnm like '%HOUSE%') as s
+    where rn = 1 order by statid limit 5"""
 )
 def limit_n(b):
     found = filters.stations_by_text(b["fx_charger"], "HOUSE")
-    first = found.groupBy("statid").agg(F.min("statnm").alias("statnm"))
-    return first.orderBy("statid").limit(5)
+    return regions.representatives(found, "statnm").orderBy("statid").limit(5)
 
 
 # --- status feed and merges ------------------------------------------------
