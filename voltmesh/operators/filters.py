@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import codes, geo, text, times
 from ..functions.lists import ROWS, parse_list, row_ids
 from ..schemas import KEYS
-from .skew import distinct_apart, group_apart
+from .skew import join_apart
 
 
 def stations_in_box(chargers: DataFrame, top, bottom, right, left) -> DataFrame:
@@ -26,7 +26,7 @@ def regions_in_box(regions: DataFrame, top, bottom, right, left, level: int) ->
 
 def station_detail(chargers: DataFrame, wanted: DataFrame) -> DataFrame:
     """Every column of every charger of the wanted stations (column statid)."""
-    return chargers.join(distinct_apart(wanted, "statid"), "statid", "left_semi")
+    return join_apart(chargers, wanted.select("statid").distinct(), ["statid"], "left_semi")
 
 
 def regions_by_terms(regions: DataFrame, terms: Sequence[str], limit: int = 3) -> DataFrame:
@@ -68,9 +68,9 @@ def within_lookback(feed: DataFrame, now: Column, last_run: Column) -> DataFrame
 
 def authorised(requests: DataFrame, users: DataFrame, exactly_one: bool = True) -> DataFrame:
     """Requests whose (snsid, appid) matches one user row, or at least one."""
-    counts = group_apart(users, ["snsid", "appid"], F.count("*").alias("_n"))
+    counts = users.groupBy("snsid", "appid").agg(F.count("*").alias("_n"))
     allowed = counts.filter(F.col("_n") == 1 if exactly_one else F.col("_n") > 0)
-    return requests.join(allowed, ["snsid", "appid"], "left_semi")
+    return join_apart(requests, allowed, ["snsid", "appid"], "left_semi")
 
 
 def user_field(requests: DataFrame, users: DataFrame, *fields: str) -> DataFrame:
@@ -91,11 +91,9 @@ def list_contains(requests: DataFrame, users: DataFrame, field: str, id_at: int)
         F.col(field).alias("_text"),
         row_ids(parse_list(F.col(field), ROWS), id_at).alias("_ids"),
     )
-    hit = requests.join(stored, ["snsid", "appid"], "left")
+    hit = join_apart(requests, stored, ["snsid", "appid"], "left")
     count = lambda test: F.coalesce(F.sum(test.cast("bigint")), F.lit(0))
-    return group_apart(
-        hit,
-        ["snsid", "appid", "item"],
+    return hit.groupBy("snsid", "appid", "item").agg(
         count(F.array_contains("_ids", F.col("item"))).alias("exact"),
         count(text.like_any(F.col("_text"), F.col("item"))).alias("raw"),
     )

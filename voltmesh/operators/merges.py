@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import KEYS, STATUS_COLUMNS
 from .filters import differs
-from .skew import first_per_key
+from .skew import first_per_key, join_apart
 
 
 def latest_per_key(
@@ -84,9 +84,9 @@ def keyed_update(
 
     Without `order` the list has one entry per key already.
     """
-    entries = updates if order is None else first_per_key(updates, keys, order, apart=True)
+    entries = updates if order is None else first_per_key(updates, keys, order)
     right = entries.select(*keys, F.struct(*columns).alias("_new"))
-    joined = base.join(right, list(keys), "left")
+    joined = join_apart(base, right, keys, "left")
     value = lambda c: F.when(F.col("_new").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}"))
     return joined.select(*[value(c).alias(c) if c in columns else F.col(c) for c in base.columns])
 

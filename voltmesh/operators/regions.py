@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import codes
 from ..functions.fixed_values import AVAILABLE, COMPANY_NAMES, DISTRICT_IN_FORCE
 from .merges import keyed_update
-from .skew import group_apart
 
 
 def region_rows(text: DataFrame) -> DataFrame:
@@ -110,5 +109,5 @@ def company_list(companies: DataFrame) -> DataFrame:
 
 def representatives(chargers: DataFrame, *columns: str) -> DataFrame:
     """One charger row per station: the lowest charger id."""
-    lowest = group_apart(chargers, ["statid"], F.min(F.struct("chgerid", *columns)).alias("_row"))
+    lowest = chargers.groupBy("statid").agg(F.min(F.struct("chgerid", *columns)).alias("_row"))
     return lowest.select("statid", "_row.*")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.fixed_values import REMOVED_NICKNAME, REMOVED_TEXT
 from .merges import keyed_update
-from .skew import ranked, running_sums, top_per_key
+from .skew import join_apart, ranked, running_sums, top_per_key
 
 REVIEW, REPLY = "1", "2"
 PAGE = 10
@@ -74,7 +74,7 @@ def review_page(requests: DataFrame, table: DataFrame) -> DataFrame:
         F.col("snsid").alias("_sns"), F.col("appid").alias("_app"),
         "nickname", "stid", "reviewid", "review", "level", "time", "no", "n_replies",
     )
-    joined = requests.select("snsid", "appid", "stid").join(shown, "stid")
+    joined = join_apart(requests.select("snsid", "appid", "stid"), shown, ["stid"])
     return joined.withColumn("my", mine(F.col("_sns"), F.col("_app"))).drop("_sns", "_app")
 
 
@@ -144,7 +144,7 @@ def delete_reviews(table: DataFrame, requests: DataFrame) -> DataFrame:
     """Remove the requested rows; a review with replies stays, without its name and text."""
     asked = requests.select(*REVIEW_KEY).distinct()
     fate = with_reply_counts(asked, table).withColumnRenamed("n_replies", "_replies")
-    kept = table.join(fate, REVIEW_KEY, "left").filter(
+    kept = join_apart(table, fate, REVIEW_KEY, "left").filter(
         F.col("_replies").isNull() | (F.col("_replies") > 0)
     )
     blank = {"nickname": REMOVED_NICKNAME, "review": REMOVED_TEXT}
@@ -154,4 +154,4 @@ def delete_reviews(table: DataFrame, requests: DataFrame) -> DataFrame:
 
 def delete_replies(table: DataFrame, requests: DataFrame) -> DataFrame:
     asked = requests.select(*REPLY_KEY).distinct()
-    return table.join(asked, REPLY_KEY, "left_anti").select(*table.columns)
+    return join_apart(table, asked, REPLY_KEY, "left_anti").select(*table.columns)

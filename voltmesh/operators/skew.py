@@ -4,11 +4,10 @@ A plain window puts a whole key into one task. Here the key is cut into slices
 that follow the order of the rows: a task sees one slice, the totals per slice
 (a small table) give the offsets, and both are added.
 
-A join on a hot key is split at run time by adaptive execution if both sides come
-straight from a shuffle and no later step counts on the rows of a key being
-together. Aggregates on the join's own keys, before or after it, are in the way;
-`group_apart` and its relatives give them a shuffle of their own, of rows that
-have been combined already.
+A join on a hot key is split at run time by adaptive execution, but only if both
+sides come straight from a shuffle and no later step counts on the rows of a key
+being together. Aggregates on the join's own keys, before or after it, are in the
+way; `join_apart` joins on one column more, so neither takes over the other's layout.
 """
 
 from __future__ import annotations
@@ -66,21 +65,20 @@ def ranked(
     return running_sums(df, keys, slice_by, order, {name: F.lit(1).cast("bigint")})
 
 
-def group_apart(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
-    """groupBy whose layout a join on the same keys neither takes over nor hands on."""
-    grouped = df.groupBy(F.struct(*keys).alias("_key")).agg(*aggregates)
-    return grouped.select("_key.*", *[c for c in grouped.columns if c != "_key"])
-
-
-def distinct_apart(df: DataFrame, *columns: str) -> DataFrame:
-    return df.select(F.struct(*columns).alias("_key")).distinct().select("_key.*")
+def join_apart(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join rows that may have hot keys with a table of one row per key."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    same = lookup.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})
+    mark = F.xxhash64(*keys)
+    left, right = rows.withColumn("_apart", mark), same.withColumn("_apart", mark)
+    return left.join(right, ["_apart", *keys], how).drop("_apart")
 
 
-def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], apart: bool = False
-) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key. Spark keeps one row per key and input partition before the shuffle."""
-    return top_per_key(df, keys, order, 1, apart=apart)
+    return top_per_key(df, keys, order, 1)
 
 
 def top_per_key(
@@ -89,10 +87,8 @@ def top_per_key(
     order: Sequence[Column],
     limit: int,
     name: str | None = None,
-    apart: bool = False,
 ) -> DataFrame:
     """The first `limit` rows of each key, cut down before the shuffle as well."""
-    by = [F.struct(*keys)] if apart else keys
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     out = df.withColumn("_rank", rank).filter(F.col("_rank") <= limit)
     return out.drop("_rank") if name is None else out.withColumnRenamed("_rank", name)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.lists import dump_items
 from ..functions.times import minute_number
-from .skew import group_apart, ranked
+from .skew import join_apart, ranked
 
 PAIR = ["user_id", "item"]
 FLAGS = 6
@@ -41,8 +41,8 @@ def _held(commands: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
         .filter(F.col("_add").isNotNull())
     )
     removals = commands.filter(F.col("op") == "removeall")
-    clears = group_apart(removals, ["user_id"], F.max(_at()).alias("_clear"))
-    joined = per_item.join(clears, "user_id", "left")
+    clears = removals.groupBy("user_id").agg(F.max(_at()).alias("_clear"))
+    joined = join_apart(per_item, clears, ["user_id"], "left")
     limit = F.greatest("_gone", "_clear")
     last = F.struct(F.col("_add.ts").alias("ts"), F.col("_add.event_id").alias("event_id"))
     held = joined.withColumn("_limit", limit).filter(F.col("_limit").isNull() | (last > F.col("_limit")))
@@ -62,8 +62,9 @@ def bookmark_entries(commands: DataFrame) -> DataFrame:
     """Items in the list with the add that put them there; a repeated add changes nothing."""
     held = _held(commands).select(*PAIR, "_limit")
     adds = commands.filter(F.col("op") == "add").select(*PAIR, "ts", "event_id")
-    live = adds.join(held, PAIR).filter(F.col("_limit").isNull() | (_at() > F.col("_limit")))
-    first = group_apart(live, PAIR, F.min(_at()).alias("_since"))
+    after = F.col("_limit").isNull() | (_at() > F.col("_limit"))
+    live = join_apart(adds, held, PAIR).filter(after)
+    first = live.groupBy(*PAIR).agg(F.min(_at()).alias("_since"))
     return first.select(
         *PAIR, F.col("_since.ts").alias("ts"), F.col("_since.event_id").alias("event_id")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ids import stable_appid
 from .merges import keyed_update
-from .skew import group_apart
+from .skew import join_apart
 
 USER_KEY = ["sns", "snsid"]
 
@@ -73,8 +73,8 @@ def set_nicknames(
 
 def taken_elsewhere(users: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests for a nickname that a different user holds (the stricter check)."""
-    held = group_apart(
-        users, ["nickname"], F.min("snsid").alias("_low"), F.max("snsid").alias("_high")
+    held = users.groupBy("nickname").agg(
+        F.min("snsid").alias("_low"), F.max("snsid").alias("_high")
     )
     other = (F.col("_low") != F.col("snsid")) | (F.col("_high") != F.col("snsid"))
-    return requests.join(held, "nickname").filter(other).drop("_low", "_high")
+    return join_apart(requests, held, ["nickname"]).filter(other).drop("_low", "_high")

@@ -11,10 +11,29 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings "
-    "pages benchmark labels conversations"
-).split()
+from ..schemas import schema
+
+# The given tables that the views read.
+TABLES = {
+    name: schema(columns)
+    for name, columns in {
+        "region": "r_regionkey INT, r_name STRING",
+        "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+        "customer": """c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,
+            c_mktsegment STRING""",
+        "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+        "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,
+            o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+        "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+            l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+            l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+        "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+            value DOUBLE, props STRING""",
+        "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+        "pages": "page_id BIGINT, url STRING, html STRING",
+        "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    }.items()
+}
 
 
 def _pad(value: str, width: int) -> str:
@@ -236,7 +255,8 @@ class Bindings:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             if name in TABLES:
-                self._made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                reader = self.spark.read.schema(TABLES[name])
+                self._made[name] = reader.parquet(f"{self.folder}/{name}.parquet")
             else:
                 text = VIEWS[name]
                 words = set(_NAME.findall(text))

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import codes, geo, text, times
 from ..functions.fixed_values import OVERLAP_BOX
 from ..operators import filters, merges, regions, spatial
-from ..operators.skew import distinct_apart
 from ..schemas import KEYS, STATUS_COLUMNS
 from .bindings import Bindings
 from .registry import query
@@ -407,7 +406,7 @@ def station_representative(b):
 
 @query("select distinct statid, lat, lng from {fx_charger}")
 def distinct_lookups(b):
-    return distinct_apart(b["fx_charger"], "statid", "lat", "lng")
+    return b["fx_charger"].select("statid", "lat", "lng").distinct()
 
 
 # --- column functions ------------------------------------------------------

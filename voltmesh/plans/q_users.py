@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import ids, lists
 from ..functions.fixed_values import REMOVED_NICKNAME, REMOVED_TEXT
 from ..operators import filters, reviews, user_lists, users
-from ..operators.skew import group_apart
+from ..operators.skew import join_apart
 from .bindings import Bindings
 from .registry import query
 
@@ -212,8 +212,8 @@ def mine_flag(b):
     """The last to write at a station asks which entries there are their own."""
     table = b["fx_review"]
     newest = F.max(F.struct("time", "no", "snsid", "appid")).alias("_by")
-    last = group_apart(table, ["stid"], newest)
-    marked = table.join(last, "stid").withColumn(
+    last = table.groupBy("stid").agg(newest)
+    marked = join_apart(table, last, ["stid"]).withColumn(
         "my", reviews.mine(F.col("_by.snsid"), F.col("_by.appid"))
     )
     return marked.select("stid", "no", "nickname", "my")

@@ -9,6 +9,9 @@ from ..schemas import CHARGER_FEED, REGION_TEXT, STATUS
 
 ROW_TAG = "item"
 
+# A page is read by one task.
+ROWS_PER_FILE = 100_000
+
 
 def _as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
@@ -50,6 +53,7 @@ def stream_pages(
 def write_pages(rows: DataFrame, path: str) -> None:
     """Land rows as feed pages."""
     writer = rows.write.format("xml").option("rowTag", ROW_TAG).option("rootTag", "items")
+    writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE)
     writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").save(path)
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import relative_name
 
 
-def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    table = spark.read.parquet(path)
+def read_table(
+    spark: SparkSession, path: str, *columns: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """Without a schema the files are asked for theirs."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    table = reader.parquet(path)
     return table.select(*columns) if columns else table
 
 
