@@ -284,6 +284,7 @@ def duck_sql(query: str) -> str:
     body = plain(query).strip()
     if not views:
         return body
-    if body.lower().startswith("with "):
-        return f"with {views},\n{body[5:]}"
+    for start in ("with recursive ", "with "):
+        if body.startswith(start):
+            return f"{start}{views},\n{body[len(start):]}"
     return f"with {views}\n{body}"

@@ -364,7 +364,39 @@ def nearby_counts(b):
     return spatial.nearby_counts(b["fx_point"], OVERLAP_BOX)
 
 
-@query()
+# Rounds over all stations with neighbours: 0 open, 1 stays, 2 moves.
+SPREAD = """with recursive near as (
+        select a.statid as a, b.statid as b, b.lat, b.lng from {fx_point} a join {fx_point} b
+        on b.lat <= a.lat + cast(0.00005 as double) and b.lat >= a.lat - cast(0.00005 as double)
+            and b.lng <= a.lng + cast(0.00005 as double) and b.lng >= a.lng - cast(0.00005 as double)
+        where a.statid <> b.statid),
+    state as (
+        select 0 as round, id, 0 as s from (select distinct a as id from near) as n
+        union all
+        select st.round + 1, st.id, case when st.s <> 0 then st.s when bool_or(x.s = 1) then 2
+            when bool_or(x.s = 0 and x.id < st.id) then 0 else 1 end
+        from state st join near n on n.a = st.id join state x on x.id = n.b
+        where (select count(*) from state where s = 0) > 0
+        group by st.round, st.id, st.s),
+    ranked as (
+        select n.a as anchor, n.b as statid,
+            row_number() over (partition by n.a order by n.b) as i, n.lat, n.lng
+        from near n join state st on st.id = n.a
+        where st.s = 1 and st.round = (select max(round) from state)),
+    shifts(i, y, x) as (
+        values (1, 1, 0), (2, -1, 0), (3, 0, 1), (4, 0, -1), (5, 1, 1), (6, -1, -1), (7, 1, -1),
+            (8, -1, 1)),
+    placed as (
+        select r.anchor, r.i, r.lat + cast(h.y as double) * cast(0.0001 as double) as lat,
+            r.lng + cast(h.x as double) * cast(0.0001 as double) as lng
+        from ranked r join shifts h on r.i = h.i)
+    select r.statid, p.lat, p.lng
+    from (select *, row_number() over (partition by statid order by anchor desc) as last from ranked) r
+    join placed p on p.anchor = r.anchor and p.i = least(r.i, 8)
+    where r.last = 1"""
+
+
+@query(SPREAD)
 def spread_overlaps(b):
     return spatial.spread_overlaps(b["fx_point"], OVERLAP_BOX)
 

@@ -63,13 +63,14 @@ class StatusStore:
         return fold_updates(base, self._log(name), "batch", upsert=name == BUFFER)
 
     def merge_batch(self, rows: DataFrame, batch: int) -> None:
-        """Log the newest row of each charger. A repeated batch replaces itself.
+        """Log the newest row of each charger; rows without a key are no use.
 
-        What has been read is kept by the stream's checkpoint, not by the control row.
+        A repeated batch replaces itself. What has been read is kept by the
+        stream's checkpoint, not by the control row.
         """
         ck, _ = self.control()
         name = SNAPSHOT if ck == 1 else BUFFER
-        latest_per_key(rows).select(*KEYS, *STATUS_COLUMNS).write.mode("overwrite").parquet(
+        latest_per_key(rows.dropna(subset=KEYS)).select(*KEYS, *STATUS_COLUMNS).write.mode("overwrite").parquet(
             self._log_path(name, batch)
         )
         if name == SNAPSHOT and batch % COMPACT_EVERY == COMPACT_EVERY - 1:
