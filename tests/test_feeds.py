@@ -89,6 +89,27 @@ def test_feed_in_any_number_of_batches(spark, tmp_path, per_batch):
     assert pick(store.read()) == pick(want)
 
 
+@pytest.mark.parametrize("files", ["1", "2", "5"])
+def test_landed_files_through_the_stream(spark, tmp_path, files):
+    import random
+    import time
+
+    rng = random.Random(13)
+    base = table(spark, random_rows(rng, 20, 0))
+    store = status.StatusStore(spark, str(tmp_path / "store"))
+    store.tables[status.SNAPSHOT].publish(base)
+    store.ensure_tables(0.0)
+    want = base
+    for number, wave in enumerate(waves(spark, rng, 5)):
+        want = merges.merge_status(want, wave)
+        feeds.write_pages(wave.coalesce(1), str(tmp_path / "pages" / f"wave={number}"))
+        time.sleep(0.01)  # files are taken in the order of their times
+    feed = feeds.stream_pages(spark, str(tmp_path / "pages" / "*"), maxFilesPerTrigger=files)
+    status.run_feed(store, feed, str(tmp_path / "checkpoint")).awaitTermination()
+    pick = lambda df: {k: v[:2] for k, v in as_dict(df).items()}
+    assert pick(store.read()) == pick(want)
+
+
 def test_rebuild_while_the_feed_goes_on(spark, tmp_path):
     import random
 

@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from voltmesh.operators import filters, regions, reviews, user_lists
+from voltmesh.operators import filters, regions, reviews, spatial, user_lists
 from voltmesh.plans.bindings import Bindings
 from voltmesh.plans.catalogue import all_queries
 from voltmesh.sinks.tables import VersionedTable
@@ -33,6 +33,21 @@ def test_box_reaches_the_scan(snapshot):
     assert "Exchange" not in text
 
 
+def test_layout_by_place_keeps_a_box_in_few_files(spark, snapshot, tmp_path):
+    table = VersionedTable(spark, str(tmp_path))
+    # The sample is so small that adaptive execution would write it as one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.publish(spatial.by_place(snapshot))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = table.read()
+    assert rows.count() == snapshot.count()
+    files = rows.groupBy(F.input_file_name()).agg(F.min("lat").alias("low"), F.max("lat").alias("high"))
+    assert files.count() >= 4
+    assert files.filter((F.col("low") <= 33.5) & (F.col("high") >= 33.45)).count() == 1
+
+
 def test_counts_read_two_columns_and_shuffle_codes_only(snapshot):
     text = plan(regions.available_by_code(snapshot), "formatted")
     assert "ReadSchema: struct<addcd:string,stat:int>" in text and "partial_count" in text

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fixed_values import NOTICE_BODY, NOTICE_SUBJECT
 from ..functions.times import minute_number
-from ..operators import merges, notices, regions, reviews, user_lists
+from ..operators import merges, notices, regions, reviews, spatial, user_lists
 from ..schemas import CHARGER_FEED, KEYS, STATUS, STATUS_COLUMNS
 from ..session import workspace
 from ..sinks import tables as sinks
@@ -96,7 +96,7 @@ def render_notice(b):
 @query("select * from {fx_charger}")
 def replace_table(b):
     table = sinks.VersionedTable(b.spark, workspace(b.spark, "replace"))
-    table.publish(b["fx_charger"])
+    table.publish(spatial.by_place(b["fx_charger"]))
     return table.read()
 
 
