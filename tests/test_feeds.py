@@ -1,12 +1,10 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-
 from tests.test_lists import SCHEMA, commands
-from tests.test_merges import as_dict, at, random_rows, table
+from tests.test_merges import as_dict, random_rows, table
 from voltmesh.operators import merges, user_lists
-from voltmesh.schemas import CHARGER_FEED, CHARGER_FEED_V1, CONTROL, STATUS
+from voltmesh.schemas import CHARGER_FEED, CHARGER_FEED_V1
 from voltmesh.sinks import tables as sinks
 from voltmesh.sources import feeds, tables
 from voltmesh.streaming import commands as lists

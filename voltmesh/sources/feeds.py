@@ -69,5 +69,5 @@ def read_districts(spark: SparkSession, path: str, encoding: str = "UTF-8") -> D
     For a file in a Korean code page pass its Java name, MS949, and set
     spark.sql.legacy.javaCharsets.
     """
-    reader = spark.read.option("sep", "\t").option("encoding", encoding).schema(REGION_TEXT)
-    return reader.csv(path)
+    reader = spark.read.option("sep", "\t").option("quote", "").option("encoding", encoding)
+    return reader.schema(REGION_TEXT).csv(path)
