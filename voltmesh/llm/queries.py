@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding, urls
+from . import mixing, secrets, sharding, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,15 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, found through trigram posting lists."""
+    return secrets.secret_list(table(spark, folder, "documents"))
+
+
+SQL["op1_secret_scan"] = secrets.secret_sql()
+
+
 @query
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Documents copied so that all sources have the same expected size."""
