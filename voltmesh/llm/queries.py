@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets, sharding, urls
+from . import mixing, quality, secrets, sharding, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,15 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op3_mix_sources"] = mixing.mix_sql()
 
 
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's measures and verdict by the line-first rules."""
+    return quality.quality_list(table(spark, folder, "documents"))
+
+
+SQL["op6_quality_rules"] = quality.quality_sql()
+
+
 @query
 def op8_shard_records(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's place among 16 shards of one weight."""
