@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, secrets, sharding, urls
+from . import language, mixing, neighbours, quality, secrets, sharding, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op1_secret_scan"] = secrets.secret_sql()
 
 
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's language by n-gram masks learned from the rows not held out."""
+    return language.language_list(table(spark, folder, "documents"))
+
+
 @query
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Documents copied so that all sources have the same expected size."""
@@ -64,3 +70,10 @@ def op9_filter_urls(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's verdict, by rule or by trees trained on the URLs that a rule decides."""
     pages = table(spark, folder, "pages").select("page_id", "url")
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query
+def op10_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality score by its nearest labelled neighbours."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    return neighbours.quality_scores(table(spark, folder, "documents"), labels)
