@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, neighbours, quality, secrets, sharding, urls
+from . import language, mixing, neighbours, quality, secrets, sharding, simhash, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,12 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op3_mix_sources"] = mixing.mix_sql()
 
 
+@query
+def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's fingerprint and its component of linked fingerprints."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's measures and verdict by the line-first rules."""
