@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from voltmesh.session import workspace
 
@@ -60,13 +61,16 @@ def _halved(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
 
 
 def map_arrow(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+    df: DataFrame,
+    fn: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: StructType | str,
+    limit: int = PIECE_BYTES,
 ) -> DataFrame:
     """Apply `fn` to runs of rows of a bounded number of bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit):
                 yield fn(piece)
 
     return df.mapInArrow(run, schema)

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, neighbours, quality, secrets, sharding, simhash, urls
+from . import (
+    decontamination,
+    language,
+    mixing,
+    neighbours,
+    quality,
+    repeats,
+    secrets,
+    sharding,
+    simhash,
+    urls,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +58,13 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op3_mix_sources"] = mixing.mix_sql()
 
 
+@query
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item found in a document."""
+    benchmark = table(spark, folder, "benchmark")
+    return decontamination.leak_list(table(spark, folder, "documents"), benchmark)
+
+
 @query
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's fingerprint and its component of linked fingerprints."""
@@ -62,6 +80,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op6_quality_rules"] = quality.quality_sql()
 
 
+@query
+def op7_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's bytes that repeat in strings of 400 bytes and more, and what is left."""
+    return repeats.repeat_list(table(spark, folder, "documents"))
+
+
 @query
 def op8_shard_records(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's place among 16 shards of one weight."""
