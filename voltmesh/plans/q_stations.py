@@ -286,9 +286,9 @@ GEOCODED = """
     select statid, coalesce(bcode, '0') as addcd from (
         select s.statid, r.bcode, row_number() over (
             partition by s.statid order by
-            (s.lat - r.lat) * (s.lat - r.lat) + (s.lng - r.lng) * (s.lng - r.lng), r.bcode) as rn
-        from %s s left join (select * from {fx_region} where level = 3) r
-        on abs(s.lat - r.lat) <= 0.25 and abs(s.lng - r.lng) <= 0.25
+            (s.lat - r.lat) * (s.lat - r.lat) + (s.lng - r.lng) * cos(radians(s.lat))
+                * ((s.lng - r.lng) * cos(radians(s.lat))), r.bcode) as rn
+        from %s s left join (select * from {fx_region} where level = 3) r on true
     ) as g where rn = 1"""
 
 
@@ -374,7 +374,7 @@ SPREAD = """with recursive near as (
         select 0 as round, id, 0 as s from (select distinct a as id from near) as n
         union all
         select st.round + 1, st.id, case when st.s <> 0 then st.s when bool_or(x.s = 1) then 2
-            when bool_or(x.s = 0 and x.id < st.id) then 0 else 1 end
+            when bool_or(x.s = 0 and (md5(x.id), x.id) < (md5(st.id), st.id)) then 0 else 1 end
         from state st join near n on n.a = st.id join state x on x.id = n.b
         where (select count(*) from state where s = 0) > 0
         group by st.round, st.id, st.s),
@@ -391,7 +391,7 @@ SPREAD = """with recursive near as (
             r.lng + cast(h.x as double) * cast(0.0001 as double) as lng
         from ranked r join shifts h on r.i = h.i)
     select r.statid, p.lat, p.lng
-    from (select *, row_number() over (partition by statid order by anchor desc) as last from ranked) r
+    from (select *, row_number() over (partition by statid order by md5(anchor) desc, anchor desc) as last from ranked) r
     join placed p on p.anchor = r.anchor and p.i = least(r.i, 8)
     where r.last = 1"""
 
