@@ -33,7 +33,7 @@ def _sorted(rows, names):
 
 _WORDS = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-    "timestamp_ntz": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 

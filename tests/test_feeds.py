@@ -134,6 +134,167 @@ def test_rebuild_while_the_feed_goes_on(spark, tmp_path):
     assert store.read(status.BUFFER).count() == 0
 
 
+def rows_of(spark, *rows):
+    return table(spark, [(s, c, stat, at, 0, 0) for s, c, stat, at in rows])
+
+
+def small_store(spark, tmp_path, **options):
+    store = status.StatusStore(spark, str(tmp_path / "store"), **options)
+    store.tables[status.SNAPSHOT].publish(rows_of(spark, ("A", 1, 1, 0), ("B", 1, 1, 0), ("C", 1, 1, 0)))
+    store.ensure_tables(0.0)
+    return store
+
+
+def stats(df):
+    return {r["statid"]: r["stat"] for r in df.collect()}
+
+
+def test_a_new_stream_goes_on_behind_the_old_one(spark, tmp_path):
+    store = small_store(spark, tmp_path)
+    store.merge_batch(rows_of(spark, ("A", 1, 2, 1)), 0, "one")
+    store.merge_batch(rows_of(spark, ("A", 1, 3, 2)), 1, "one")
+    store.compact()
+    store.merge_batch(rows_of(spark, ("A", 1, 9, 3)), 0, "two", at=77.0)
+    assert stats(store.read()) == {"A": 9, "B": 1, "C": 1}
+    assert store.control() == (1, 77.0)
+    store.compact()
+    store.merge_batch(rows_of(spark, ("A", 1, 9, 3)), 0, "two")
+    assert store.log.last() == 2 and stats(store.read())["A"] == 9
+
+
+def test_each_checkpoint_is_a_run(spark, tmp_path):
+    store = small_store(spark, tmp_path)
+    for number, stat in enumerate([5, 6]):
+        pages = str(tmp_path / f"pages{number}")
+        feeds.write_pages(rows_of(spark, ("B", 1, stat, 10 + number)), pages)
+        feed = feeds.stream_pages(spark, pages)
+        status.run_feed(store, feed, str(tmp_path / f"checkpoint{number}"), at=1.0).awaitTermination()
+        store.compact()
+    assert stats(store.read())["B"] == 6
+
+
+def test_a_failed_rebuild_loses_nothing(spark, tmp_path):
+    store = small_store(spark, tmp_path)
+    store.begin_rebuild()
+    store.merge_batch(rows_of(spark, ("A", 1, 5, 5)), 0)
+    rebuilt = rows_of(spark, ("A", 1, 1, 0), ("D", 1, 1, 0))
+
+    def fail(rows):
+        raise OSError("disk full")
+
+    store.layout = fail
+    with pytest.raises(OSError):
+        store.finish_rebuild(rebuilt)
+    assert store.control()[0] == 0 and stats(store.read())["A"] == 1
+    assert stats(store.read(status.BUFFER)) == {"A": 5}
+    store.layout = lambda rows: rows
+    store.finish_rebuild(rebuilt)
+    assert store.control()[0] == 1 and stats(store.read()) == {"A": 5, "D": 1}
+
+
+def test_a_minute_between_the_steps_of_a_rebuild(spark, tmp_path, monkeypatch):
+    store = small_store(spark, tmp_path)
+    store.begin_rebuild()
+    store.merge_batch(rows_of(spark, ("A", 1, 5, 5)), 0)
+    change = store.set_control
+
+    def late(ck=None, at=None, mark=None):
+        if ck == 1:
+            store.merge_batch(rows_of(spark, ("B", 1, 7, 6)), 1)
+        change(ck, at, mark)
+
+    monkeypatch.setattr(store, "set_control", late)
+    store.finish_rebuild(rows_of(spark, ("A", 1, 1, 0), ("B", 1, 1, 0)))
+    assert stats(store.read()) == {"A": 5, "B": 7}
+
+
+def test_buffer_is_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(status, "COMPACT_EVERY", 2)
+    store = small_store(spark, tmp_path)
+    store.begin_rebuild()
+    for batch in range(6):
+        store.merge_batch(rows_of(spark, ("A", 1, batch, batch), ("E", 1, batch, batch)), batch)
+    buffer = store.tables[status.BUFFER]
+    assert store.log.read(buffer.last()[1]).select("seq").distinct().count() < 2
+    assert stats(store.read(status.BUFFER)) == {"A": 5, "E": 5} and stats(store.read())["A"] == 1
+
+
+def test_only_touched_parts_are_rewritten_and_old_files_go(spark, tmp_path):
+    store = small_store(spark, tmp_path, parts=8)
+    snapshot = store.tables[status.SNAPSHOT]
+    folders = lambda: {r["part"]: r["folder"] for r in snapshot._newest() if r["part"] >= 0}
+    first = folders()
+    for batch in range(4):
+        store.merge_batch(rows_of(spark, ("A", 1, batch + 2, batch + 2)), batch)
+        store.compact()
+    changed = {part for part, folder in folders().items() if first.get(part) != folder}
+    part_a = store.read().filter("statid = 'A'").select(snapshot.part_of()).first()[0]
+    assert changed == {part_a} and stats(store.read()) == {"A": 5, "B": 1, "C": 1}
+    versions = {r["version"] for r in snapshot._listed()}
+    assert len(versions) == sinks.KEEP_VERSIONS
+    assert len(list((tmp_path / "store" / "log" / "deltas").glob("seq=*"))) <= 2
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, tmp_path, monkeypatch):
+    one = sinks.VersionedTable(spark, str(tmp_path / "t"))
+    one.publish(spark.range(3))
+    two = sinks.VersionedTable(spark, str(tmp_path / "t"))
+    stale = two._newest()
+    one.publish(spark.range(5))
+    monkeypatch.setattr(two, "_newest", lambda: stale)
+    with pytest.raises(sinks.PublishConflict):
+        two.publish(spark.range(9))
+    assert one.read().count() == 5
+
+
+def test_only_a_missing_path_means_no_table(spark, tmp_path):
+    (tmp_path / "t" / "versions" / "version=1").mkdir(parents=True)
+    (tmp_path / "t" / "versions" / "version=1" / "x.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        sinks.VersionedTable(spark, str(tmp_path / "t")).ensure(spark.range(1))
+
+
+GOOD = "<response><items><item><statId>A</statId><chgerId>1</chgerId><stat>2</stat></item></items></response>"
+BROKEN = "<response><items><item><statId>B</statId><chgerId>1</chgerId><stat>3</chgerId></item></items></response>"
+NO_KEY = GOOD.replace(">A<", ">C<").replace(">1<", ">x<")
+
+
+def test_damaged_items_are_kept_aside(spark, tmp_path):
+    (tmp_path / "pages").mkdir()
+    for name, page in (("a", GOOD), ("b", BROKEN), ("c", NO_KEY)):
+        (tmp_path / "pages" / f"{name}.xml").write_text(page, "utf-8")
+    good = feeds.read_pages(spark, str(tmp_path / "pages")).collect()
+    bad = feeds.rejected_items(spark, str(tmp_path / "pages")).collect()
+    assert [r["statid"] for r in good] == ["A"]
+    assert len(bad) == 2 and sorted("<stat>3" in r["source"] for r in bad) == [False, True]
+    assert any('"x"' in r["source"] for r in bad)
+    store = small_store(spark, tmp_path)
+    feed = feeds.stream_pages(spark, str(tmp_path / "pages"))
+    status.run_feed(store, feed, str(tmp_path / "checkpoint")).awaitTermination()
+    assert stats(store.read())["A"] == 2
+    assert sorted("<stat>3" in r["source"] for r in store.rejected().collect()) == [False, True]
+
+
+def test_late_rows_are_not_dropped(spark, tmp_path):
+    waves_ = [
+        rows_of(spark, ("A", 1, 1, 0), ("A", 1, 1, 0)),
+        rows_of(spark, ("A", 1, 1, 0), ("A", 1, 2, 30)),
+        rows_of(spark, ("A", 1, 2, 30), ("B", 1, 1, -2000), ("B", 1, 4, None)),
+    ]
+    for number, wave in enumerate(waves_):
+        wave.write.parquet(str(tmp_path / "in" / f"wave={number}"))
+        feed = spark.readStream.schema(wave.schema).parquet(str(tmp_path / "in" / "wave=*"))
+        status.run_without_overlap(feed, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["statid"], r["stat"]) for r in rows) == [("A", 1), ("A", 2), ("B", 1), ("B", 4)]
+
+
+def test_object_inventory_with_a_scheme(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"1")
+    rows = tables.object_inventory(spark, f"file://{tmp_path}/").collect()
+    assert [r["name"] for r in rows] == ["a.txt"]
+
+
 def test_commands_in_batches_with_compaction(spark, tmp_path):
     log = commands(21, 400)
     store = lists.ListStore(spark, str(tmp_path / "l"), user_lists.bookmark_entries)

@@ -97,9 +97,13 @@ def test_flags(spark):
     assert {r["user_id"]: r["flags"] for r in got} == {u: str(f) for u, f in want.items()}
 
 
-def test_packed_lists_come_in_parts(spark):
-    placed = spark.createDataFrame(
-        [(1, i + 1, f"M{i}") for i in range(5)], "user_id bigint, pos bigint, item string"
-    )
-    rows = user_lists.pack_lists(placed, per_part=2).orderBy("part").collect()
-    assert [r["items"] for r in rows] == ['["M0", "M1"]', '["M2", "M3"]', '["M4"]']
+def test_stored_text(spark):
+    log = spark.createDataFrame(
+        [(1, "add", "M1", T0, 1, 0, 'a "b"'), (1, "add", "M2", T0, 2, 0, "c"), (2, "add", "M1", T0, 3, 0, "x"),
+         (2, "removeall", "", T0, 4, 0, ""), (3, "add", "M1", T0, 5, 0, "y")], SCHEMA,
+    )
+    placed = user_lists.bookmark_state(log, "name")
+    placed = placed.withColumn("entry", user_lists.entry_text(placed["name"], placed["item"]))
+    asked = spark.createDataFrame([(1,), (2,), (9,)], "user_id bigint")
+    got = {r["user_id"]: r["items"] for r in user_lists.stored_lists(placed, log, asked).collect()}
+    assert got == {1: '[["a \\"b\\"", "M1"], ["c", "M2"]]', 2: ""}

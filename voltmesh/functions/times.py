@@ -12,6 +12,11 @@ def lookback_minutes(now: Column, last: Column) -> Column:
     return ((now - last) / 60).cast("bigint") + 2
 
 
+def time_text(at: Column) -> Column:
+    """A time as the service writes it into its answers and rows."""
+    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+
+
 def page_count(total: Column) -> Column:
     """Pages to fetch; an exact multiple of the page size has one empty page more."""
     return F.floor(total / PAGE_ROWS) + 1

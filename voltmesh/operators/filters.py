@@ -67,8 +67,12 @@ def within_lookback(feed: DataFrame, now: Column, last_run: Column) -> DataFrame
 
 
 def authorised(requests: DataFrame, users: DataFrame, exactly_one: bool = True) -> DataFrame:
-    """Requests whose (snsid, appid) matches one user row, or at least one."""
-    counts = users.groupBy("snsid", "appid").agg(F.count("*").alias("_n"))
+    """Requests whose (snsid, appid) matches one user row, or at least one.
+
+    Put it before every edit, delete, filter or flag command that a caller asks for.
+    """
+    asked = requests.select("snsid", "appid").distinct()
+    counts = users.join(asked, ["snsid", "appid"], "left_semi").groupBy("snsid", "appid").agg(F.count("*").alias("_n"))
     allowed = counts.filter(F.col("_n") == 1 if exactly_one else F.col("_n") > 0)
     return join_apart(requests, allowed, ["snsid", "appid"], "left_semi")
 
@@ -85,7 +89,8 @@ def list_contains(requests: DataFrame, users: DataFrame, field: str, id_at: int)
     `exact` tests the ids in the list; `raw` is LIKE '%id%' on the stored text,
     for which M333 is also found in M3333.
     """
-    stored = users.select(
+    asked = requests.select("snsid", "appid").distinct()
+    stored = users.join(asked, ["snsid", "appid"], "left_semi").select(
         "snsid",
         "appid",
         F.col(field).alias("_text"),

@@ -31,7 +31,7 @@ def merge_status(
     """Base rows with the delta's values where any tracked column differs.
 
     Unmatched base rows stay, unmatched delta rows are ignored. The delta has
-    one row per key. `newer_only` keeps a base row with a later statupddt.
+    one row per key; latest_per_key makes it so. `newer_only` keeps a base row with a later statupddt.
     """
     incoming = delta.select(*keys, F.struct(*columns).alias("b"))
     joined = base.withColumn("a", F.struct(*columns)).join(incoming, list(keys), "left")
@@ -119,7 +119,8 @@ def fold_updates(base: DataFrame, log: DataFrame, seq: str, upsert: bool) -> Dat
     """Apply logged deltas in the order of `seq` (one row per key and seq).
 
     Equal to merge_status, or upsert_status, once per delta. A key has as many
-    entries as there are deltas since the last compaction, which bounds the list.
+    entries as there are deltas since the last compaction, which bounds the list; the
+    store compacts snapshot and buffer alike.
     """
     columns = STATUS_COLUMNS
     entries = log.groupBy(*KEYS).agg(

@@ -84,8 +84,11 @@ def store_counts(regions: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def company_dimension(chargers: DataFrame) -> DataFrame:
-    """One name per operator: the lowest, so that reruns agree."""
-    return chargers.groupBy("busiid").agg(F.min("businm").alias("businm"))
+    """One name per operator: the lowest, so that reruns agree.
+
+    The few different pairs are found by hash first; only they are compared.
+    """
+    return chargers.select("busiid", "businm").distinct().groupBy("busiid").agg(F.min("businm").alias("businm"))
 
 
 def override_names(companies: DataFrame, names: DataFrame) -> DataFrame:

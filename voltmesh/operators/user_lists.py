@@ -2,7 +2,7 @@
 
 A command is (user_id, op, item, ts, event_id) with op add, remove or removeall;
 (ts, event_id) is its place in the log. Results are one row per list entry with
-its place in the list; pack_lists turns them into text of bounded length.
+its place in the list; stored_lists puts together the text of asked users.
 """
 
 from __future__ import annotations
@@ -58,21 +58,22 @@ def _placed(entries: DataFrame, newest_first: bool) -> DataFrame:
     return ranked(entries, ["user_id"], slice_by, order, "pos")
 
 
-def bookmark_entries(commands: DataFrame) -> DataFrame:
-    """Items in the list with the add that put them there; a repeated add changes nothing."""
+def bookmark_entries(commands: DataFrame, *attributes: str) -> DataFrame:
+    """Items in the list with the add that put them there, and its attributes; a repeated
+    add changes nothing."""
     held = _held(commands).select(*PAIR, "_limit")
-    adds = commands.filter(F.col("op") == "add").select(*PAIR, "ts", "event_id")
+    adds = commands.filter(F.col("op") == "add").select(*PAIR, "ts", "event_id", *attributes)
     after = F.col("_limit").isNull() | (_at() > F.col("_limit"))
     live = join_apart(adds, held, PAIR).filter(after)
-    first = live.groupBy(*PAIR).agg(F.min(_at()).alias("_since"))
+    first = live.groupBy(*PAIR).agg(F.min(F.struct("ts", "event_id", *attributes)).alias("_since"))
     return first.select(
-        *PAIR, F.col("_since.ts").alias("ts"), F.col("_since.event_id").alias("event_id")
+        *PAIR, *[F.col(f"_since.{c}").alias(c) for c in ("ts", "event_id", *attributes)]
     )
 
 
-def bookmark_state(commands: DataFrame) -> DataFrame:
+def bookmark_state(commands: DataFrame, *attributes: str) -> DataFrame:
     """Bookmarks, oldest first."""
-    return _placed(bookmark_entries(commands), newest_first=False)
+    return _placed(bookmark_entries(commands, *attributes), newest_first=False)
 
 
 def recent_search_entries(commands: DataFrame, *attributes: str) -> DataFrame:
@@ -163,14 +164,25 @@ def flags_or_zero(users: DataFrame, flags: DataFrame) -> DataFrame:
     )
 
 
-def pack_lists(placed: DataFrame, per_part: int = 1000) -> DataFrame:
-    """List text per user, in parts of at most `per_part` entries."""
-    part = F.floor((F.col("pos") - 1) / per_part).alias("part")
-    rows = placed.groupBy("user_id", part).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("_rows")
+def entry_text(*fields: Column) -> Column:
+    """One entry as it is stored: a JSON array of its fields."""
+    return dump_items(F.array(*[f.cast("string") for f in fields]))
+
+
+def stored_lists(placed: DataFrame, commands: DataFrame, asked: DataFrame) -> DataFrame:
+    """(user_id, items): the stored text of the asked users' lists, from user_id, pos and entry.
+
+    A user whose list was cleared has empty text, one who never gave a command no row. For
+    the users of requests: a list becomes one value here, and entries are rows elsewhere.
+    """
+    wanted = asked.select("user_id").distinct()
+    known = commands.join(wanted, "user_id", "left_semi").select("user_id").distinct()
+    rows = placed.join(wanted, "user_id", "left_semi").groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "entry"))).alias("_rows")
     )
-    items = F.transform("_rows", lambda r: r["item"])
-    return rows.select("user_id", "part", dump_items(items).alias("items"))
+    texts = F.array_join(F.transform("_rows", lambda r: r["entry"]), ", ")
+    text = F.when(F.col("_rows").isNull(), "").otherwise(F.concat(F.lit("["), texts, F.lit("]")))
+    return known.join(rows, "user_id", "left").select("user_id", text.alias("items"))
 
 
 def as_commands(entries: DataFrame) -> DataFrame:

@@ -150,23 +150,26 @@ VIEWS: dict[str, str] = {
             case when event_id % 7 = 0 then null else ts end as nowtsdt,
             event_id
         from {{events}}""",
-    "fx_base": _newest_status("2024-01-01", "2024-01-04"),
+    "fx_base": _newest_status("2000-01-01", "2024-01-04"),
     "fx_buffer": _newest_status("2024-01-04", "2024-01-08"),
-    "fx_delta": _newest_status("2024-01-08", "2024-01-12"),
+    "fx_delta": _newest_status("2024-01-08", "2100-01-01"),
+    # In every fourth conversation each turn is a review of its own, without replies.
     "fx_review": f"""
         select r.no, r.snsid, concat('A', cast(r.snsid as string)) as appid,
             concat('N', cast(r.snsid as string)) as nickname,
             concat('S', {_pad('r.conv_id % 10', 7)}) as stid,
-            concat('R', cast(r.conv_id as string)) as reviewid,
-            case when r.turn = 0 then r.text end as review,
-            case when r.turn > 0 then concat('P', cast(r.no as string)) end as replyid,
-            case when r.turn > 0 then r.text end as reply,
-            case when r.turn = 0 then '1' else '2' end as level,
+            concat('R', cast(r.conv_id as string),
+                case when r.turn > 0 and r.conv_id % 4 = 0
+                    then concat('T', cast(r.turn as string)) else '' end) as reviewid,
+            case when r.turn = 0 or r.conv_id % 4 = 0 then r.text end as review,
+            case when r.turn > 0 and r.conv_id % 4 <> 0 then concat('P', cast(r.no as string)) end as replyid,
+            case when r.turn > 0 and r.conv_id % 4 <> 0 then r.text end as reply,
+            case when r.turn = 0 or r.conv_id % 4 = 0 then '1' else '2' end as level,
             e.ts as time
         from (
             select conv_id, turn, text, conv_id * 100 + turn as no,
                 (conv_id * 7 + turn) % 13 as snsid, conv_id * 8 + turn as event_id
-            from {{conversations}} where turn = 0 or conv_id % 4 <> 0
+            from {{conversations}}
         ) as r join {{events}} e on r.event_id = e.event_id""",
     "fx_user": """
         select c_mktsegment as sns, c_custkey as snsid, concat(c_name, '@example.com') as email,
@@ -197,7 +200,10 @@ VIEWS: dict[str, str] = {
                 when event_type = 'signup' and event_id % 5 = 0 then 'removeall' else 'add' end as op,
             concat('M', cast(k % 6 as string)) as item,
             cast(k % 6 as int) as idx,
-            concat('name', cast(k as string)) as name
+            concat('name', cast(k as string)) as name,
+            case when k % 2 = 0 then 'station' else 'region' end as place,
+            concat('37.', cast(100 + k % 900 as string)) as lat,
+            concat('127.', cast(100 + k % 700 as string)) as lng
         from (
             select user_id, event_id, ts, event_type,
                 cast(regexp_extract(props, '[0-9]+', 0) as bigint) as k

@@ -39,7 +39,7 @@ def scan_status_xml(b):
     feeds.write_pages(status_rows(b), f"{root}/pages")
     rows = feeds.stream_pages(b.spark, f"{root}/pages")
     status.run_to_log(rows, f"{root}/rows", f"{root}/checkpoint", "append").awaitTermination()
-    return b.spark.read.parquet(f"{root}/rows").drop("batch")
+    return b.spark.read.parquet(f"{root}/rows").drop("batch", "source")
 
 
 @query("select bcode, arr, level, arrt from {fx_region} where cast(bcode as bigint) % 7 <> 0")
@@ -55,11 +55,20 @@ def scan_table(b):
     return tables.read_table(b.spark, path, "o_orderkey", "o_orderdate", "o_totalprice")
 
 
-@query()
+@query(
+    """select 'priority=' || replace(replace(o_orderpriority, ' ', '_'), '-', '') as folder, 'parquet' as kind,
+        true as has_content from {orders} group by all"""
+)
 def object_inventory(b):
+    """Folders and kinds of the objects of a table that the query lands."""
     path = workspace(b.spark, "objects")
-    b["fx_station"].write.parquet(path)
-    return tables.object_inventory(b.spark, path)
+    plain = F.replace(F.replace("o_orderpriority", F.lit(" "), F.lit("_")), F.lit("-"), F.lit(""))
+    b["orders"].withColumn("priority", plain).write.partitionBy("priority").parquet(path)
+    found = tables.object_inventory(b.spark, path)
+    folder, kind = F.substring_index("name", "/", 1), F.substring_index("name", ".", -1)
+    return found.groupBy(folder.alias("folder"), kind.alias("kind")).agg(
+        (F.min("length") > 0).alias("has_content")
+    )
 
 
 def _image(column: str, at: int, kind: str) -> str:
@@ -161,7 +170,7 @@ def ensure_tables(b):
 
 # --- streams ---------------------------------------------------------------
 
-WAVES = [("2024-01-04", "2024-01-08"), ("2024-01-08", "2024-01-12")]
+WAVES = [("2024-01-04", "2024-01-08"), ("2024-01-08", "2100-01-01")]
 
 
 def between(rows: DataFrame, first: str, end: str, column: str = "statupddt") -> DataFrame:
@@ -192,19 +201,18 @@ def stream_merge_status(b):
     """select distinct statid, chgerid, stat, statupddt, lasttedt, nowtsdt from {fx_status}"""
 )
 def stream_dedup_overlap(b):
-    """Each wave starts two minutes before the end of the one before."""
+    """The second wave starts two minutes before the end of the first, and brings rows of the
+    first wave's time that come late."""
     root = workspace(b.spark, "overlap")
-    cuts = ["2000-01-01", "2024-01-10", "2100-01-01"]
-    rows = status_rows(b)
-    for number, (first, end) in enumerate(zip(cuts, cuts[1:])):
-        start = F.lit(first).cast("timestamp_ntz") - F.make_dt_interval(mins=F.lit(2))
-        late = rows.filter(F.col("statupddt") >= start)
-        late = late.filter(F.col("statupddt") < F.lit(end).cast("timestamp_ntz"))
-        late.write.parquet(f"{root}/rows/wave={number}")
+    rows, cut = b["fx_status"], F.lit("2024-01-10").cast("timestamp_ntz")
+    late = F.col("event_id") % 20 == 0
+    again = F.col("statupddt") >= cut - F.make_dt_interval(mins=F.lit(2))
+    waves = [rows.filter((F.col("statupddt") < cut) & ~late), rows.filter(again | late)]
+    for number, wave in enumerate(waves):
+        wave.select(*STATUS.names).write.parquet(f"{root}/rows/wave={number}")
         feed = b.spark.readStream.schema(STATUS).parquet(f"{root}/rows/wave=*")
-        once = status.without_overlap(feed)
-        status.run_to_log(once, f"{root}/out", f"{root}/checkpoint", "append").awaitTermination()
-    return b.spark.read.parquet(f"{root}/out").drop("batch")
+        status.run_without_overlap(feed, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return b.spark.read.parquet(f"{root}/out").drop("batch", "day")
 
 
 @query(
@@ -230,12 +238,12 @@ def rebuild_protocol(b):
     """select statid, chgerid, stat, statupddt, lasttedt, nowtsdt from (
         select *, row_number() over (
             partition by statid, chgerid order by statupddt desc, stat desc) as rn
-        from {fx_status} where statupddt >= timestamp '2024-01-04'
-            and statupddt < timestamp '2024-01-12') as s where rn = 1"""
+        from {fx_status}) as s where rn = 1"""
 )
 def stream_latest_state(b):
     root = workspace(b.spark, "latest")
-    for number, (first, end) in enumerate(WAVES):
+    cut = "2024-01-08"
+    for number, (first, end) in enumerate([("2000-01-01", cut), (cut, "2100-01-01")]):
         between(status_rows(b), first, end).write.parquet(f"{root}/rows/wave={number}")
         feed = b.spark.readStream.schema(STATUS).parquet(f"{root}/rows/wave=*")
         state = status.latest_state(feed)
@@ -248,18 +256,47 @@ def stream_latest_state(b):
 BOOKMARKS = """with c as (select *, row_number() over (order by ts, event_id) as s from {fx_command}),
     cleared as (select user_id, max(s) as s from c where op = 'removeall' group by user_id),
     gone as (select user_id, item, max(s) as s from c where op = 'remove' group by user_id, item)
-    select c.user_id, c.item, min(c.ts) as ts, min(c.event_id) as event_id
+    select c.user_id, c.item, min(c.ts) as ts, min(c.event_id) as event_id,
+        arg_min(c.name, c.s) as name
     from c left join cleared x on c.user_id = x.user_id
     left join gone g on c.user_id = g.user_id and c.item = g.item
     where c.op = 'add' and c.s > coalesce(x.s, 0) and c.s > coalesce(g.s, 0)
     group by c.user_id, c.item"""
 
 
-@query(BOOKMARKS)
+RECENT = """with c as (select *, row_number() over (order by ts, event_id) as s from {fx_command}),
+    cleared as (select user_id, max(s) as s from c where op = 'removeall' group by user_id),
+    gone as (select user_id, item, max(s) as s from c where op = 'remove' group by user_id, item)
+    select c.user_id, c.item, max(c.ts) as ts, max(c.event_id) as event_id,
+        arg_max(c.name, c.s) as name
+    from c left join cleared x on c.user_id = x.user_id
+    left join gone g on c.user_id = g.user_id and c.item = g.item
+    where c.op = 'add' and c.s > coalesce(x.s, 0) and c.s > coalesce(g.s, 0)
+    group by c.user_id, c.item"""
+
+
+@query(RECENT.replace("max(c.event_id) as event_id", "arg_max(c.event_id, c.s) as event_id"))
+def stream_recent_searches(b):
+    """Recent searches from two waves of commands."""
+    root = workspace(b.spark, "searches")
+    fold = lambda log: user_lists.recent_search_entries(log, "name")
+    store = commands.ListStore(b.spark, f"{root}/lists", fold)
+    cut = "2024-01-15"
+    for number, (first, end) in enumerate([("2000-01-01", cut), (cut, "2100-01-01")]):
+        wave = between(b["fx_command"], first, end, "ts").select(*commands.COMMAND.names)
+        wave.write.parquet(f"{root}/rows/wave={number}")
+        feed = b.spark.readStream.schema(commands.COMMAND).parquet(f"{root}/rows/wave=*")
+        commands.run_commands(store, feed, f"{root}/checkpoint").awaitTermination()
+        store.compact()
+    return store.read()
+
+
+@query(BOOKMARKS.replace("min(c.event_id) as event_id", "arg_min(c.event_id, c.s) as event_id"))
 def stream_user_state(b):
     """Bookmarks from two waves of commands, with the list published in between."""
     root = workspace(b.spark, "commands")
-    store = commands.ListStore(b.spark, f"{root}/lists", user_lists.bookmark_entries)
+    fold = lambda log: user_lists.bookmark_entries(log, "name")
+    store = commands.ListStore(b.spark, f"{root}/lists", fold)
     cut = "2024-01-10"
     for number, (first, end) in enumerate([("2000-01-01", cut), (cut, "2100-01-01")]):
         wave = between(b["fx_command"], first, end, "ts").select(*commands.COMMAND.names)

@@ -364,6 +364,21 @@ def nearby_counts(b):
     return spatial.nearby_counts(b["fx_point"], OVERLAP_BOX)
 
 
+@query(
+    """select a.statid, b.statid as near_id, b.lat as near_lat, b.lng as near_lng
+    from (select * from {fx_point} where (lat, lng) in (
+        select (lat, lng) from {fx_point} group by lat, lng having count(*) > 1)) a
+    join {fx_point} b on b.lat <= a.lat + cast(0.00005 as double) and b.lat >= a.lat - cast(0.00005 as double)
+        and b.lng <= a.lng + cast(0.00005 as double) and b.lng >= a.lng - cast(0.00005 as double)
+    where a.statid <> b.statid"""
+)
+def neighbours_of(b):
+    """All stations around those that share their spot with another."""
+    shared = b["fx_point"].groupBy("lat", "lng").agg(F.count("*").alias("n")).filter("n > 1")
+    asked = b["fx_point"].join(shared, ["lat", "lng"], "left_semi")
+    return spatial.neighbours_of(asked, b["fx_point"], OVERLAP_BOX)
+
+
 # Rounds over all stations with neighbours: 0 open, 1 stays, 2 moves.
 SPREAD = """with recursive near as (
         select a.statid as a, b.statid as b, b.lat, b.lng from {fx_point} a join {fx_point} b

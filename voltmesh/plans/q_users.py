@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import ids, lists
+from ..functions import ids, lists, times
 from ..functions.fixed_values import REMOVED_NICKNAME, REMOVED_TEXT
 from ..operators import filters, reviews, user_lists, users
 from ..operators.skew import join_apart
+from ..session import workspace
 from .bindings import Bindings
 from .registry import query
 
@@ -28,6 +31,14 @@ DOUBLED = """(select snsid, appid from {fx_user} union all
 ASKED = "(select distinct snsid, concat('A', cast(snsid as string)) as appid from {fx_user_in})"
 
 
+@query(
+    """select u.sns, u.snsid, u.nickname, u.appid from {fx_user} u
+    where (u.sns, u.snsid) in (select (sns, snsid) from {fx_user_in})"""
+)
+def sign_in_answer(b):
+    return users.signed_in(b["fx_user"], b["fx_user_in"])
+
+
 @query(
     f"""with held as (select snsid, appid, count(*) as n from {DOUBLED} group by snsid, appid)
     select a.snsid, a.appid, 'one' as rule from {ASKED} a join held h
@@ -99,6 +110,16 @@ def update_nickname(b):
     return users.nickname_answers(b["fx_user"], asked)
 
 
+@query(
+    """select * replace (case when snsid % 2 = 0 then concat('Nick', cast(snsid as string))
+        else nickname end as nickname) from {fx_user}"""
+)
+def stored_nicknames(b):
+    chosen = F.concat(F.lit("Nick"), F.col("snsid").cast("string"))
+    asked = b["fx_user"].filter(F.col("snsid") % 2 == 0).select("snsid", "appid", chosen.alias("nickname"))
+    return users.set_nicknames(b["fx_user"], asked)
+
+
 # --- reviews ---------------------------------------------------------------
 
 
@@ -181,6 +202,59 @@ def keyset_page(b):
     return reviews.keyset_page(cursors, b["fx_review"])
 
 
+NEXT_PAGE = f"""with asked as (
+        select snsid, appid, stid, max(no) as last from {{fx_review}} group by snsid, appid, stid),
+    page as (
+        select a.*, r.no, r.reviewid, r.nickname, r.review, r.level, r.time, r.snsid as s, r.appid as p,
+            row_number() over (partition by a.snsid, a.appid, a.stid order by r.no desc) as pos
+        from asked a join {REVIEWS} r on r.stid = a.stid and r.no < a.last),
+    replies as (select stid, reviewid, count(*) as n from {REPLIES} group by stid, reviewid)
+    select g.snsid, g.appid, g.stid, g.last, cast(g.pos as int) as pos, g.no, g.nickname, g.reviewid,
+        g.review, g.level, g.time, coalesce(c.n, 0) as n_replies,
+        case when g.s = g.snsid and g.p = g.appid then 1 else 0 end as my
+    from page g left join replies c on c.stid = g.stid and c.reviewid = g.reviewid where g.pos <= 10"""
+
+
+@query(NEXT_PAGE)
+def next_review_page(b):
+    """Everyone reads on from the last they wrote at a station."""
+    last = b["fx_review"].groupBy("snsid", "appid", "stid").agg(F.max("no").alias("last"))
+    return reviews.next_review_page(last, b["fx_review"])
+
+
+ASKED_REPLIES = "(select distinct snsid, appid, stid, reviewid from {fx_review})"
+
+
+@query(
+    f"""with page as (
+        select *, row_number() over (partition by stid, reviewid order by no) as pos from {REPLIES})
+    select a.snsid, a.appid, a.stid, a.reviewid, p.nickname, p.replyid, p.reply, p.level, p.time, p.no,
+        cast(p.pos as int) as pos, case when p.snsid = a.snsid and p.appid = a.appid then 1 else 0 end as my
+    from {ASKED_REPLIES} a join page p on p.stid = a.stid and p.reviewid = a.reviewid where p.pos <= 10"""
+)
+def first_reply_page(b):
+    asked = b["fx_review"].select("snsid", "appid", "stid", "reviewid").distinct()
+    return reviews.first_reply_page(asked, b["fx_review"])
+
+
+@query(
+    f"""with asked as (
+        select snsid, appid, stid, reviewid, min(no) as last from {{fx_review}} group by all),
+    page as (
+        select a.*, r.no, r.replyid, r.nickname, r.reply, r.level, r.time, r.snsid as s, r.appid as p,
+            row_number() over (partition by a.snsid, a.appid, a.stid, a.reviewid order by r.no) as pos
+        from asked a join {REPLIES} r on r.stid = a.stid and r.reviewid = a.reviewid and r.no > a.last)
+    select snsid, appid, stid, reviewid, last, cast(pos as int) as pos, no, nickname, replyid, reply,
+        level, time, case when s = snsid and p = appid then 1 else 0 end as my
+    from page where pos <= 10"""
+)
+def next_reply_page(b):
+    """Everyone reads on from the first they wrote under a review."""
+    keys = ["snsid", "appid", "stid", "reviewid"]
+    last = b["fx_review"].groupBy(*keys).agg(F.min("no").alias("last"))
+    return reviews.next_reply_page(last, b["fx_review"])
+
+
 @query(
     f"""select stid, no, cast((n - 1) // 10 + 1 as bigint) as page, cast((n - 1) % 10 + 1 as bigint) as pos
     from (select stid, no, row_number() over (partition by stid order by no desc) as n from {REVIEWS}) as r"""
@@ -255,6 +329,22 @@ def delete_review(b):
     return left.select("no", "stid", "reviewid", "level", "nickname", "review")
 
 
+@query(
+    f"""select r.no, r.stid, r.reviewid, r.level,
+        case when e.no is not null then '{REMOVED_NICKNAME}' else r.nickname end as nickname,
+        case when e.no is not null then '{REMOVED_TEXT}' else r.review end as review
+    from {{fx_review}} r left join (
+        select * from {NEWEST} where (snsid, appid) in (select (snsid, appid) from {{fx_user}})) e
+        on r.no = e.no
+    where e.no is null or (r.stid, r.reviewid) in (select (stid, reviewid) from {REPLIES})"""
+)
+def delete_review_checked(b):
+    """Only the requests of known users are carried out."""
+    allowed = filters.authorised(newest_keys(b), b["fx_user"])
+    left = reviews.delete_reviews(b["fx_review"], allowed)
+    return left.select("no", "stid", "reviewid", "level", "nickname", "review")
+
+
 @query(
     f"""select * from {{fx_review}} where no not in (
         select no from (
@@ -267,18 +357,27 @@ def delete_reply(b):
     return reviews.delete_replies(b["fx_review"], first)
 
 
-@query()
+@query(
+    f"""select no, snsid, level, 36 as id_length, true as is_new,
+        substr(sha256(concat_ws('|', level, cast(snsid as varchar), '{SALT}')), 1, 20) as appid
+    from {{fx_review}}"""
+)
 def row_ids(b):
-    new = b["fx_review"].select("no", "snsid", ids.random_id().alias("newid"), "level")
-    return new.withColumn("appid", ids.stable_appid(F.col("level"), F.col("snsid"), SALT))
+    """New ids, whether each is the only one of its kind, and ids that stay the same."""
+    new = b["fx_review"].select("no", "snsid", "level", ids.random_id().alias("newid"))
+    path = workspace(b.spark, "ids")
+    new.write.parquet(path)  # random ids are made once
+    made = b.spark.read.schema(new.schema).parquet(path)
+    often = made.groupBy("newid").agg((F.count("*") == 1).alias("is_new"))
+    return made.join(often, "newid").select(
+        "no", "snsid", "level", F.length("newid").alias("id_length"), "is_new",
+        ids.stable_appid(F.col("level"), F.col("snsid"), SALT).alias("appid"),
+    )
 
 
-@query(
-    """select doc_id, stid, context as review, '2024-01-12 00:00:00' as time from {fx_report}"""
-)
+@query("""select no, stid, strftime(time, '%Y-%m-%d %H:%M:%S') as time from {fx_review}""")
 def now_text(b):
-    now = F.lit("2024-01-12 00:00:00")
-    return b["fx_report"].select("doc_id", "stid", F.col("context").alias("review"), now.alias("time"))
+    return b["fx_review"].select("no", "stid", times.time_text(F.col("time")).alias("time"))
 
 
 # --- lists -----------------------------------------------------------------
@@ -295,22 +394,54 @@ LOG = """c as (select *, row_number() over (order by ts, event_id) as s from {fx
 @query(
     f"""with {LOG},
     f as (select *, row_number() over (partition by user_id, item order by s) as rn from live)
-    select user_id, item, ts, event_id, row_number() over (partition by user_id order by s) as pos
+    select user_id, item, ts, event_id, name, '["' || name || '", "' || item || '"]' as entry,
+        row_number() over (partition by user_id order by s) as pos
     from f where rn = 1"""
 )
 def bookmark_state(b):
-    return user_lists.bookmark_state(b["fx_command"])
+    return bookmarks(b)
+
+
+def bookmarks(b: Bindings) -> DataFrame:
+    entry = user_lists.entry_text(F.col("name"), F.col("item"))
+    return user_lists.bookmark_state(b["fx_command"], "name").withColumn("entry", entry)
+
+
+# Those who gave a command on the last day ask for their lists.
+ASKING = """(select distinct user_id from {fx_command}
+    where ts >= (select max(ts) from {fx_command}) - interval 1 day)"""
+
+
+def asking(b: Bindings) -> DataFrame:
+    newest = b["fx_command"].agg(F.max("ts")).first()[0]
+    recent = F.col("ts") >= F.lit(newest - timedelta(days=1)).cast("timestamp_ntz")
+    return b["fx_command"].filter(recent).select("user_id").distinct()
+
+
+@query(
+    f"""with {LOG},
+    f as (select *, row_number() over (partition by user_id, item order by s) as rn from live)
+    select a.user_id, case when count(f.item) = 0 then '' else '[' || string_agg(
+        '["' || f.name || '", "' || f.item || '"]', ', ' order by f.s) || ']' end as items
+    from {ASKING} a left join (select * from f where rn = 1) f on f.user_id = a.user_id
+    group by a.user_id"""
+)
+def stored_bookmarks(b):
+    return user_lists.stored_lists(bookmarks(b), b["fx_command"], asking(b))
 
 
 @query(
     f"""with {LOG},
     f as (select *, row_number() over (partition by user_id, item order by s desc) as rn from live)
-    select user_id, item, ts, event_id, name,
+    select user_id, item, ts, event_id, name, place, lat, lng,
+        '["' || place || '", "' || name || '", "' || item || '", "' || lat || '", "' || lng || '"]' as entry,
         row_number() over (partition by user_id order by s desc) as pos
     from f where rn = 1"""
 )
 def recent_search_state(b):
-    return user_lists.recent_search_state(b["fx_command"], "name")
+    fields = [F.col(c) for c in ("place", "name", "item", "lat", "lng")]
+    found = user_lists.recent_search_state(b["fx_command"], "name", "place", "lat", "lng")
+    return found.withColumn("entry", user_lists.entry_text(*fields))
 
 
 @query(

@@ -36,7 +36,7 @@ def shared_root(spark: SparkSession) -> str:
         context = spark.sparkContext
         root = context.getCheckpointDir()
         if root is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             root = tempfile.mkdtemp(prefix="voltmesh-")
             context.setCheckpointDir(root)

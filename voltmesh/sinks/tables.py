@@ -1,52 +1,138 @@
-"""Published versions of a table.
+"""Published versions of a table, and a log of deltas beside it.
 
-A version is written whole to a folder of its own and then entered in the list
-of versions; readers take the last entry, so they never see a gap or a part of a
-write. One job writes a table at a time.
+A version is written whole to a folder with a name of its own and then entered in
+the list of versions; readers take the last entry, so they never see a gap or a part of
+a write. An entry has its own path and is never overwritten: of two writers that publish
+at once the second fails, and nothing that was published is lost.
+
+A table may be kept in parts by a hash of its key. A version then lists the folder of
+each part, and a new one writes the parts that changed and takes over the others.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from ..schemas import schema
 
 # Rows per file of a chunked write.
 ROWS_PER_FILE = 1_000_000
+# Versions whose files stay; a reader has the time of one more to finish.
+KEEP_VERSIONS = 2
+
+_ENTRY = schema("part INT, folder STRING, upto BIGINT")
+_LISTED = schema("part INT, folder STRING, upto BIGINT, version BIGINT")
+_LEDGER_ENTRY = schema("run STRING, batch BIGINT")
+_LEDGER = schema("run STRING, batch BIGINT, seq BIGINT")
+# The part whose folder has no rows, only the columns.
+_COLUMNS = -1
+
+
+class PublishConflict(RuntimeError):
+    """Another writer published first; read again and try again."""
+
+
+def _rows(spark: SparkSession, path: str, columns: T.StructType) -> list[Row]:
+    """The rows of a small table, none if it is not there yet."""
+    try:
+        return spark.read.schema(columns).parquet(path).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
 
-_VERSIONS = schema("version BIGINT, upto BIGINT")
+def _enter(entry: DataFrame, path: str) -> None:
+    try:
+        entry.coalesce(1).write.mode("errorifexists").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        raise PublishConflict(path) from error
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no reader needs any more."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, parts: int = 1, key: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.parts = parts
+        self.key = key
+
+    def _listed(self) -> list[Row]:
+        return _rows(self.spark, f"{self.root}/versions", _LISTED)
+
+    def _newest(self) -> list[Row]:
+        rows = self._listed()
+        newest = max((r["version"] for r in rows), default=None)
+        return [r for r in rows if r["version"] == newest]
 
     def last(self) -> tuple[int, int] | None:
         """(version, upto) of the newest version, None before the first."""
-        try:
-            entries = self.spark.read.schema(_VERSIONS).parquet(f"{self.root}/versions")
-        except AnalysisException:
-            return None
-        newest = entries.orderBy("version", ascending=False).first()
-        return (newest["version"], newest["upto"]) if newest else None
-
-    def publish(self, rows: DataFrame, upto: int = -1, max_rows_per_file: int = 0) -> int:
-        """Write the next version. `upto` is the last log batch it holds."""
-        newest = self.last()
-        version = newest[0] + 1 if newest else 1
-        writer = rows.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file)
-        writer.parquet(f"{self.root}/data/version={version}")
-        entry = self.spark.createDataFrame([(version, upto)], _VERSIONS).coalesce(1)
-        entry.write.mode("append").parquet(f"{self.root}/versions")
+        rows = self._newest()
+        return (rows[0]["version"], rows[0]["upto"]) if rows else None
+
+    def part_of(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.parts)).cast("int")
+
+    def publish(
+        self,
+        rows: DataFrame,
+        upto: int = -1,
+        max_rows_per_file: int = 0,
+        only: Iterable[int] | None = None,
+    ) -> int:
+        """Write the next version. `upto` is the last log entry it holds; `only` names the parts
+        that the rows belong to, the others stay as they are."""
+        before = self._newest()
+        version = before[0]["version"] + 1 if before else 1
+        folder = f"{self.root}/data/{uuid.uuid4().hex}"
+        found = {r["part"]: r["folder"] for r in before} if only is not None else {}
+        for part in only or ():
+            found.pop(part, None)
+        if only is None:
+            rows.limit(0).write.parquet(f"{folder}-columns")
+            found[_COLUMNS] = f"{folder}-columns"
+        if self.parts == 1:
+            rows.write.option("maxRecordsPerFile", max_rows_per_file).parquet(folder)
+            found[0] = folder
+        else:
+            cut = rows.withColumn("_part", self.part_of())
+            writer = cut.write.partitionBy("_part").option("maxRecordsPerFile", max_rows_per_file)
+            writer.parquet(folder)
+            written = self.spark.read.schema("_part INT").parquet(folder).distinct().collect()
+            found |= {r["_part"]: f"{folder}/_part={r['_part']}" for r in written}
+        entry = self.spark.createDataFrame([(p, f, upto) for p, f in sorted(found.items())], _ENTRY)
+        _enter(entry, f"{self.root}/versions/version={version}")
         return version
 
-    def read(self, *columns: str) -> DataFrame:
-        newest = self.last()
-        if newest is None:
+    def read(self, *columns: str, only: Iterable[int] | None = None) -> DataFrame:
+        newest = self._newest()
+        if not newest:
             raise FileNotFoundError(f"nothing published under {self.root}")
-        table = self.spark.read.parquet(f"{self.root}/data/version={newest[0]}")
+        wanted = None if only is None else {_COLUMNS, *only}
+        folders = {r["part"]: r["folder"] for r in newest if wanted is None or r["part"] in wanted}
+        layout = self.spark.read.parquet(folders.get(_COLUMNS) or next(iter(folders.values()))).schema
+        table = self.spark.read.schema(layout).parquet(*folders.values())
         return table.select(*columns) if columns else table
 
     def ensure(self, rows: DataFrame) -> bool:
@@ -56,6 +142,68 @@ class VersionedTable:
         self.publish(rows)
         return True
 
+    def prune(self, keep: int = KEEP_VERSIONS) -> None:
+        """Delete the files that only versions before the last `keep` have."""
+        rows = self._listed()
+        kept = set(sorted({r["version"] for r in rows})[-keep:])
+        needed = {r["folder"] for r in rows if r["version"] in kept}
+        for version in sorted({r["version"] for r in rows} - kept):
+            remove(self.spark, f"{self.root}/versions/version={version}")
+        for folder in {r["folder"] for r in rows} - needed:
+            remove(self.spark, folder)
+
+
+class DeltaLog:
+    """Deltas in the order they were added, each under a number the log gives it.
+
+    A delta is known by its run (the stream that writes it) and the batch within the
+    run, so a repeated one replaces itself, and a stream that begins anew goes on
+    behind the deltas of the one before. Readers see a delta when it is in the ledger.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, columns: T.StructType):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.columns = T.StructType([*columns.fields, T.StructField("seq", T.LongType())])
+        self.names = columns.names
+
+    def _ledger(self) -> list[Row]:
+        return _rows(self.spark, f"{self.root}/ledger", _LEDGER)
+
+    def last(self) -> int:
+        return max((r["seq"] for r in self._ledger()), default=-1)
+
+    def add(self, rows: DataFrame, run: str, batch: int) -> int:
+        """The number of the delta. A delta of no known number is written before its entry."""
+        ledger = self._ledger()
+        known = [r["seq"] for r in ledger if (r["run"], r["batch"]) == (run, batch)]
+        seq = known[0] if known else max((r["seq"] for r in ledger), default=-1) + 1
+        rows.select(*self.names).write.mode("overwrite").parquet(f"{self.root}/deltas/seq={seq}")
+        if not known:
+            entry = self.spark.createDataFrame([(run, batch)], _LEDGER_ENTRY)
+            _enter(entry, f"{self.root}/ledger/seq={seq}")
+        return seq
+
+    def read(self, after: int, upto: int | None = None) -> DataFrame:
+        """Deltas with a number over `after` (and at most `upto`), with their number as seq."""
+        wanted = sorted(
+            r["seq"] for r in self._ledger() if r["seq"] > after and (upto is None or r["seq"] <= upto)
+        )
+        if not wanted:
+            return self.spark.createDataFrame([], self.columns)
+        reader = self.spark.read.schema(self.columns).option("basePath", f"{self.root}/deltas")
+        return reader.parquet(*[f"{self.root}/deltas/seq={seq}" for seq in wanted])
+
+    def prune(self, upto: int) -> None:
+        """Delete deltas up to a number that a published version holds. The last entry of a run
+        stays in the ledger, so that its batch is known if it comes again."""
+        ledger = self._ledger()
+        latest = {r["run"]: max(x["seq"] for x in ledger if x["run"] == r["run"]) for r in ledger}
+        for row in ledger:
+            if row["seq"] <= upto and row["seq"] != latest[row["run"]]:
+                remove(self.spark, f"{self.root}/ledger/seq={row['seq']}")
+                remove(self.spark, f"{self.root}/deltas/seq={row['seq']}")
+
 
 def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.times import page_count
-from ..schemas import CHARGER_FEED, REGION_TEXT, STATUS
+from ..schemas import CHARGER_FEED, KEYS, REGION_TEXT, STATUS
 
 ROW_TAG = "item"
 
@@ -36,18 +38,41 @@ def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(*[_typed(f) for f in schema.fields])
 
 
+_DAMAGED = "_corrupt_record"
+
+
+def _with_source(reader, path: str, schema: T.StructType) -> DataFrame:
+    """Typed rows and source: the text of a damaged item, or the fields as they came."""
+    text = T.StructType([*_as_text(schema).fields, T.StructField(_DAMAGED, T.StringType())])
+    rows = reader.option("rowTag", ROW_TAG).option("columnNameOfCorruptRecord", _DAMAGED)
+    source = F.coalesce(F.col(_DAMAGED), F.to_json(F.struct(*schema.names)))
+    return rows.schema(text).load(path).select(*[_typed(f) for f in schema.fields], source.alias("source"))
+
+
+def _whole(schema: T.StructType) -> Column:
+    keys = [k for k in KEYS if k in schema.names]
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
+
+
 def read_pages(spark: SparkSession, path: str, schema: T.StructType = CHARGER_FEED) -> DataFrame:
-    """Every <item> of the landed pages. Field names match without regard to case."""
-    reader = spark.read.format("xml").option("rowTag", ROW_TAG).schema(_as_text(schema))
-    return typed(reader.load(path), schema)
+    """Every <item> of the landed pages that has its key. Field names match without regard
+    to case. What is left out is in rejected_items."""
+    return _with_source(spark.read.format("xml"), path, schema).filter(_whole(schema)).drop("source")
+
+
+def rejected_items(
+    spark: SparkSession, path: str, schema: T.StructType = CHARGER_FEED
+) -> DataFrame:
+    """Items that are damaged or have no readable key: what could be read, and source, the text."""
+    return _with_source(spark.read.format("xml"), path, schema).filter(~_whole(schema))
 
 
 def stream_pages(
     spark: SparkSession, path: str, schema: T.StructType = STATUS, **options: str
 ) -> DataFrame:
-    """The same as a stream of files; all rows of all files, however many."""
-    reader = spark.readStream.format("xml").option("rowTag", ROW_TAG).schema(_as_text(schema))
-    return typed(reader.options(**options).load(path), schema)
+    """All items of all files as a stream, with source; whoever merges them sets apart
+    those without a key."""
+    return _with_source(spark.readStream.format("xml").options(**options), path, schema)
 
 
 def write_pages(rows: DataFrame, path: str) -> None:

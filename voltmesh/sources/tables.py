@@ -29,12 +29,14 @@ def read_database(
 
 
 def object_inventory(spark: SparkSession, prefix: str) -> DataFrame:
-    """(name, length) of all objects under a prefix; the content is not read."""
+    """(name, length) of the objects under a prefix; the content is not read.
+
+    Names begin after the prefix, whatever scheme it is given with. Spark's file sources take
+    names that begin with '_' or '.' for their own and leave them out.
+    """
     objects = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
     )
-    start = F.locate(prefix, F.col("path"))
-    rest = F.substr(F.col("path"), start)
-    return objects.select(
-        relative_name(rest, F.lit(prefix.rstrip("/") + "/")).alias("name"), "length"
-    )
+    plain = lambda path: F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:/+", "/")
+    start = plain(F.lit(prefix.rstrip("/") + "/"))
+    return objects.select(relative_name(plain(F.col("path")), start).alias("name"), "length")

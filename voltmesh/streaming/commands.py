@@ -9,12 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.user_lists import as_commands
 from ..schemas import schema
-from ..sinks.tables import VersionedTable
+from ..sinks.tables import DeltaLog, VersionedTable
+from .status import run_of
 
-COMMAND = schema("user_id BIGINT, op STRING, item STRING, ts TIMESTAMP_NTZ, event_id BIGINT")
-ENTRY = T.StructType([f for f in COMMAND.fields if f.name != "op"])
-_LOG = T.StructType([*COMMAND.fields, T.StructField("batch", T.LongType())])
+COMMAND = schema(
+    "user_id BIGINT, op STRING, item STRING, ts TIMESTAMP_NTZ, event_id BIGINT, name STRING"
+)
 COMPACT_EVERY = 60
+# Parts of the published entries, by user.
+PARTS = 16
 
 
 class ListStore:
@@ -24,42 +27,54 @@ class ListStore:
     with the later commands gives the same lists as the whole log would.
     """
 
-    def __init__(self, spark: SparkSession, root: str, fold: Callable[[DataFrame], DataFrame]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        fold: Callable[[DataFrame], DataFrame],
+        command: T.StructType = COMMAND,
+        parts: int = PARTS,
+    ):
         self.spark = spark
-        self.root = root.rstrip("/")
         self.fold = fold
-        self.entries = VersionedTable(spark, f"{self.root}/entries")
-        if self.entries.ensure(spark.createDataFrame([], ENTRY)):
-            self._write(spark.createDataFrame([], COMMAND), -1)
+        self.command = command
+        self.entry = [n for n in command.names if n != "op"]
+        self.entries = VersionedTable(spark, f"{root.rstrip('/')}/entries", parts, "user_id")
+        self.log = DeltaLog(spark, f"{root.rstrip('/')}/log", command)
+        self.entries.ensure(spark.createDataFrame([], T.StructType([command[n] for n in self.entry])))
 
-    def _write(self, commands: DataFrame, batch: int) -> None:
-        commands.select(*COMMAND.names).write.mode("overwrite").parquet(
-            f"{self.root}/log/batch={batch}"
-        )
-
-    def _log(self) -> DataFrame:
-        upto = self.entries.last()[1]
-        return self.spark.read.schema(_LOG).parquet(f"{self.root}/log").filter(F.col("batch") > upto)
+    def _folded(self, entries: DataFrame, log: DataFrame) -> DataFrame:
+        start = as_commands(entries).select(*self.command.names)
+        return self.fold(start.unionByName(log.drop("seq")))
 
     def read(self) -> DataFrame:
         """Current entries of all users."""
-        start = as_commands(self.entries.read()).select(*COMMAND.names)
-        return self.fold(start.unionByName(self._log().drop("batch")))
+        return self._folded(self.entries.read(), self.log.read(self.entries.last()[1]))
 
-    def add_batch(self, commands: DataFrame, batch: int) -> None:
-        self._write(commands, batch)
-        if batch % COMPACT_EVERY == COMPACT_EVERY - 1:
+    def add_batch(self, commands: DataFrame, batch: int, run: str = "") -> None:
+        seq = self.log.add(commands, run, batch)
+        if seq - self.entries.last()[1] >= COMPACT_EVERY:
             self.compact()
 
     def compact(self) -> None:
-        newest = self._log().agg(F.max("batch")).first()[0]
-        if newest is not None:
-            self.entries.publish(self.read().select(*ENTRY.names), newest)
+        """Publish the lists of the users that the log touches, keep the other parts."""
+        done, upto = self.entries.last()[1], self.log.last()
+        if upto == done:
+            return
+        log = self.log.read(done, upto)
+        touched = [r[0] for r in log.select(self.entries.part_of()).distinct().collect()]
+        folded = self._folded(self.entries.read(only=touched), log)
+        self.entries.publish(folded.select(*self.entry), upto, only=touched)
+        self.entries.prune()
+        self.log.prune(done)  # readers of the version before may still fold the rest
 
 
 def run_commands(store: ListStore, commands: DataFrame, checkpoint: str) -> StreamingQuery:
+    def add(rows: DataFrame, batch: int) -> None:
+        store.add_batch(rows, batch, run_of(store.spark, checkpoint))
+
     return (
-        commands.writeStream.foreachBatch(store.add_batch)
+        commands.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

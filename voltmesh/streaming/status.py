@@ -1,119 +1,208 @@
 """The minute feed: a log of deltas on top of a published snapshot.
 
 A micro-batch writes only its own delta, so its cost does not grow with the
-snapshot. Readers fold the log since the last version into it; a compaction
-publishes the result as the next version. While the snapshot is being rebuilt
-(ck 0) deltas go to the buffer's log instead.
+snapshot. Readers fold the deltas since the last version into it; a compaction
+publishes the result as the next version, rewriting only the parts that the deltas touch.
+
+While the snapshot is being rebuilt (ck 0) deltas go on into the same log, but readers
+of the snapshot stop at the mark the rebuild set; the deltas behind it are the buffer.
+The rebuilt snapshot is published with the buffer replayed before ck is set again, so a
+failure at any step leaves every delta where a reader or the next attempt finds it.
+The minute job alone compacts the snapshot while ck is 1, the rebuild alone publishes it
+while ck is 0.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merges import fold_updates, latest_per_key, replay_buffer
 from ..schemas import CONTROL, KEYS, STATUS, STATUS_COLUMNS
-from ..sinks.tables import VersionedTable
+from ..sinks.tables import DeltaLog, PublishConflict, VersionedTable, exists
 
 SNAPSHOT, BUFFER = "snapshot", "buffer"
-_LOG = T.StructType([*STATUS.fields, T.StructField("batch", T.LongType())])
 
-# Batches between compactions; also the most entries one charger can have in the log.
+# Deltas between compactions, of the snapshot and of the buffer; also the most entries one
+# charger can have in what is folded.
 COMPACT_EVERY = 60
+# Parts of the snapshot, by charger.
+PARTS = 16
+# Attempts to change the control row while others do so as well.
+ATTEMPTS = 10
 
 
 class StatusStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        parts: int = PARTS,
+        layout: Callable[[DataFrame], DataFrame] | None = None,
+    ):
+        """`layout` orders the rows of a snapshot before they are written, by place for example."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.tables = {n: VersionedTable(spark, f"{self.root}/{n}") for n in (SNAPSHOT, BUFFER)}
+        self.layout = layout or (lambda rows: rows)
+        self.tables = {
+            SNAPSHOT: VersionedTable(spark, f"{self.root}/{SNAPSHOT}", parts, "statid"),
+            BUFFER: VersionedTable(spark, f"{self.root}/{BUFFER}"),
+        }
+        self.log = DeltaLog(spark, f"{self.root}/log", STATUS)
         self.control_table = VersionedTable(spark, f"{self.root}/control")
 
     def ensure_tables(self, now: float) -> None:
-        """Empty buffer and logs and the control row (1, 1, now), unless they exist."""
-        empty = self.spark.createDataFrame([], STATUS)
-        if self.tables[BUFFER].ensure(empty):
-            for name in self.tables:
-                empty.write.mode("append").parquet(self._log_path(name, -1))
+        """An empty buffer and the control row (1, 1, now), unless they exist."""
+        self.tables[BUFFER].ensure(self.spark.createDataFrame([], STATUS))
         self.control_table.ensure(self.spark.createDataFrame([(1, 1, now)], CONTROL))
 
     def control(self) -> tuple[int, float]:
         row = self.control_table.read().first()
         return row["ck"], row["time"]
 
-    def set_control(self, ck: int | None = None, at: float | None = None) -> None:
-        old_ck, old_time = self.control()
-        row = (1, old_ck if ck is None else ck, old_time if at is None else at)
-        self.control_table.publish(self.spark.createDataFrame([row], CONTROL))
-
-    def _log_path(self, name: str, batch: int) -> str:
-        return f"{self.root}/log/{name}/batch={batch}"
-
-    def _log(self, name: str) -> DataFrame:
-        upto = self.tables[name].last()[1]
-        log = self.spark.read.schema(_LOG).parquet(f"{self.root}/log/{name}")
-        return log.filter(F.col("batch") > upto)
-
-    def _last_batch(self, name: str) -> int:
-        newest = self._log(name).agg(F.max("batch")).first()[0]
-        return self.tables[name].last()[1] if newest is None else newest
+    def set_control(self, ck: int | None = None, at: float | None = None, mark: int | None = None) -> None:
+        """Change what is given, keep the rest, whatever other jobs change meanwhile."""
+        for _ in range(ATTEMPTS):
+            old_ck, old_time = self.control()
+            old_mark = self.control_table.last()[1]
+            row = (1, old_ck if ck is None else ck, old_time if at is None else at)
+            try:
+                rows = self.spark.createDataFrame([row], CONTROL)
+                self.control_table.publish(rows, old_mark if mark is None else mark)
+            except PublishConflict:
+                continue
+            self.control_table.prune()
+            return
+        raise PublishConflict(f"{self.root}/control")
+
+    def _mark(self) -> int | None:
+        """Last delta that readers of the snapshot see; None while no rebuild runs."""
+        return self.control_table.last()[1] if self.control()[0] == 0 else None
 
     def read(self, name: str = SNAPSHOT) -> DataFrame:
-        base = self.tables[name].read()
-        return fold_updates(base, self._log(name), "batch", upsert=name == BUFFER)
+        table = self.tables[name]
+        limit = self._mark() if name == SNAPSHOT else None
+        log = self.log.read(table.last()[1], limit)
+        return fold_updates(table.read(), log, "seq", upsert=name == BUFFER)
 
-    def merge_batch(self, rows: DataFrame, batch: int) -> None:
-        """Log the newest row of each charger; rows without a key are no use.
+    def merge_batch(self, rows: DataFrame, batch: int, run: str = "", at: float | None = None) -> None:
+        """Log the newest row of each charger and the time of the run.
 
-        A repeated batch replaces itself. What has been read is kept by the
-        stream's checkpoint, not by the control row.
+        Rows without a key go to a table of their own, see `rejected`. A repeated batch of
+        the same run replaces itself.
         """
-        ck, _ = self.control()
-        name = SNAPSHOT if ck == 1 else BUFFER
-        latest_per_key(rows.dropna(subset=KEYS)).select(*KEYS, *STATUS_COLUMNS).write.mode("overwrite").parquet(
-            self._log_path(name, batch)
-        )
-        if name == SNAPSHOT and batch % COMPACT_EVERY == COMPACT_EVERY - 1:
-            self.compact()
+        keyed = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in KEYS])
+        source = F.col("source") if "source" in rows.columns else F.lit(None).cast("string")
+        bad = rows.filter(~keyed).select(*STATUS.names, source.alias("source"))
+        bad.write.mode("overwrite").parquet(f"{self.root}/rejected/run={run or '-'}/batch={batch}")
+        seq = self.log.add(latest_per_key(rows.filter(keyed)).select(*STATUS.names), run, batch)
+        if at is not None:
+            self.set_control(at=at)
+        name = SNAPSHOT if self.control()[0] == 1 else BUFFER
+        if seq - self.tables[name].last()[1] >= COMPACT_EVERY:
+            self.compact(name)
+
+    def rejected(self) -> DataFrame:
+        """Rows of the feed that have no key, with the text they came as where the feed has it."""
+        return self.spark.read.parquet(f"{self.root}/rejected").drop("run", "batch")
 
     def compact(self, name: str = SNAPSHOT) -> None:
-        upto = self._last_batch(name)
-        self.tables[name].publish(self.read(name), upto)
+        """Publish the table with the deltas folded in, and drop what no reader needs."""
+        table, upto = self.tables[name], self.log.last()
+        if name == SNAPSHOT and self._mark() is not None:
+            return
+        done = table.last()[1]
+        log = self.log.read(done, upto)
+        if name == SNAPSHOT:
+            touched = [r[0] for r in log.select(table.part_of()).distinct().collect()]
+            folded = fold_updates(table.read(only=touched), log, "seq", upsert=False)
+            table.publish(self.layout(folded), upto, only=touched)
+            self.log.prune(done)  # readers of the version before may still fold the rest
+        else:
+            table.publish(fold_updates(table.read(), log, "seq", upsert=True), upto)
+        table.prune()
 
     def begin_rebuild(self) -> None:
-        """Clear the buffer and send the feed there."""
-        done = max(self._last_batch(name) for name in self.tables)
-        self.tables[BUFFER].publish(self.spark.createDataFrame([], STATUS), done)
-        self.set_control(ck=0)
+        """Clear the buffer and let readers of the snapshot stop here."""
+        mark = self.log.last()
+        self.tables[BUFFER].publish(self.spark.createDataFrame([], STATUS), mark)
+        self.tables[BUFFER].prune()
+        self.set_control(ck=0, mark=mark)
 
     def finish_rebuild(
         self, rebuilt: DataFrame, started: float | None = None, newer_only: bool = False
     ) -> None:
-        """Send the feed to the snapshot again and publish the rebuilt one with the buffer replayed."""
+        """Publish the rebuilt snapshot with the buffer replayed, then send readers to it."""
+        upto = self.log.last()
+        buffer = self.tables[BUFFER]
+        held = fold_updates(buffer.read(), self.log.read(buffer.last()[1], upto), "seq", upsert=True)
+        final = replay_buffer(rebuilt, held, newer_only)
+        done = self.tables[SNAPSHOT].last()
+        self.tables[SNAPSHOT].publish(self.layout(final), upto)
         self.set_control(ck=1, at=started)
-        upto = self._last_batch(BUFFER)
-        final = replay_buffer(rebuilt, self.read(BUFFER), newer_only)
-        self.tables[SNAPSHOT].publish(final, upto)
+        self.tables[SNAPSHOT].prune()
+        if done is not None:
+            self.log.prune(done[1])
+
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint; a new checkpoint has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
-def run_feed(store: StatusStore, feed: DataFrame, checkpoint: str) -> StreamingQuery:
+
+def run_feed(
+    store: StatusStore, feed: DataFrame, checkpoint: str, at: float | None = None
+) -> StreamingQuery:
     """Merge all landed files and stop; the checkpoint remembers what has been read."""
+
+    def merge(rows: DataFrame, batch: int) -> None:
+        store.merge_batch(rows, batch, run_of(store.spark, checkpoint), at)
+
     return (
-        feed.writeStream.foreachBatch(store.merge_batch)
+        feed.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def without_overlap(feed: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Drop rows that arrive again because consecutive reads overlap by two minutes.
+def run_without_overlap(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows of a feed that are not there yet, however late they come.
 
-    A watermark needs a time with zone; the session's is used on the way only.
+    Consecutive reads overlap, so rows come again. A batch is compared with what earlier
+    batches wrote for the days it has rows of, by charger and time; of rows of one
+    batch that agree in these the one with the highest status values is taken.
     """
-    timed = feed.withColumn("_at", F.col("statupddt").cast("timestamp"))
-    once = timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark([*KEYS, "_at"])
-    return once.drop("_at")
+    spark, keys = feed.sparkSession, [*KEYS, "statupddt"]
+    day = F.coalesce(F.date_format("statupddt", "yyyy-MM-dd"), F.lit("none"))
+    written = T.StructType([*STATUS.fields, T.StructField("day", T.StringType()), T.StructField("batch", T.LongType())])
+
+    def write(rows: DataFrame, batch: int) -> None:
+        newest = F.max(F.struct("stat", "lasttedt", "nowtsdt")).alias("_row")
+        once = rows.groupBy(*keys).agg(newest).select(
+            *KEYS, "_row.stat", "statupddt", "_row.lasttedt", "_row.nowtsdt", day.alias("day")
+        )
+        days = [f"{path}/day={r[0]}" for r in rows.select(day).distinct().collect()]
+        known = [d for d in days if exists(spark, d)]
+        if known:
+            before = spark.read.schema(written).option("basePath", path).parquet(*known)
+            before = before.filter(F.col("batch") < batch)
+            same = [once[k].eqNullSafe(before[k]) for k in keys]
+            once = once.join(before, same, "left_anti")
+        placed = once.withColumn("batch", F.lit(batch).cast("bigint"))
+        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("day", "batch").parquet(path)
+
+    return (
+        feed.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def latest_state(feed: DataFrame) -> DataFrame:
