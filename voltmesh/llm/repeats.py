@@ -31,7 +31,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voltmesh.operators.skew import join_apart
 from voltmesh.session import workspace
@@ -43,6 +43,8 @@ LEAST = 400
 GRAMS = 4
 #: Different snippets of one key that are indexed together; more are split first.
 GROUP_ROWS = 2_000
+#: Ranges that a full key's range is cut into at a time.
+SPLITS = 4
 #: Bytes indexed together; with one more group they must stay under 2^21.
 INDEX_BYTES = 600_000
 #: Bytes of text looked at together when anchors are chosen.
@@ -327,32 +329,39 @@ def repeated_runs(texts: DataFrame, least: int) -> DataFrame:
     twice = snips.filter("n > 1").select("key", "snip")
     whole = several.join(twice, ["key", "snip"]).select("digest", *_around(least))
     firsts = snips.select("key", "first.*")
-    counts = firsts.groupBy("key").agg(F.count("*").alias("rows"))
-    full = settle(counts.filter(F.col("rows") > GROUP_ROWS).select("key"), "full")
-    slices = _together(firsts.join(full, "key", "left_anti"), texts, least)
+    keys = _keys(firsts)
+    full = keys.filter(F.col("rows") > GROUP_ROWS).select("key")
+    slices = _together(firsts, keys.filter(F.col("rows") <= GROUP_ROWS), texts, least)
     runs = copied.unionAll(single).unionAll(whole)
     if not full.isEmpty():
-        split, marked = _split(firsts.join(full, "key", "left_semi"), texts, least)
-        slices, runs = slices.unionAll(split), runs.unionAll(marked)
+        split, equal = _split(firsts.join(full, "key", "left_semi"), texts, least)
+        slices, runs = slices.unionAll(split), runs.unionAll(equal)
     return runs.unionAll(indexed(slices, least))
 
 
-def _together(firsts: DataFrame, texts: DataFrame, least: int) -> DataFrame:
-    """group, digest, start, data: what is to be indexed of each text, by groups of keys.
+def _keys(firsts: DataFrame) -> DataFrame:
+    """key, rows (different snippets), and a mark that keys of the same copies share.
 
-    A key's group follows from the least key of the texts it occurs in and from its least
-    place there, so keys of the same copies meet; a group with many rows is cut by key.
+    The mark follows from the least key of the texts that a key occurs in and from its least
+    place there. The window is over the anchors of one text.
     """
-    least_key = firsts.groupBy("digest").agg(F.min("key").alias("other"))
-    of_key = firsts.join(least_key, "digest").groupBy("key").agg(
-        F.min("other").alias("other"), F.min("pos").alias("at"), F.count("*").alias("rows")
+    other = F.min("key").over(Window.partitionBy("digest"))
+    of_key = firsts.withColumn("other", other).groupBy("key").agg(
+        F.count("*").alias("rows"), F.min("other").alias("other"), F.min("pos").alias("at")
     )
-    keyed = of_key.select("key", "rows", F.xxhash64("other", F.floor(F.col("at") / SPAN)).alias("mark"))
-    parts = keyed.groupBy("mark").agg(F.ceil(F.sum("rows") / GROUP_ROWS).alias("parts"))
-    part = F.pmod(F.xxhash64("key"), F.col("parts"))
-    groups = settle(keyed.join(parts, "mark").select("key", F.xxhash64("mark", part).alias("group")), "groups")
-    wanted = firsts.join(groups, "key").select("digest", F.struct("group", *_around(least)).alias("want"))
-    return _slices(wanted, texts)
+    mark = F.xxhash64("other", F.floor(F.col("at") / SPAN))
+    return settle(of_key.select("key", "rows", mark.alias("mark")), "marks")
+
+
+def _together(firsts: DataFrame, keys: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """group, digest, start, data: what is to be indexed of each text, by groups of keys.
+
+    Keys with one mark are a group; one with many rows is cut by key.
+    """
+    parts = F.ceil(F.sum("rows").over(Window.partitionBy("mark")) / GROUP_ROWS)
+    group = F.xxhash64("mark", F.pmod(F.xxhash64("key"), parts)).alias("group")
+    wanted = firsts.join(keys.select("key", group), "key")
+    return _slices(wanted.select("digest", F.struct("group", *_around(least)).alias("want")), texts)
 
 
 def _slices(wanted: DataFrame, texts: DataFrame) -> DataFrame:
@@ -415,9 +424,11 @@ def _split(firsts: DataFrame, texts: DataFrame, least: int) -> tuple[DataFrame,
     """Snippets of full keys: slices in groups small enough to index, and runs that are certain.
 
     A string of `least` bytes around a gram has r more bytes to its right, r from 0 to
-    `before`, the rest to its left. A part of the rows stands for a range of r; all of them
-    share the gram, the fewest bytes to the right and the fewest to the left that the range
-    allows. The range is halved until few rows share that much, or a whole string.
+    `before`, the rest to its left. A row stands for a range of r. Its group shares the gram,
+    the fewest bytes to the right and the fewest to the left that the range allows, so equal
+    strings are in one group; its slice is all that strings of the range reach. Equal
+    slices are removed as a whole and go on as one row. Groups that still have many rows
+    have their range cut again, at last to one string.
     """
     gram = least // GRAMS
     before = least - gram
@@ -426,37 +437,43 @@ def _split(firsts: DataFrame, texts: DataFrame, least: int) -> tuple[DataFrame,
     rows = slices.join(firsts.select("digest", "pos", "key"), ["digest", "pos"]).select(
         "key", "digest", "pos", "start", "data", F.lit(0).alias("low"), F.lit(before + 1).alias("high")
     )
-    small, certain = [], []
+    levels, kinds, groups = [], [], []
     while True:
-        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-        halves = F.explode(
-            F.array(
-                F.struct(F.col("low").alias("a"), middle.alias("b")),
-                F.struct(middle.alias("a"), F.col("high").alias("b")),
-            )
-        )
-        cut = rows.withColumn("half", halves).filter("half.a < half.b")
-        left = F.lit(before + 1) - F.col("half.b")  # bytes that all share to the left, to the right
-        begin = (F.col("pos") - F.col("start") - left).cast("int")
-        width = (left + gram + F.col("half.a")).cast("int")
-        inside = cut.filter((begin >= 0) & (begin + width <= F.octet_length("data")))
-        shared = F.xxhash64("key", "half.a", F.substring("data", begin + 1, width))
-        level = inside.select(
-            "key", "digest", "pos", "start", "data",
-            F.col("half.a").alias("low"), F.col("half.b").alias("high"), shared.alias("group"),
+        wide = F.col("high") - F.col("low")
+        cuts = [(F.col("low") + F.floor(wide * i / SPLITS)).cast("int") for i in range(SPLITS + 1)]
+        ranges = F.array(*[F.struct(x.alias("a"), y.alias("b")) for x, y in zip(cuts, cuts[1:])])
+        cut = rows.withColumn("range", F.explode(ranges)).select("*", "range.*").filter("a < b")
+        at = (F.col("pos") - F.col("start")).cast("int")  # of the gram in the slice
+        left, right = F.lit(before + 1) - F.col("b"), F.col("a")  # bytes that a group shares
+        begin = F.greatest(at - (F.lit(before) - F.col("a")), F.lit(0))
+        end = F.least(at + gram + F.col("b") - 1, F.octet_length("data"))
+        fits = (at >= left) & (at + gram + right <= F.octet_length("data")) & (end - begin >= least)
+        shared = F.substring("data", at - left + 1, left + gram + right)
+        own = F.substring("data", begin + 1, end - begin)
+        level = cut.filter(fits).select(
+            F.xxhash64("key", "a", "b", shared).alias("group"),
+            F.concat_ws(":", F.md5(own), at - begin).alias("full"),
+            "key", "digest", "pos", (F.col("start") + begin).alias("start"), own.alias("data"),
+            F.col("a").alias("low"), F.col("b").alias("high"),
         )
-        level = settle(level, "split")
-        sizes = level.groupBy("group").agg(F.count("*").alias("rows"))
-        sized = level.join(settle(sizes.filter("rows > 1"), "sizes"), "group")
-        small.append(sized.filter(F.col("rows") <= GROUP_ROWS).select("group", "digest", "start", "data"))
-        many = sized.filter(F.col("rows") > GROUP_ROWS)
-        exact = many.filter("high - low = 1")
-        start = F.col("pos") - before + F.col("low")
-        certain.append(exact.select("digest", start.cast("bigint").alias("start"), (start + least).cast("bigint").alias("end")))
-        rows = settle(many.filter("high - low > 1").drop("group", "rows"), "split")
-        if rows.isEmpty():
+        levels.append(settle(level, "split"))
+        row = F.struct("digest", "pos", "start", "data", "key", "low", "high")
+        one = levels[-1].groupBy("group", "full").agg(F.count("*").alias("n"), F.min(row).alias("row"))
+        kinds.append(settle(one, "slices"))
+        sizes = kinds[-1].groupBy("group").agg(F.count("*").alias("rows")).filter("rows > 1")
+        groups.append(settle(sizes, "sizes"))
+        many = groups[-1].filter(F.col("rows") > GROUP_ROWS)
+        if many.isEmpty():
             break
-    return reduce(DataFrame.unionAll, small), reduce(DataFrame.unionAll, certain)
+        rows = kinds[-1].join(many, "group").select("row.*")
+    level, kind, size = (reduce(DataFrame.unionAll, tables) for tables in (levels, kinds, groups))
+    equal = level.join(kind.filter("n > 1").select("group", "full"), ["group", "full"])
+    few = kind.join(size.filter(F.col("rows") <= GROUP_ROWS), "group")
+    end = F.col("start") + F.octet_length("data")
+    return (
+        few.select("group", "row.digest", "row.start", "row.data"),
+        equal.select("digest", "start", end.alias("end")),
+    )
 
 
 # ---- The operator -----------------------------------------------------------------------
