@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import unit
+from .common import settle, unit
 
 SEED = "mix"
 #: Highest rate of one draw; the table of its distribution has TERMS entries, after which
@@ -53,12 +53,11 @@ def rates(docs: DataFrame, weights: DataFrame | None, total: float | None = None
         weighted = sizes.join(wanted, F.col("source").eqNullSafe(F.col("_source")), "left").select(
             "source", "size", F.coalesce("weight", F.lit(0.0)).alias("weight")
         )
-    sums = weighted.agg(F.sum("size").alias("_all"), F.sum("weight").alias("_weights"))
-    aim = F.col("_all").cast("double") if total is None else F.lit(float(total))
-    share = F.when(F.col("_weights") > 0, F.col("weight") / F.col("_weights")).otherwise(0.0)
-    return weighted.join(F.broadcast(sums)).select(  # the sums are one row
-        "source", "size", (share * aim / F.col("size")).alias("rate")
-    )
+    weighted = settle(weighted, "sources")
+    every, weight = weighted.agg(F.sum("size"), F.sum("weight")).first()
+    aim = float(every or 0) if total is None else float(total)
+    share = F.col("weight") / F.lit(weight) if weight else F.lit(0.0)
+    return weighted.select("source", "size", (share * F.lit(aim) / F.col("size")).alias("rate"))
 
 
 def distribution(rate: Column) -> Column:
