@@ -321,7 +321,8 @@ def repeated_runs(texts: DataFrame, least: int) -> DataFrame:
         F.count("*").alias("n"), (F.min("snip") == F.max("snip")).alias("single")
     )
     kinds = settle(kinds.filter("n > 1").select("key", "single"), "keys")
-    repeated = settle(found.join(kinds, "key"), "repeated")
+    # One plan at every size: a broadcast of few keys would only hide what this shuffle costs.
+    repeated = settle(found.join(kinds.hint("merge"), "key"), "repeated")
     single = repeated.filter("single").select("digest", *_around(least))
     several = repeated.filter("not single")
     place = F.min(F.struct("digest", "pos", "size")).alias("first")
