@@ -150,10 +150,11 @@ def passages(seed, least):
         texts.append(text)
     texts += [t[: least // 2] + "X" + t[least // 2 + 1 :] for t in texts[:30]]
     return texts + [None, "", texts[3], texts[3], "ab" * 3 * least, "z" * 4 * least, "z" * least, "z" * (least - 1),
-                    "é" * least + texts[5], "\0" * 2 * least]
+                    "é" * least + texts[5], "\0" * 2 * least,
+                    "abab" * (least // 4) + "ba", "xyxy" * (least // 3), word(least // 4) * 6]
 
 
-@pytest.mark.parametrize("least,group_rows,stride", [(40, 2000, 1 << 21), (40, 4, 300), (17, 3, 1 << 21)])
+@pytest.mark.parametrize("least,group_rows,stride", [(40, 2000, 1 << 21), (40, 4, 300), (17, 3, 1 << 21), (23, 6, 97)])
 def test_repeats_against_plain_search(spark, monkeypatch, least, group_rows, stride):
     monkeypatch.setattr(repeats, "GROUP_ROWS", group_rows)
     monkeypatch.setattr(repeats, "STRIDE", stride)
@@ -205,6 +206,8 @@ def test_equal_strings_have_equal_anchors():
     at, keys = repeats.anchors(text, np.array([3000]), 80)
     for start in range(0, 3000 - 80):
         assert ((at >= start) & (at <= start + 60)).any()
+    cut, cut_keys = repeats.anchors(text[700:2600], np.array([1900]), 80)  # the same in any buffer
+    assert set(zip((cut + 700).tolist(), cut_keys.tolist())) <= set(zip(at.tolist(), keys.tolist()))
     inside = lambda base: {(int(p) - base, int(k)) for p, k in zip(at, keys) if base + 60 <= p < base + 400 - 80}
     assert inside(100) == inside(2000)
 

@@ -50,6 +50,7 @@ INDEX_BYTES = 600_000
 #: Bytes of text looked at together when anchors are chosen.
 STRIDE = 1 << 21
 _BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 # ---- Anchors ----------------------------------------------------------------------------
@@ -70,13 +71,10 @@ def anchors(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray,
     one after the other, each at least that long; `ends` has the end of each."""
     gram = least // GRAMS
     width, count = least - gram + 1, len(data)
-    powers = _powers(STRIDE + 2 * least)
-    if count >= len(powers):
-        powers = _powers(count)
     sums = np.zeros(count + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:count], out=sums[1:])
-    # a gram's sum has a power for each byte; the same power in front makes it independent of place
-    hashes = (sums[gram:] - sums[:-gram]) * _downward(powers, count - gram + 1)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, count), out=sums[1:])
+    # each byte of a gram came with the power of its place; this takes the gram's place out again
+    hashes = (sums[gram:] - sums[:-gram]) * _powers(_INVERSE, count - gram + 1)
     hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     hashes ^= hashes >> np.uint64(29)
     rank = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -91,17 +89,12 @@ def anchors(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray,
     return at, hashes[at]
 
 
-def _powers(count: int) -> np.ndarray:
-    out = np.full(count + 1, _BASE, dtype=np.uint64)
-    out[0] = 1
+def _powers(base: int, count: int) -> np.ndarray:
+    out = np.full(count, base, dtype=np.uint64)
+    out[:1] = 1
     return np.cumprod(out)
 
 
-def _downward(powers: np.ndarray, count: int) -> np.ndarray:
-    """The last power, the one before it, and so on: `count` of them."""
-    return powers[len(powers) - count :][::-1]
-
-
 def _cut(data: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
     """A long text in parts that overlap so that each string of `least` bytes lies in one."""
     for begin in range(0, max(1, len(data) - least + 1), STRIDE):
@@ -286,7 +279,8 @@ def occurrences(texts: DataFrame, least: int) -> DataFrame:
         owner, place, keys = _anchor_places(rows, least)
         snips = np.fromiter(
             (
-                xxh3_64_intdigest(rows[i][max(0, p - before) : p + least])
+                # with the place of the gram: two grams of a short text can have all of it around them
+                xxh3_64_intdigest(rows[i][max(0, p - before) : p + least], min(p, before))
                 for i, p in zip(owner.tolist(), place.tolist())
             ),
             np.uint64,
