@@ -297,7 +297,8 @@ def test_object_inventory_with_a_scheme(spark, tmp_path):
 
 def test_commands_in_batches_with_compaction(spark, tmp_path):
     log = commands(21, 400)
-    store = lists.ListStore(spark, str(tmp_path / "l"), user_lists.bookmark_entries)
+    fold = lambda log: user_lists.bookmark_entries(log, "name")
+    store = lists.ListStore(spark, str(tmp_path / "l"), fold)
     for batch in range(4):
         part = spark.createDataFrame(log[batch * 100 : batch * 100 + 100], SCHEMA)
         store.add_batch(part, batch)

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from voltmesh.operators import user_lists
+from voltmesh.operators import skew, user_lists
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "user_id bigint, op string, item string, ts timestamp_ntz, event_id bigint, idx int, name string"
@@ -97,6 +97,23 @@ def test_flags(spark):
     assert {r["user_id"]: r["flags"] for r in got} == {u: str(f) for u, f in want.items()}
 
 
+def test_one_minute_of_one_user_is_cut(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SLICE_ROWS", 500)
+    log = [(1, "add" if i % 3 else "remove", "M1", T0 + dt.timedelta(milliseconds=i // 2), i, 0, "n") for i in range(6000)]
+    df = spark.createDataFrame(log, SCHEMA)
+    order = [df["ts"], df["event_id"]]
+    rows = skew.sliced(df, ["user_id"], order).groupBy("_cut").count().collect()
+    assert len(rows) >= 10 and max(r["count"] for r in rows) < 1500
+    state = []
+    for _, op, item, ts, event, *_ in log:
+        if op == "add":
+            state.append(event)
+        elif state:
+            state.pop(0)
+    got = sorted((r["pos"], r["event_id"]) for r in user_lists.filter_state(df).collect())
+    assert got == list(enumerate(state, 1))
+
+
 def test_stored_text(spark):
     log = spark.createDataFrame(
         [(1, "add", "M1", T0, 1, 0, 'a "b"'), (1, "add", "M2", T0, 2, 0, "c"), (2, "add", "M1", T0, 3, 0, "x"),

@@ -16,6 +16,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import workspace
+
+# Rows of a slice, about.
+SLICE_ROWS = 1_000_000
+
+
+def sliced(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "_cut"
+) -> DataFrame:
+    """Rows with the number of their slice: about SLICE_ROWS rows each, along keys and order.
+
+    The slices are ranges, so a key with many rows has several and they follow its order.
+    They are written, as a range computed again can come out differently.
+    """
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = max(least, -(-df.count() // SLICE_ROWS))
+    cut = df.repartitionByRange(count, *keys, *order).withColumn(name, F.spark_partition_id())
+    path = f"{workspace(spark, 'slices')}/rows"
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
+
 
 def running_sums(
     df: DataFrame,

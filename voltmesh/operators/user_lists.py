@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.lists import dump_items
-from ..functions.times import minute_number
-from .skew import join_apart, ranked
+from .skew import join_apart, ranked, sliced
 
 PAIR = ["user_id", "item"]
 FLAGS = 6
@@ -50,12 +49,11 @@ def _held(commands: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _placed(entries: DataFrame, newest_first: bool) -> DataFrame:
-    minute = minute_number(F.col("ts"))
+    order = [F.col("ts"), F.col("event_id")]
     if newest_first:
-        order, slice_by = [F.col("ts").desc(), F.col("event_id").desc()], -minute
-    else:
-        order, slice_by = [F.col("ts"), F.col("event_id")], minute
-    return ranked(entries, ["user_id"], slice_by, order, "pos")
+        order = [c.desc() for c in order]
+    rows = sliced(entries, ["user_id"], order)
+    return ranked(rows, ["user_id"], F.col("_cut"), order, "pos").drop("_cut")
 
 
 def bookmark_entries(commands: DataFrame, *attributes: str) -> DataFrame:
@@ -94,11 +92,11 @@ def filter_entries(commands: DataFrame) -> DataFrame:
 
     How many copies are left follows from the balance of adds and removes and
     its lowest point; the survivors are the last so many adds. Sums run inside
-    slices of a minute; the slice totals give each slice its start.
+    slices of a bounded number of rows; the slice totals give each slice its start.
     """
-    log = commands.filter(F.col("op").isin("add", "remove")).withColumns(
+    asked = commands.filter(F.col("op").isin("add", "remove"))
+    log = sliced(asked, PAIR, [F.col("ts"), F.col("event_id")], "_slice").withColumns(
         {
-            "_slice": minute_number(F.col("ts")),
             "_step": F.when(F.col("op") == "add", 1).otherwise(-1).cast("bigint"),
             "_one": (F.col("op") == "add").cast("bigint"),
         }

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.fixed_values import NOTICE_BODY, NOTICE_SUBJECT
 from ..functions.times import minute_number
 from ..operators import merges, notices, regions, reviews, spatial, user_lists
-from ..schemas import CHARGER_FEED, KEYS, STATUS, STATUS_COLUMNS
+from ..schemas import CHARGER_FEED, CHARGER_FEED_V1, KEYS, STATUS, STATUS_COLUMNS
 from ..session import workspace
 from ..sinks import tables as sinks
 from ..sources import feeds, tables
@@ -33,6 +33,19 @@ def scan_station_xml(b):
     return feeds.read_pages(b.spark, path)
 
 
+@query(
+    """select * exclude (addcd, location, bnm, lasttsdt, lasttedt, nowtsdt),
+        concat('P', cast(output as string)) as powertype from {fx_charger}"""
+)
+def scan_station_xml_older(b):
+    """The feed as it was before, with one power column."""
+    path = workspace(b.spark, "older")
+    power = F.concat(F.lit("P"), F.col("output").cast("string"))
+    rows = b["fx_charger"].withColumn("powertype", power)
+    feeds.write_pages(rows.select(*CHARGER_FEED_V1.names), path)
+    return feeds.read_pages(b.spark, path, CHARGER_FEED_V1)
+
+
 @query(STATUS_ROWS + "{fx_status}")
 def scan_status_xml(b):
     root = workspace(b.spark, "status")

@@ -101,8 +101,11 @@ class VersionedTable:
         max_rows_per_file: int = 0,
         only: Iterable[int] | None = None,
     ) -> int:
-        """Write the next version. `upto` is the last log entry it holds; `only` names the parts
-        that the rows belong to, the others stay as they are."""
+        """Write the next version and drop those before the last KEEP_VERSIONS.
+
+        `upto` is the last log entry it holds; `only` names the parts that the rows belong to,
+        the others stay as they are.
+        """
         before = self._newest()
         version = before[0]["version"] + 1 if before else 1
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
@@ -123,6 +126,7 @@ class VersionedTable:
             found |= {r["_part"]: f"{folder}/_part={r['_part']}" for r in written}
         entry = self.spark.createDataFrame([(p, f, upto) for p, f in sorted(found.items())], _ENTRY)
         _enter(entry, f"{self.root}/versions/version={version}")
+        self.prune()
         return version
 
     def read(self, *columns: str, only: Iterable[int] | None = None) -> DataFrame:

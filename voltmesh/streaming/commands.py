@@ -65,7 +65,6 @@ class ListStore:
         touched = [r[0] for r in log.select(self.entries.part_of()).distinct().collect()]
         folded = self._folded(self.entries.read(only=touched), log)
         self.entries.publish(folded.select(*self.entry), upto, only=touched)
-        self.entries.prune()
         self.log.prune(done)  # readers of the version before may still fold the rest
 
 

@@ -75,7 +75,6 @@ class StatusStore:
                 self.control_table.publish(rows, old_mark if mark is None else mark)
             except PublishConflict:
                 continue
-            self.control_table.prune()
             return
         raise PublishConflict(f"{self.root}/control")
 
@@ -124,13 +123,11 @@ class StatusStore:
             self.log.prune(done)  # readers of the version before may still fold the rest
         else:
             table.publish(fold_updates(table.read(), log, "seq", upsert=True), upto)
-        table.prune()
 
     def begin_rebuild(self) -> None:
         """Clear the buffer and let readers of the snapshot stop here."""
         mark = self.log.last()
         self.tables[BUFFER].publish(self.spark.createDataFrame([], STATUS), mark)
-        self.tables[BUFFER].prune()
         self.set_control(ck=0, mark=mark)
 
     def finish_rebuild(
@@ -144,7 +141,6 @@ class StatusStore:
         done = self.tables[SNAPSHOT].last()
         self.tables[SNAPSHOT].publish(self.layout(final), upto)
         self.set_control(ck=1, at=started)
-        self.tables[SNAPSHOT].prune()
         if done is not None:
             self.log.prune(done[1])
 
