@@ -1,12 +1,17 @@
 """The registered queries: SQL counterparts, columns, the pipeline."""
 
+import math
+from collections import Counter
+from hashlib import md5
+
 import __spark_entry__ as contract
 import corpus_pipeline
 import pytest
 
 from tests.compare import connect, difference
 from tests.llm import odd
-from voltmesh.llm import common, decontamination, queries
+from tests.llm.test_copies import near_pairs, root_of
+from voltmesh.llm import common, decontamination, mixing, queries, simhash
 
 SMALL = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -41,6 +46,38 @@ def test_columns(spark, name):
     assert df.count() == common.table(spark, SMALL, table).count()
 
 
+def plain_dedup(rows):
+    """The least id of each group of documents whose fingerprints are linked."""
+    prints = {r["doc_id"]: simhash.fingerprint(r["text"]) for r in rows}
+    keys = sorted(set(prints.values()))
+    root = root_of(near_pairs(keys, 4), keys)
+    least = {}
+    for doc, key in prints.items():
+        least[root[key]] = min(doc, least.get(root[key], doc))
+    return set(least.values())
+
+
+def plain_copies(rows):
+    """How often each document is there after mixing to equal sizes."""
+    size = Counter()
+    for r in rows:
+        size[r["source"]] += max(1, len(r["text"].encode()))
+    out = Counter()
+    for r in rows:
+        rate = sum(size.values()) / len(size) / size[r["source"]]
+        draws = max(1, math.ceil(rate / mixing.MAX_RATE))
+        for draw in range(1, draws + 1):
+            key = f"mix#{draw}#{r['doc_id']}#{md5(r['text'].encode()).hexdigest()}"
+            at = (int(md5(key.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            k, p, total = 0, math.exp(-rate / draws), math.exp(-rate / draws)
+            while total <= at:
+                k += 1
+                p *= rate / draws / k
+                total += p
+            out[r["doc_id"]] += k
+    return +out
+
+
 def test_pipeline_by_stages(spark):
     docs = common.table(spark, SMALL, "documents")
     columns = docs.columns
@@ -53,11 +90,12 @@ def test_pipeline_by_stages(spark):
     texts = {r["doc_id"]: r["text"] for r in common.table(spark, SMALL, "documents").collect()}
     assert ids["language_id"] == {d for d, t in texts.items() if any(c.isalpha() for c in t or "")}
     assert len(kept["simhash_dedup"]) == len(ids["simhash_dedup"])
+    assert ids["simhash_dedup"] == plain_dedup(kept["language_id"])
     benchmark = [r["text"] for r in common.table(spark, SMALL, "benchmark").collect()]
     plain = lambda t: "".join(map(chr, decontamination.normal(t)[0])).strip()
     held = {d for d in ids["simhash_dedup"] if any(plain(b) in plain(texts[d]) for b in benchmark)}
     assert ids["decontaminate"] == ids["simhash_dedup"] - held
-    assert ids["mix_sources"] <= ids["decontaminate"]
+    assert Counter(r["doc_id"] for r in kept["mix_sources"]) == plain_copies(kept["decontaminate"])
     assert len(kept["shard_records"]) == len(kept["mix_sources"])
     by_id = {}
     for r in kept["shard_records"]:

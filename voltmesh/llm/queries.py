@@ -86,6 +86,9 @@ def op7_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeat_list(table(spark, folder, "documents"))
 
 
+SQL["op7_remove_repeats"] = repeats.repeat_sql()
+
+
 @query
 def op8_shard_records(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's place among 16 shards of one weight."""

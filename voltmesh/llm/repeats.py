@@ -537,3 +537,34 @@ def repeat_list(docs: DataFrame, least: int = LEAST) -> DataFrame:
         F.coalesce("n_spans", F.lit(0).cast("bigint")).alias("n_spans"),
         F.coalesce("kept_sha256", "own").alias("kept_sha256"),
     )
+
+
+def repeat_sql(least: int = LEAST) -> str:
+    """The same list in DuckDB, by the md5 of every string of `least` bytes, written as hex."""
+    return f"""
+        with docs as (
+            select row_number() over () as rid, doc_id, hex(coalesce(text, '')) as h from documents),
+        strings as (
+            select rid, s, md5(substr(h, 2 * s + 1, {2 * least})) as w
+            from (select rid, h, unnest(range(0, length(h) // 2 - {least} + 1)) as s from docs)),
+        marked as (
+            select rid, s from (select rid, s, count(*) over (partition by w) as n from strings) where n > 1),
+        fresh as (
+            select rid, s, coalesce(s > lag(s) over (partition by rid order by s) + {least}, true) as first
+            from marked),
+        numbered as (
+            select rid, s, sum(first::int) over (partition by rid order by s) as run from fresh),
+        runs as (
+            select rid, run, min(s) as a, max(s) + {least} as b from numbered group by rid, run),
+        gaps as (
+            select r.rid, r.a, r.b,
+                substr(h, 2 * coalesce(lag(r.b) over w, 0) + 1, 2 * (r.a - coalesce(lag(r.b) over w, 0))) as before
+            from runs r join docs using (rid) window w as (partition by r.rid order by r.a)),
+        cut as (
+            select rid, string_agg(before, '' order by a) as front, max(b) as tail,
+                sum(b - a)::bigint as n_removed, count(*) as n_spans
+            from gaps group by rid)
+        select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+            coalesce(n_spans, 0)::bigint as n_spans,
+            sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(tail, 0) + 1))) as kept_sha256
+        from docs left join cut using (rid)"""
