@@ -249,6 +249,57 @@ def test_windows_against_plain_alignment():
     assert min(seen) > 3
 
 
+def stretch_within(item, text):
+    """Whether any 64 to 127 characters of an item, from any start, lie in a text with at most 10 % edits."""
+    for begin in range(len(item) - 63):
+        row = [0] * (len(text) + 1)
+        for i, a in enumerate(item[begin : begin + 127], 1):
+            new = [i]
+            for j, b in enumerate(text, 1):
+                new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+            row = new
+            if min(row) > 12:
+                break
+            if i >= 64 and min(row) <= i // 10:
+                return True
+    return False
+
+
+def test_excerpts_are_found_from_every_start(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 8))) for _ in range(400)]
+    items = [" ".join(rng.choices(words, k=n)) for n in (15, 40, 60)]
+    filler = [" ".join(rng.choices(words, k=12)) for _ in range(50)]
+    cuts = [(i, items[i][a : a + n]) for i in range(3) for n in (64, 80, 100) for a in range(len(items[i]) - n + 1)]
+    docs = odd.of(spark, [f"{rng.choice(filler)} {cut} {rng.choice(filler)}" for _, cut in cuts])
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontamination.leak_list(docs, benchmark).collect()}
+    # a cut within a blank leaves a character less
+    short = {d for d, (_, cut) in enumerate(cuts) if len(cut.strip()) < 64}
+    assert {d for d, _ in got} >= set(range(len(cuts))) - short
+    assert all(cuts[d][0] == i for d, i in got)
+    assert all(r["edits"] == 0 for (d, _), r in got.items() if len(cuts[d][1]) == 64 and d not in short)
+
+
+def test_damaged_excerpts_against_plain_alignment():
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(60)]
+    sentence = lambda n: " ".join(rng.choices(words, k=n))
+    items = [sentence(36) for _ in range(3)]
+    index = decontamination.build(items)
+    seen = [0, 0]
+    for _ in range(24):
+        item = rng.randrange(3)
+        size = rng.choice([64, 70, 85, 100, 127])
+        begin = rng.randrange(len(items[item]) - size)
+        cut = damaged(rng, items[item][begin : begin + size], rng.choice([2, 5, 7, 8, 10, 14]))
+        codes = decontamination.normal(f"{sentence(5)} {cut} {sentence(5)}")[0]
+        want = {i for i in range(3) if stretch_within(items[i], "".join(map(chr, codes)))}
+        assert {m[0] for m in index.search(codes)} == want
+        seen[bool(want)] += 1
+    assert min(seen) > 3
+
+
 def test_all_planted_items_are_found(spark):
     docs, benchmark = common.table(spark, MIDDLE, "documents"), common.table(spark, MIDDLE, "benchmark")
     got = {(r["doc_id"], r["item_id"]) for r in decontamination.leak_list(docs, benchmark).collect()}

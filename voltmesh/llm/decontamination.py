@@ -7,6 +7,11 @@ q-grams with it, on diagonals (place in the document minus place in the window)
 apart. So shared q-grams are counted in bands of diagonals that overlap by e; bands with
 fewer are dropped and the rest are aligned, within the band, to the true number of edits.
 
+Windows start at every STEP-th character only. So in what they leave, every stretch of an
+item of EXCERPT characters or more is looked for as well, from whatever character it starts.
+A stretch of twice that length within the rate of edits has a half within it, so lengths up
+to there are enough. The same count of shared q-grams says which starts to align.
+
 The windows of a bounded number of benchmark characters go to every task as one index; a
 larger benchmark is cut into several such blocks, and each document meets all of them.
 """
@@ -24,6 +29,8 @@ from .common import digits, map_arrow, texts_of
 
 #: Characters of a q-gram, of a window, between window starts, of the shortest item used.
 Q, WINDOW, STEP, SHORTEST = 8, 96, 48, 32
+#: Characters of the shortest stretch found from any start of a longer item, and of the longest aligned.
+EXCERPT, LONGEST = 64, 127
 #: Edits allowed per character of a window.
 EDIT_RATE = 0.1
 #: Benchmark characters in one block of the index, about 24 bytes each in memory.
@@ -35,7 +42,7 @@ COARSE, COUNTER_BITS = 32, 21
 #: Band cells aligned at once, characters of a document's text looked at together.
 CELLS, STRIDE = 1 << 20, 1 << 20
 _GAP, _WALL = 32, 0
-_FAR = 1 << 20
+_FAR = 256  # more than any edits; a row of the band of these stays below 2**15
 
 
 def normal(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -92,17 +99,23 @@ class Index:
     filter: np.ndarray
     window_first: np.ndarray  # first entry in `windows` of each place in `codes`, and their end
     windows: np.ndarray  # windows that hold the whole q-gram of a place
+    allowed: np.ndarray  # most edits of a stretch of each length up to LONGEST
 
     @property
     def least(self) -> np.ndarray:
         """q-grams that a match of each window shares at least."""
         return self.size - Q + 1 - Q * self.edits
 
+    @property
+    def least_of_stretch(self) -> np.ndarray:
+        """q-grams that a match of a stretch shares at least, by its length."""
+        return np.arange(LONGEST + 1) - Q + 1 - Q * self.allowed
+
     def shared(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in `codes` and in the items of the q-grams that both have, except those on
         diagonals with too few around them.
 
-        A match shares at least min(least) q-grams of its item on diagonals less than COARSE / 2 apart,
+        A match shares at least `fewest` q-grams of its item on diagonals less than COARSE / 2 apart,
         so they lie together in one of two rows of coarse bands, shifted by half a band.
         Bands are counted by hash, so a count may be too high, never too low.
         """
@@ -121,7 +134,8 @@ class Index:
         ours, theirs = np.concatenate(ours), np.concatenate(theirs)
         if not len(ours):
             return ours, theirs
-        diagonal, fewest = ours - theirs + len(self.codes), self.least.min()
+        diagonal = ours - theirs + len(self.codes)
+        fewest = min(self.least.min(), self.least_of_stretch[EXCERPT:].min())
         keep = np.zeros(len(ours), dtype=bool)
         for shift in (0, COARSE // 2):
             band = ((diagonal + shift) // COARSE * len(self.size) + self.item[theirs]).view(np.uint64)
@@ -129,9 +143,8 @@ class Index:
             keep |= np.bincount(band, minlength=1 << COUNTER_BITS)[band] >= fewest
         return ours[keep], theirs[keep]
 
-    def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def candidates(self, codes: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Window and first diagonal of the bands that hold enough shared q-grams."""
-        ours, theirs = self.shared(codes)
         low, high = self.window_first[theirs], self.window_first[theirs + 1]
         window = self.windows[_ranges(low, high)]
         offset = np.repeat(theirs, high - low) - self.start[window]
@@ -151,8 +164,17 @@ class Index:
         return window, band * (self.edits[window] + 1)
 
     def matches(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """Item, first and last place in `codes`, edits of each band that aligns."""
-        window, low = self.candidates(codes)
+        """Item, first and last place in `codes`, edits of each band that aligns with a window."""
+        return self._windows(codes, *self.shared(codes))
+
+    def search(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """As `matches`, and stretches from any start of the items of which a text has no window."""
+        ours, theirs = self.shared(codes)
+        found = self._windows(codes, ours, theirs)
+        return found + self._stretches(codes, ours, theirs, found)
+
+    def _windows(self, codes, ours, theirs) -> list[tuple[int, int, int, int]]:
+        window, low = self.candidates(codes, ours, theirs)
         out = []
         for shape in np.unique(self.size[window] * (WINDOW + 1) + self.edits[window]):
             size, edits = int(shape) // (WINDOW + 1), int(shape) % (WINDOW + 1)
@@ -168,18 +190,9 @@ class Index:
         width = 4 * edits + 1  # the band, 2 * edits + 1 wide, and edits on either side
         base = low - edits
         cells = np.arange(width)
-        cost = np.zeros((len(window), width), dtype=np.int64)
+        cost = np.zeros((len(window), width), dtype=np.int16)
         for i in range(size):
-            place = base[:, None] + cells + i
-            inside = (place >= 0) & (place < len(codes))
-            text = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], _WALL)
-            wall = text == _WALL
-            pattern = self.codes[self.start[window] + i][:, None]
-            step = cost + np.where(wall, _FAR, text != pattern)
-            drop = np.concatenate([cost[:, 1:], np.full((len(window), 1), _FAR)], axis=1) + 1
-            best = np.minimum(step, drop)
-            passed = np.cumsum(np.where(wall, _FAR, 1), axis=1)  # text passed over along the row
-            cost = np.minimum.accumulate(best - passed, axis=1) + passed
+            cost = _next(cost, codes, base[:, None] + cells + i, self.codes[self.start[window] + i])
         found = cost.min(axis=1)
         end = cost.argmin(axis=1)
         return [
@@ -188,10 +201,102 @@ class Index:
             if c <= edits
         ]
 
+    def _stretches(self, codes, ours, theirs, found) -> list[tuple[int, int, int, int]]:
+        """Item, first and last place, edits of the stretches that align, but for items `found` in a text."""
+        texts = np.cumsum(codes == _WALL)
+        owners = self.owner[self.windows[self.window_first[theirs]]]
+        seen = [int(texts[(first + last) // 2]) * (len(self.codes) + 1) + item for item, first, last, _ in found]
+        keep = ~np.isin(texts[ours] * (len(self.codes) + 1) + owners, seen)
+        ours, theirs = ours[keep], theirs[keep]
+        if not len(ours):
+            return []
+        diagonal = ours - theirs + len(self.codes)
+        rows = [self._starts((diagonal + shift) // COARSE, theirs, shift) for shift in (0, COARSE // 2)]
+        start, low, size = (np.concatenate(x) for x in zip(*rows))
+        most = int(self.allowed.max())
+        width = COARSE + 2 * most
+        out, group = [], max(1, CELLS // width)
+        for i in range(0, len(start), group):
+            out += self._longest(codes, start[i : i + group], low[i : i + group] - most, size[i : i + group], width)
+        return out
+
+    def _starts(self, band, theirs, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in the items from which a stretch may match, the first diagonal of its coarse band
+        and its length: where as many places of the item lie near enough to each other as that asks for.
+
+        Lengths at which one more edit is allowed are enough, as those between hold a stretch of
+        such a length with as many. What is left without a first part of too many edits is within
+        the rate as well, so a stretch longer than EXCERPT by Q or more starts with a shared q-gram.
+        """
+        wide = len(self.codes) + LONGEST
+        hits = np.unique(band * wide + theirs)
+        theirs = hits % wide
+        begin = np.searchsorted(self.item, self.item[theirs])
+        end = np.searchsorted(self.item, self.item[theirs], side="right")
+        sizes = [EXCERPT, *(n for n in range(EXCERPT + 1, LONGEST + 1) if self.allowed[n] > self.allowed[n - 1])]
+        keys = []
+        for size in sizes:
+            ahead = int(self.least_of_stretch[size]) - 1
+            near = np.flatnonzero(hits[ahead:] - hits[: max(0, len(hits) - ahead)] <= size - Q)
+            high = np.minimum(theirs[near], end[near] - size)
+            low = np.maximum(theirs[near + ahead] + Q - size, begin[near])
+            if size >= EXCERPT + Q:
+                low = np.maximum(low, theirs[near])
+            near, low, high = near[low <= high], low[low <= high], high[low <= high]
+            keys.append(np.repeat(hits[near] // wide, high - low + 1) * wide + _ranges(low, high + 1))
+        key, at = np.unique(np.concatenate(keys), return_index=True)  # the first, so the shortest
+        size = np.repeat(sizes, [len(k) for k in keys])[at]
+        return key % wide, key // wide * COARSE - shift - len(self.codes), size
+
+    def _longest(self, codes, start, base, size, width: int) -> list[tuple[int, int, int, int]]:
+        """The stretch of at least `size` from each start with the fewest edits within the rate, the
+        longest of them. If EXCERPT or more follows a first part of too many edits, the start of
+        what follows is tried instead.
+        """
+        room = np.searchsorted(self.item, self.item[start], side="right") - start
+        cells, row = np.arange(width), np.arange(len(start))
+        cost = np.zeros((len(start), width), dtype=np.int16)
+        most = np.full(len(start), self.allowed.max())
+        edits, length, cell = (np.full(len(start), x, dtype=np.int64) for x in (_FAR, 0, 0))
+        for i in range(LONGEST):
+            place = (base + start)[row][:, None] + cells + i
+            cost = _next(cost, codes, place, self.codes[start[row] + i])
+            least = cost.min(axis=1)
+            if i + 1 >= EXCERPT:
+                good = (least <= self.allowed[i + 1]) & (least <= edits[row])
+                edits[row[good]], length[row[good]] = least[good], i + 1
+                cell[row[good]] = cost.argmin(axis=1)[good]
+            late = least > self.allowed[i + 1]
+            most[row[late]] = np.minimum(most[row[late]], self.allowed[min(LONGEST, EXCERPT + i)])
+            stay = (least <= np.minimum(most, edits)[row]) & (room[row] > i + 1)
+            stay &= ~late | (size[row] <= EXCERPT + i)
+            if not stay.all():
+                row, cost = row[stay], cost[stay]
+            if not len(row):
+                break
+        owner = self.owner[self.windows[self.window_first[start]]]
+        first = base + start + cell
+        return [
+            (int(owner[w]), max(0, int(first[w])), min(len(codes), int(first[w] + length[w])) - 1, int(edits[w]))
+            for w in np.flatnonzero(length)
+        ]
+
+
+def _next(cost: np.ndarray, codes: np.ndarray, place: np.ndarray, pattern: np.ndarray) -> np.ndarray:
+    """Edits in the cells of a band, at `place` in the text, after one more character of the pattern."""
+    inside = (place >= 0) & (place < len(codes))
+    text = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], _WALL)
+    wall = text == _WALL
+    far, one = np.int16(_FAR), np.int16(1)
+    best = cost + np.where(wall, far, (text != pattern[:, None]).astype(np.int16))
+    best[:, :-1] = np.minimum(best[:, :-1], cost[:, 1:] + one)
+    passed = np.cumsum(np.where(wall, far, one), axis=1, dtype=np.int16)  # text passed over along the row
+    return np.minimum(np.minimum.accumulate(best - passed, axis=1) + passed, far)
+
 
 def build(texts: list[str], edit_rate: float = EDIT_RATE) -> Index:
     """Index of the windows of some items; those under SHORTEST characters have none."""
-    if WINDOW * edit_rate >= COARSE // 2:
+    if LONGEST * edit_rate >= COARSE // 2:
         raise ValueError("so many edits need wider coarse bands")
     owner, start, size, parts, at = [], [], [], [], 0
     for i, text in enumerate(texts):
@@ -209,6 +314,8 @@ def build(texts: list[str], edit_rate: float = EDIT_RATE) -> Index:
     item = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     size, start = np.array(size, dtype=np.int64), np.array(start, dtype=np.int64)
     edits = np.minimum((size * edit_rate).astype(np.int64), (size - Q) // Q)
+    lengths = np.arange(LONGEST + 1)
+    allowed = (lengths * min(edit_rate, (EXCERPT - Q) / Q / EXCERPT)).astype(np.int64)
     count = size - Q + 1
     window, place = np.repeat(np.arange(len(size)), count), _ranges(start, start + count)
     held = np.bincount(place, minlength=len(codes))
@@ -222,6 +329,7 @@ def build(texts: list[str], edit_rate: float = EDIT_RATE) -> Index:
         np.array(owner, dtype=np.int64), start, size, edits, codes, item, distinct,
         np.append(first, len(every)), places[order], table,
         np.concatenate([[0], np.cumsum(held)]), window[np.argsort(place, kind="stable")],
+        allowed,
     )
 
 
@@ -242,8 +350,8 @@ def find_leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", name: str = "leaks"
 ) -> DataFrame:
     """Columns of the input and `name`: an array of item_id, start, end, edits, one for each
-    item found, where it was found with the fewest edits. Places are in code points, to within
-    the edits. Null and empty texts have none; null items and items under SHORTEST
+    item found, where a window of it was found with the fewest edits, or if none was, a stretch
+    of EXCERPT characters or more from any start. Places are in code points, to within the edits. Null and empty texts have none; null items and items under SHORTEST
     characters are not looked for. Repeated items are found once per id. A column of
     that name is replaced.
     """
@@ -269,7 +377,7 @@ def _searcher(ids: list, index: Index, text: str, name: str, arrow: pa.DataType)
         codes, places = normal("\0".join(texts))
         ends = np.cumsum([len(t) + 1 for t in texts])
         best: list[dict] = [{} for _ in texts]
-        for item, first, last, edits in index.matches(codes):
+        for item, first, last, edits in index.search(codes):
             while first < last and codes[first] == _WALL:
                 first += 1
             row = int(np.searchsorted(ends, places[(first + last) // 2], side="right"))
