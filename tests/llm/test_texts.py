@@ -93,6 +93,17 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_copies_do_not_crowd_out_other_texts(spark):
+    rng = random.Random(5)
+    words = {k: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(200)] for k in ("aa", "bb")}
+    texts = [(k, " ".join(rng.choices(words[k], k=8))) for k in words for _ in range(300)]
+    others = spark.createDataFrame(texts, "lang string, text string")
+    copies = spark.range(30_000).select(F.lit("aa").alias("lang"), F.lit(texts[0][1]).alias("text"))
+    model = language.fit(others.unionByName(copies), rows=200)
+    rows = language.identify(others, model).collect()
+    assert all(r["lang"] == r["lang_pred"] and r["coverage"] > 0.8 for r in rows)
+
+
 def test_prediction_does_not_see_lang(spark):
     docs = common.table(spark, SMALL, "documents")
     model = language.fit(docs)

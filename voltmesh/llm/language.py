@@ -20,7 +20,7 @@ from voltmesh.operators.skew import top_per_key
 
 from .common import digits, held_out, map_arrow, texts_of
 
-#: Rows per language that a model is fitted on, about; picked by the hash of the text.
+#: Distinct texts per language that a model is fitted on, about; picked by the hash of the text.
 TRAIN_ROWS = 2_000
 #: Most frequent n-grams in a language's profile.
 PROFILE = 4_000
@@ -141,12 +141,13 @@ def build(languages: list[str], profiles: list[tuple[str, int]]) -> Model:
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, profile: int = PROFILE) -> Model:
     """A model of the non-null values of lang, from text and lang alone.
 
-    About `rows` rows of each language are read, all if there are fewer, copies of a text
-    once. What comes to the driver is a row per language and `profile` n-grams of each.
+    About `rows` texts of each language are read, all if there are fewer, copies of a text
+    once; they do not count for the share that is read either. What comes to the driver is a row per language and `profile` n-grams of each.
     Equally frequent n-grams are taken by hash.
     """
     known = docs.filter("text is not null and lang is not null").select("text", "lang")
-    counts = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
+    distinct = known.groupBy("lang").agg(F.countDistinct(F.xxhash64("text")))
+    counts = {r[0]: r[1] for r in distinct.collect()}
     if not counts:
         return build([], [])
     rates = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, rows / n))])
