@@ -56,6 +56,13 @@ def test_added_kinds_are_found(spark):
     assert "forge:0:44" in spans[7] and "chat:0:15" in spans[8] and "pem:0:31" in spans[10] and "url:4:18" in spans[11]
 
 
+def test_long_credentials_in_urls_are_found(spark):
+    parts = [("user", "github_pat_" + "a1B2" * 21), ("n" * 70, "pass1"), ("u" * 65, "p" * 2000)]
+    rows = secrets.secret_list(odd.of(spark, [f"see https://{u}:{p}@host/x" for u, p in parts])).collect()
+    want = {i: f"url:9:{9 + len(u) + len(p) + 5}" for i, (u, p) in enumerate(parts)}
+    assert {r["doc_id"]: next(x for x in r["spans"].split(",") if x.startswith("url")) for r in rows} == want
+
+
 @pytest.mark.parametrize("rule", secrets.RULES + (secrets.Rule("odd", "a(bc|d)?e{2,3}x+[^y]zz|qrst"),), ids=lambda r: r.kind)
 def test_matches_satisfy_the_query(rule):
     query = secrets.trigram_query(rule.pattern)

@@ -57,7 +57,7 @@ MORE = (
     Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud", "AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url", r"://[^\x20\x09-\x0D/:@]{1,64}:[^\x20\x09-\x0D/:@]{3,64}@"),
+    Rule("url", r"://[^\x20\x09-\x0D/:@]{1,}:[^\x20\x09-\x0D/:@]{3,}@"),
 )
 RULES = BASE + MORE
 
