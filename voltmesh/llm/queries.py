@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontamination,
+    dialogues,
     language,
     mixing,
     neighbours,
+    prefixes,
     quality,
     repeats,
     secrets,
     sharding,
     simhash,
     urls,
+    vectors,
 )
 from .common import table
 
@@ -110,3 +113,22 @@ def op10_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's quality score by its nearest labelled neighbours."""
     labels = table(spark, folder, "labels").select("doc_id", "quality")
     return neighbours.quality_scores(table(spark, folder, "documents"), labels)
+
+
+@query
+def op11_repair_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation's faults after damage, its cheapest repair and the digest of the result."""
+    conversations = table(spark, folder, "conversations")
+    return dialogues.repair_list(conversations, dialogues.damaged(conversations))
+
+
+@query
+def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every 50th, through a forest of random-projection trees."""
+    return vectors.nearest_list(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with the sums of its subtree."""
+    return prefixes.conversation_trie(table(spark, folder, "conversations"))
