@@ -138,16 +138,23 @@ def asked_leaves(trees: list[Tree], vectors: np.ndarray, bounds: np.ndarray | No
             yield out
 
 
-def _array(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(-1, width)
+def _array(column: pa.Array, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).astype("<f8").reshape(len(column), -1)
+
+
+def kind_of(embeddings: DataFrame) -> str:
+    """How components are kept: floats as they are, all others as doubles."""
+    element = embeddings.schema["embedding"].dataType.elementType.simpleString()
+    return "<f4" if element == "float" else "<f8"
 
 
 def entries(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, key, vector) of the rows that take part; vectors as the bytes of doubles.
+    """(vec_id, key, vector) of the rows that take part; vectors as the bytes of their components.
 
-    A vector is moved by a power of two so that its largest component is near one: that leaves
-    every cosine as it is and keeps squares finite.
+    A vector of doubles is moved by a power of two so that its largest component is near one: that
+    leaves every cosine as it is and keeps squares finite.
     """
+    kind = kind_of(embeddings)
     rows = embeddings.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     ).dropna()
@@ -160,8 +167,9 @@ def entries(embeddings: DataFrame) -> DataFrame:
                 v = flat.to_numpy(zero_copy_only=False).astype("<f8") if not flat.null_count else np.empty(0)
                 if not len(v) or not np.isfinite(v).all() or not v.any():
                     continue
-                v = np.ldexp(v, -int(np.frexp(np.abs(v).max())[1])) + 0.0
-                raw = v.tobytes()
+                if kind == "<f8":
+                    v = np.ldexp(v, -int(np.frexp(np.abs(v).max())[1]))
+                raw = (v + 0.0).astype(kind).tobytes()  # plus zero: no negative zeros
                 out.append((vec_id, blake2b(raw, digest_size=16).digest(), raw))
             columns = zip(*out) if out else ([], [], [])
             kinds = (pa.int64(), pa.binary(), pa.binary())
@@ -182,14 +190,17 @@ def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
     )
 
 
-def fit_forest(vectors: DataFrame, count: int, width: int) -> list[Tree]:
-    """Trees on a sample by the hash of the vector, as deep as the number of vectors asks for."""
-    most = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * width)))
+def fit_forest(vectors: DataFrame, count: int, size: int, kind: str) -> list[Tree]:
+    """Trees on a sample by the hash of the vector, as deep as the number of vectors asks for.
+
+    `size` is the bytes of a vector.
+    """
+    most = max(1, min(SAMPLE, SAMPLE_BYTES // size))
     rate = min(1.0, 0.9 * most / max(1, count))
     mark = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
     chosen = vectors.filter(mark < rate).select("key", "vector").limit(most).toArrow()
     chosen = chosen.sort_by("key")
-    sample = units(np.frombuffer(b"".join(chosen["vector"].to_pylist()), dtype="<f8").reshape(-1, width))
+    sample = units(_array(chosen["vector"], kind))
     depth = 0
     while (count >> depth) > LEAF and (len(sample) >> (depth + 1)) >= LEAST:
         depth += 1
@@ -205,7 +216,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
 
-def _dealt(vectors: DataFrame, trees: list[Tree], width: int, parts: dict[int, int] | None) -> DataFrame:
+def _dealt(vectors: DataFrame, trees: list[Tree], kind: str, parts: dict[int, int] | None) -> DataFrame:
     """Every vector at its block in every tree: place, or the number of the block without `parts`."""
     blocks = _places(trees)
 
@@ -213,7 +224,7 @@ def _dealt(vectors: DataFrame, trees: list[Tree], width: int, parts: dict[int, i
         for batch in batches:
             if not batch.num_rows:
                 continue
-            table = units(_array(batch.column("vector"), width))
+            table = units(_array(batch.column("vector"), kind))
             keys, raws, ids = (batch.column(c).to_pylist() for c in ("key", "vector", "ids"))
             for number, tree in enumerate(trees):
                 leaves = tree.leaves_of(table).tolist()
@@ -227,7 +238,7 @@ def _dealt(vectors: DataFrame, trees: list[Tree], width: int, parts: dict[int, i
     return vectors.select("key", "vector", "ids").mapInArrow(deal, PLACED)
 
 
-def _asked(queries: DataFrame, trees: list[Tree], width: int, parts: dict[int, int], again: bool) -> DataFrame:
+def _asked(queries: DataFrame, trees: list[Tree], kind: str, parts: dict[int, int], again: bool) -> DataFrame:
     """Every query at the blocks that hold leaves it asks for."""
     blocks = _places(trees)
 
@@ -238,7 +249,7 @@ def _asked(queries: DataFrame, trees: list[Tree], width: int, parts: dict[int, i
             keys, raws, bounds = (batch.column(c).to_pylist() for c in ("key", "vector", "bound"))
             known = np.array([-2.0 if b is None else b for b in bounds]) if again else None
             rows = []
-            asked = asked_leaves(trees, units(_array(batch.column("vector"), width)), known)
+            asked = asked_leaves(trees, units(_array(batch.column("vector"), kind)), known)
             for key, raw, bound, wanted in zip(keys, raws, bounds, asked):
                 by_block: dict[int, list[int]] = {}
                 for tree, leaf in wanted:
@@ -321,7 +332,7 @@ class Held:
         return out
 
 
-def _searched(members: DataFrame, asked: DataFrame, width: int, most: int, again: bool) -> DataFrame:
+def _searched(members: DataFrame, asked: DataFrame, kind: str, most: int, again: bool) -> DataFrame:
     """(query, key, ids, score) of the nearest in each leaf, where vectors and queries meet.
 
     A place's vectors sort before its queries: a task holds the former, at most PART or so, and the latter pass by.
@@ -345,13 +356,13 @@ def _searched(members: DataFrame, asked: DataFrame, width: int, most: int, again
                 if made is None and held:
                     whole = pa.Table.from_batches(held).combine_chunks()
                     made = Held(
-                        whole["key"].to_pylist(), _array(whole["vector"], width), whole["ids"].to_pylist(),
+                        whole["key"].to_pylist(), _array(whole["vector"], kind), whole["ids"].to_pylist(),
                         [x[0] for x in whole["leaves"].to_pylist()], again,
                     )
                     held = []
                 if made is not None:
                     keys, leaves, bounds = (run.column(c).to_pylist() for c in ("key", "leaves", "bound"))
-                    rows = made.search(keys, _array(run.column("vector"), width), leaves, bounds, most)
+                    rows = made.search(keys, _array(run.column("vector"), kind), leaves, bounds, most)
                     if rows:
                         yield _batch(rows, _FOUND)
 
@@ -366,28 +377,27 @@ def _best(found: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
 
 
-def search(vectors: DataFrame, queries: DataFrame, most: int) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, most: int, kind: str) -> DataFrame:
     """(query, key, vec_id, score): the `most` nearest rows for every key of `queries`, itself included.
 
-    `vectors` has key, vector, ids; `queries` has key and vector.
+    `vectors` has key, vector, ids; `queries` has key and vector; `kind` is that of the components.
     """
     spark = vectors.sparkSession
-    count, width = vectors.agg(F.count("*"), F.max(F.length("vector"))).first()
+    count, size = vectors.agg(F.count("*"), F.max(F.length("vector"))).first()
     if not count:
         return spark.createDataFrame([], "query binary, key binary, vec_id bigint, score double")
-    width //= 8
-    trees = fit_forest(vectors, count, width)
+    trees = fit_forest(vectors, count, size, kind)
     # As many rows as there are blocks, which the sample bounds.
-    sizes = _dealt(vectors, trees, width, None).groupBy("place").count().collect()
+    sizes = _dealt(vectors, trees, kind, None).groupBy("place").count().collect()
     parts = {r["place"] >> 32: -(-r["count"] // PART) for r in sizes}
-    members = _dealt(vectors, trees, width, parts)
-    first = _asked(queries.withColumn("bound", F.lit(None).cast("double")), trees, width, parts, False)
-    near = settle(_searched(members, first, width, most, False), "near")
+    members = _dealt(vectors, trees, kind, parts)
+    first = _asked(queries.withColumn("bound", F.lit(None).cast("double")), trees, kind, parts, False)
+    near = settle(_searched(members, first, kind, most, False), "near")
     # Fewer than `most` so far: no bound, all leaves are asked.
     last = F.when(F.count("*") >= most, F.min("score")).alias("bound")
     bounds = _best(near, most).groupBy("query").agg(last).withColumnRenamed("query", "key")
     bounded = settle(queries.join(bounds, "key", "left").select("key", "vector", "bound"), "bounded")
-    later = _searched(members, _asked(bounded, trees, width, parts, True), width, most, True)
+    later = _searched(members, _asked(bounded, trees, kind, parts, True), kind, most, True)
     return _best(near.unionAll(later), most)
 
 
@@ -400,7 +410,7 @@ def nearest_list(embeddings: DataFrame, every: int = EVERY, most: int = NEIGHBOU
     vectors = settle(distinct_vectors(rows, most + 1), "vectors")
     asking = rows.filter(F.col("vec_id") % every == 0).select("vec_id", "key")
     queries = vectors.join(asking.select("key").distinct(), "key", "left_semi").select("key", "vector")
-    found = search(vectors, settle(queries, "queries"), most + 1)
+    found = search(vectors, settle(queries, "queries"), most + 1, kind_of(embeddings))
     near = found.groupBy(F.col("query").alias("key")).agg(
         F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", F.col("key").alias("of")))).alias("near")
     )
