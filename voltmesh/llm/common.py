@@ -86,3 +86,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str | None]:
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB's unsigned crc32 of a short ASCII text, bit by bit."""
+    step = "lambda x, i: xor(x >> 1, (x & 1) * 3988292384::bigint)"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: unicode(substr({text}, i::int, 1))::bigint)"
+    folded = f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), {step})"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), {folded}), 4294967295::bigint)"

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voltmesh.operators.skew import join_apart
 
-from .common import settle
+from .common import crc32_sql, settle
 
 BLANKS = " \t\n\x0b\x0c\r"
 #: Letters of a signature: four kinds of role (system, user, assistant, other) for each fault.
@@ -382,3 +382,77 @@ def repair_list(conversations: DataFrame, rows: DataFrame) -> DataFrame:
         F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
         F.coalesce(F.max("repaired_sha256"), F.lit(nothing)).alias("repaired_sha256"),
     )
+
+
+def _damaged_sql() -> str:
+    known = lambda c: f"coalesce({c}::varchar, ' ')"
+    case = f"{crc32_sql('spot')} % {CASES}"
+    return f"""spots as (select conv_id, turn, {known('role')} as role, {known('text')} as text,
+            {known('conv_id')} || ':' || {known('turn')} as spot from conversations),
+    cases as (select *, {case} as c from spots),
+    damaged as (select conv_id, turn, case when c = {AS_USER} then 'user' else role end as role,
+            case when c = {EMPTY} then '' when c = {UNFINISHED} then translate(text, '.!?', '') else text end as text,
+            unnest(range(case when c = {REPEAT} then 2 else 1 end)) as copy
+        from cases where c <> {DROP})"""
+
+
+def _way(cost: str, edit: str, rest: str, line: str | None = None, when: str = "true") -> str:
+    """A repair as (cost, audit, lines): an edit in front of the repair of what is left."""
+    lines = f"{rest}.lines" if line is None else f"list_prepend({line}, {rest}.lines)"
+    price = f"case when {when} then {cost} + {rest}.cost else 1000000000 end"
+    return f"{{'cost': {price}, 'audit': '{edit}' || {rest}.audit, 'lines': {lines}}}"
+
+
+def _best_sql(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def repair_sql() -> str:
+    """The same repairs, each conversation from its last row to its first."""
+    blanks = " || ".join(f"chr({ord(c)})" for c in BLANKS)
+    taking, inserting = [], []
+    for g, (wanted, after) in WANTED.items():
+        stays = "fault not in ('blank', 'duplicate')"
+        broken = f"(fault = 'truncated')::int * {BROKEN}"
+        ways = [
+            _way(str(COSTS[DELETE]), DELETE, f"f{g}"),
+            _way(f"{COSTS[REROLE]} + {broken}", REROLE, f"f{after}", f"'{NAMES[wanted]}:' || text", stays),
+            _way(broken, KEEP, f"f{after}", "role || ':' || text", f"{stays} and role[1] = '{wanted}'"),
+        ]
+        if g == START:
+            ways.append(_way(broken, KEEP, f"f{AFTER_S}", "role || ':' || text", f"{stays} and role[1] = 's'"))
+        taking.append(f"{_best_sql(*ways)} as b{g}")
+    put = lambda rest, g: _way(str(COSTS[INSERT]), INSERT, rest, f"'{NAMES[WANTED[g][0]]}:'")
+    inner = ", ".join(
+        f"{_best_sql(f'b{g}', put(f'b{WANTED[g][1]}', g))} as f{g}" for g in (AFTER_U, AFTER_A)
+    )
+    outer = ", ".join(f"{_best_sql(f'b{g}', put(f'f{AFTER_U}', g))} as f{g}" for g in (START, AFTER_S))
+    end = lambda cost, audit, lines: f"{{'cost': {cost}, 'audit': '{audit}', 'lines': {lines}::varchar[]}}"
+    ends = [end(0, "", "[]"), end(4, "II", "['user:', 'assistant:']"), end(2, "I", "['assistant:']"), end(0, "", "[]")]
+    same = lambda a, b: f"{a}.conv_id is not distinct from {b}.conv_id"
+    return f"""with recursive {_damaged_sql()},
+    numbered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as n,
+            rtrim(text, {blanks}) as ended from damaged),
+    told as (select *, case when ended = '' then 'blank'
+            when row_number() over (partition by conv_id, role, text order by n) > 1 then 'duplicate'
+            when right(ended, 1) in ('.', '!', '?') then '' else 'truncated' end as fault,
+            lag(role[1]) over (partition by conv_id order by n) || role[1] as pair from numbered),
+    found as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+            count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+            count(*) filter (fault = 'truncated') as truncated,
+            count(*) filter (pair not in {LEGAL}) as illegal, max(n) as n
+        from told group by conv_id),
+    steps as (
+        select conv_id, n + 1 as n, {', '.join(f'{e} as f{g}' for g, e in enumerate(ends))} from found
+        union all
+        select conv_id, n, f0, f1, f2, f3 from (
+            select *, {outer} from (
+                select *, {inner} from (
+                    select t.conv_id, t.n, {', '.join(taking)}
+                    from steps s join told t on {same('s', 't')} and t.n = s.n - 1) as a) as b) as c),
+    ids as (select distinct conv_id from conversations)
+    select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+        coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+        coalesce(s.f0.cost, 0)::bigint as cost, coalesce(s.f0.audit, '') as audit,
+        sha256(coalesce(array_to_string(s.f0.lines, chr(10)), '')) as repaired_sha256
+    from ids i left join found f on {same('i', 'f')} left join steps s on {same('i', 's')} and s.n = 1"""

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from voltmesh.operators.skew import join_apart
 
-from .common import settle
+from .common import crc32_sql, settle
 
 #: Bytes of a turn in a path: the digest and the size of the text.
 DIGEST, SIZE = 16, 8
@@ -275,3 +275,43 @@ def conversation_trie(conversations: DataFrame) -> DataFrame:
     """The trie of all conversations, each rebuilt on the beginning of its family's base."""
     own = settle(own_paths(conversations), "own")
     return prefix_trie(rebuilt_paths(own))
+
+
+def trie_sql() -> str:
+    """The same nodes by grouping whole prefixes."""
+    return f"""with rows as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+            row_number() over (partition by conv_id order by turn nulls first, role, text) as n
+        from conversations where conv_id is not null),
+    lengths as (select conv_id, max(n) as n from rows group by conv_id),
+    ids as (select conv_id, n, conv_id - conv_id % {FAMILY} as base,
+        {crc32_sql('conv_id::varchar')} % {HEADS} as h from lengths),
+    turns as (
+        select i.conv_id, r.n as d, r.role, r.text from ids i join rows r on r.conv_id = i.base and r.n <= i.h
+        union all
+        select i.conv_id, r.n - i.h + least(i.h, coalesce(b.n, 0)), r.role, r.text
+        from ids i join rows r on r.conv_id = i.conv_id and r.n > i.h left join lengths b on b.conv_id = i.base),
+    paths as (
+        select i.conv_id, list_filter(list({{'role': t.role, 'text': t.text}} order by t.d),
+            lambda x: x.role is not null) as path
+        from ids i left join turns t on t.conv_id = i.conv_id group by i.conv_id),
+    members as (
+        select conv_id, path, unnest(range(0, len(path) + 1)) as depth from paths),
+    nodes as (
+        select path[1:depth] as prefix, depth, min(conv_id) as conv_id, count(*) as n_convs,
+            coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(path) = depth), '') as ended
+        from members group by all),
+    families as (select prefix[1:depth - 1] as prefix, count(*) as n from nodes where depth > 0 group by all),
+    sized as (
+        select a.*, coalesce(f.n, 0) as n_children,
+            case when a.depth = 0 then 0 else (a.n_convs - 1) * strlen(a.prefix[a.depth].text) end as saved
+        from nodes a left join families f on f.prefix = a.prefix),
+    above as (
+        select unnest(range(0, depth + 1)) as k, prefix, (n_children = 0)::int as leaf, saved from sized),
+    sums as (
+        select prefix[1:k] as prefix, sum(leaf)::bigint as n_leaves, sum(saved)::bigint as saved_tokens
+        from above group by all)
+    select a.conv_id, a.depth, p.conv_id as parent_conv_id, a.n_convs, a.n_children, s.n_leaves, s.saved_tokens,
+        sha256(a.ended) as ends_sha256
+    from sized a join sums s on s.prefix = a.prefix
+    left join nodes p on a.depth > 0 and p.prefix = a.prefix[1:a.depth - 1] and p.depth = a.depth - 1"""

@@ -122,6 +122,9 @@ def op11_repair_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return dialogues.repair_list(conversations, dialogues.damaged(conversations))
 
 
+SQL["op11_repair_conversations"] = dialogues.repair_sql()
+
+
 @query
 def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest vectors of every 50th, through a forest of random-projection trees."""
@@ -132,3 +135,6 @@ def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations, with the sums of its subtree."""
     return prefixes.conversation_trie(table(spark, folder, "conversations"))
+
+
+SQL["op13_prefix_trie"] = prefixes.trie_sql()
