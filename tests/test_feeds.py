@@ -222,7 +222,7 @@ def test_buffer_is_compacted(spark, tmp_path, monkeypatch):
 def test_only_touched_parts_are_rewritten_and_old_files_go(spark, tmp_path):
     store = small_store(spark, tmp_path, parts=8)
     snapshot = store.tables[status.SNAPSHOT]
-    folders = lambda: {r["part"]: r["folder"] for r in snapshot._newest() if r["part"] >= 0}
+    folders = lambda: {part: folder for part, folder in snapshot.folders().items() if part >= 0}
     first = folders()
     for batch in range(4):
         store.merge_batch(rows_of(spark, ("A", 1, batch + 2, batch + 2)), batch)
@@ -230,28 +230,10 @@ def test_only_touched_parts_are_rewritten_and_old_files_go(spark, tmp_path):
     changed = {part for part, folder in folders().items() if first.get(part) != folder}
     part_a = store.read().filter("statid = 'A'").select(snapshot.part_of()).first()[0]
     assert changed == {part_a} and stats(store.read()) == {"A": 5, "B": 1, "C": 1}
-    versions = {r["version"] for r in snapshot._listed()}
-    assert len(versions) == sinks.KEEP_VERSIONS
-    assert len(list((tmp_path / "store" / "log" / "deltas").glob("seq=*"))) <= 2
-
-
-def test_two_writers_do_not_overwrite_each_other(spark, tmp_path, monkeypatch):
-    one = sinks.VersionedTable(spark, str(tmp_path / "t"))
-    one.publish(spark.range(3))
-    two = sinks.VersionedTable(spark, str(tmp_path / "t"))
-    stale = two._newest()
-    one.publish(spark.range(5))
-    monkeypatch.setattr(two, "_newest", lambda: stale)
-    with pytest.raises(sinks.PublishConflict):
-        two.publish(spark.range(9))
-    assert one.read().count() == 5
-
-
-def test_only_a_missing_path_means_no_table(spark, tmp_path):
-    (tmp_path / "t" / "versions" / "version=1").mkdir(parents=True)
-    (tmp_path / "t" / "versions" / "version=1" / "x.parquet").write_bytes(b"not parquet")
-    with pytest.raises(Exception):
-        sinks.VersionedTable(spark, str(tmp_path / "t")).ensure(spark.range(1))
+    last = snapshot.last()[0]
+    needed = {f.split("/")[1] for n in range(last - sinks.KEEP_VERSIONS + 1, last + 1) for f in snapshot.folders(n).values()}
+    assert {p.name for p in (tmp_path / "store" / "snapshot" / "data").iterdir()} == needed
+    assert len(list((tmp_path / "store" / "log" / "deltas").glob("part=*"))) <= 2
 
 
 GOOD = "<response><items><item><statId>A</statId><chgerId>1</chgerId><stat>2</stat></item></items></response>"
@@ -285,7 +267,7 @@ def test_late_rows_are_not_dropped(spark, tmp_path):
         wave.write.parquet(str(tmp_path / "in" / f"wave={number}"))
         feed = spark.readStream.schema(wave.schema).parquet(str(tmp_path / "in" / "wave=*"))
         status.run_without_overlap(feed, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    rows = status.overlap_log(spark, str(tmp_path / "out")).read().collect()
     assert sorted((r["statid"], r["stat"]) for r in rows) == [("A", 1), ("A", 2), ("B", 1), ("B", 4)]
 
 

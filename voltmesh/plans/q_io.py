@@ -51,8 +51,9 @@ def scan_status_xml(b):
     root = workspace(b.spark, "status")
     feeds.write_pages(status_rows(b), f"{root}/pages")
     rows = feeds.stream_pages(b.spark, f"{root}/pages")
-    status.run_to_log(rows, f"{root}/rows", f"{root}/checkpoint", "append").awaitTermination()
-    return b.spark.read.parquet(f"{root}/rows").drop("batch", "source")
+    log = sinks.DeltaLog(b.spark, f"{root}/rows", STATUS)
+    status.run_to_log(rows, log, f"{root}/checkpoint", "append").awaitTermination()
+    return log.read().drop("seq")
 
 
 @query("select bcode, arr, level, arrt from {fx_region} where cast(bcode as bigint) % 7 <> 0")
@@ -215,17 +216,18 @@ def stream_merge_status(b):
 )
 def stream_dedup_overlap(b):
     """The second wave starts two minutes before the end of the first, and brings rows of the
-    first wave's time that come late."""
+    first wave's time that come late; a stream with a checkpoint of its own reads both again."""
     root = workspace(b.spark, "overlap")
     rows, cut = b["fx_status"], F.lit("2024-01-10").cast("timestamp_ntz")
     late = F.col("event_id") % 20 == 0
     again = F.col("statupddt") >= cut - F.make_dt_interval(mins=F.lit(2))
     waves = [rows.filter((F.col("statupddt") < cut) & ~late), rows.filter(again | late)]
+    feed = lambda: b.spark.readStream.schema(STATUS).parquet(f"{root}/rows/wave=*")
     for number, wave in enumerate(waves):
         wave.select(*STATUS.names).write.parquet(f"{root}/rows/wave={number}")
-        feed = b.spark.readStream.schema(STATUS).parquet(f"{root}/rows/wave=*")
-        status.run_without_overlap(feed, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return b.spark.read.parquet(f"{root}/out").drop("batch", "day")
+        status.run_without_overlap(feed(), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    status.run_without_overlap(feed(), f"{root}/out", f"{root}/anew").awaitTermination()
+    return status.overlap_log(b.spark, f"{root}/out").read().drop("seq")
 
 
 @query(
@@ -254,16 +256,16 @@ def rebuild_protocol(b):
         from {fx_status}) as s where rn = 1"""
 )
 def stream_latest_state(b):
+    """Each wave through a stream with a checkpoint of its own; the newest of what they wrote."""
     root = workspace(b.spark, "latest")
     cut = "2024-01-08"
+    log = sinks.DeltaLog(b.spark, f"{root}/out", STATUS)
     for number, (first, end) in enumerate([("2000-01-01", cut), (cut, "2100-01-01")]):
         between(status_rows(b), first, end).write.parquet(f"{root}/rows/wave={number}")
-        feed = b.spark.readStream.schema(STATUS).parquet(f"{root}/rows/wave=*")
-        state = status.latest_state(feed)
-        status.run_to_log(state, f"{root}/out", f"{root}/checkpoint", "update").awaitTermination()
-    out = b.spark.read.parquet(f"{root}/out")
-    newest = merges.latest_per_key(out, order=[F.col("batch").desc()])
-    return newest.select(*KEYS, *STATUS_COLUMNS)
+        feed = b.spark.readStream.schema(STATUS).parquet(f"{root}/rows/wave={number}")
+        state = status.latest_state(feed).select(*STATUS.names)
+        status.run_to_log(state, log, f"{root}/checkpoint{number}", "update").awaitTermination()
+    return status.latest_state(log.read())
 
 
 BOOKMARKS = """with c as (select *, row_number() over (order by ts, event_id) as s from {fx_command}),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -9,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.user_lists import as_commands
 from ..schemas import schema
+from ..sinks.ledger import PublishConflict
 from ..sinks.tables import DeltaLog, VersionedTable
 from .status import run_of
 
@@ -49,22 +51,24 @@ class ListStore:
 
     def read(self) -> DataFrame:
         """Current entries of all users."""
-        return self._folded(self.entries.read(), self.log.read(self.entries.last()[1]))
+        version, done = self.entries.last()
+        return self._folded(self.entries.read(version=version), self.log.read(done))
 
     def add_batch(self, commands: DataFrame, batch: int, run: str = "") -> None:
         seq = self.log.add(commands, run, batch)
         if seq - self.entries.last()[1] >= COMPACT_EVERY:
-            self.compact()
+            with contextlib.suppress(PublishConflict):  # another job published: the next batch compacts
+                self.compact()
 
     def compact(self) -> None:
         """Publish the lists of the users that the log touches, keep the other parts."""
-        done, upto = self.entries.last()[1], self.log.last()
+        (version, done), upto = self.entries.last(), self.log.last()
         if upto == done:
             return
         log = self.log.read(done, upto)
         touched = [r[0] for r in log.select(self.entries.part_of()).distinct().collect()]
-        folded = self._folded(self.entries.read(only=touched), log)
-        self.entries.publish(folded.select(*self.entry), upto, only=touched)
+        folded = self._folded(self.entries.read(only=touched, version=version), log)
+        self.entries.publish(folded.select(*self.entry), upto, only=touched, read_from=version)
         self.log.prune(done)  # readers of the version before may still fold the rest
 
 

@@ -14,16 +14,18 @@ while ck is 0.
 
 from __future__ import annotations
 
+import contextlib
 import json
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merges import fold_updates, latest_per_key, replay_buffer
 from ..schemas import CONTROL, KEYS, STATUS, STATUS_COLUMNS
-from ..sinks.tables import DeltaLog, PublishConflict, VersionedTable, exists
+from ..sinks.ledger import PublishConflict, exists
+from ..sinks.tables import ATTEMPTS, DeltaLog, VersionedTable
 
 SNAPSHOT, BUFFER = "snapshot", "buffer"
 
@@ -32,8 +34,6 @@ SNAPSHOT, BUFFER = "snapshot", "buffer"
 COMPACT_EVERY = 60
 # Parts of the snapshot, by charger.
 PARTS = 16
-# Attempts to change the control row while others do so as well.
-ATTEMPTS = 10
 
 
 class StatusStore:
@@ -61,18 +61,23 @@ class StatusStore:
         self.control_table.ensure(self.spark.createDataFrame([(1, 1, now)], CONTROL))
 
     def control(self) -> tuple[int, float]:
-        row = self.control_table.read().first()
-        return row["ck"], row["time"]
+        return self._control()[:2]
+
+    def _control(self) -> tuple[int, float, int]:
+        """ck, time of the last run and mark, of one version."""
+        version, mark = self.control_table.last()
+        row = self.control_table.read(version=version).first()
+        return row["ck"], row["time"], mark
 
     def set_control(self, ck: int | None = None, at: float | None = None, mark: int | None = None) -> None:
         """Change what is given, keep the rest, whatever other jobs change meanwhile."""
         for _ in range(ATTEMPTS):
-            old_ck, old_time = self.control()
-            old_mark = self.control_table.last()[1]
-            row = (1, old_ck if ck is None else ck, old_time if at is None else at)
+            version, old_mark = self.control_table.last()
+            old = self.control_table.read(version=version).first()
+            row = (1, old["ck"] if ck is None else ck, old["time"] if at is None else at)
+            rows = self.spark.createDataFrame([row], CONTROL)
             try:
-                rows = self.spark.createDataFrame([row], CONTROL)
-                self.control_table.publish(rows, old_mark if mark is None else mark)
+                self.control_table.publish(rows, old_mark if mark is None else mark, read_from=version)
             except PublishConflict:
                 continue
             return
@@ -80,49 +85,67 @@ class StatusStore:
 
     def _mark(self) -> int | None:
         """Last delta that readers of the snapshot see; None while no rebuild runs."""
-        return self.control_table.last()[1] if self.control()[0] == 0 else None
+        ck, _, mark = self._control()
+        return mark if ck == 0 else None
 
     def read(self, name: str = SNAPSHOT) -> DataFrame:
         table = self.tables[name]
         limit = self._mark() if name == SNAPSHOT else None
-        log = self.log.read(table.last()[1], limit)
-        return fold_updates(table.read(), log, "seq", upsert=name == BUFFER)
+        version, done = table.last()
+        log = self.log.read(done, limit)
+        return fold_updates(table.read(version=version), log, "seq", upsert=name == BUFFER)
 
     def merge_batch(self, rows: DataFrame, batch: int, run: str = "", at: float | None = None) -> None:
         """Log the newest row of each charger and the time of the run.
 
         Rows without a key go to a table of their own, see `rejected`. A repeated batch of
-        the same run replaces itself.
+        the same run changes nothing. The batch is read once and held while both parts are written.
         """
-        keyed = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in KEYS])
-        source = F.col("source") if "source" in rows.columns else F.lit(None).cast("string")
-        bad = rows.filter(~keyed).select(*STATUS.names, source.alias("source"))
-        bad.write.mode("overwrite").parquet(f"{self.root}/rejected/run={run or '-'}/batch={batch}")
-        seq = self.log.add(latest_per_key(rows.filter(keyed)).select(*STATUS.names), run, batch)
+        if self.log.number_of(run, batch) is None:
+            held = rows.persist()
+            try:
+                seq = self._log(held, run, batch)
+            finally:
+                held.unpersist()
+        else:
+            seq = self.log.number_of(run, batch)
         if at is not None:
             self.set_control(at=at)
         name = SNAPSHOT if self.control()[0] == 1 else BUFFER
         if seq - self.tables[name].last()[1] >= COMPACT_EVERY:
-            self.compact(name)
+            with contextlib.suppress(PublishConflict):  # another job published: the next batch compacts
+                self.compact(name)
+
+    def _log(self, rows: DataFrame, run: str, batch: int) -> int:
+        keyed = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in KEYS])
+        source = F.col("source") if "source" in rows.columns else F.lit(None).cast("string")
+        bad = rows.filter(~keyed).select(*STATUS.names, source.alias("source"))
+        if not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(f"{self.root}/rejected/run={run or '-'}/batch={batch}")
+        return self.log.add(latest_per_key(rows.filter(keyed)).select(*STATUS.names), run, batch)
 
     def rejected(self) -> DataFrame:
         """Rows of the feed that have no key, with the text they came as where the feed has it."""
-        return self.spark.read.parquet(f"{self.root}/rejected").drop("run", "batch")
+        columns = T.StructType([*STATUS.fields, T.StructField("source", T.StringType())])
+        if not exists(self.spark, f"{self.root}/rejected"):
+            return self.spark.createDataFrame([], columns)
+        return self.spark.read.schema(columns).parquet(f"{self.root}/rejected").select(*columns.names)
 
     def compact(self, name: str = SNAPSHOT) -> None:
         """Publish the table with the deltas folded in, and drop what no reader needs."""
         table, upto = self.tables[name], self.log.last()
         if name == SNAPSHOT and self._mark() is not None:
             return
-        done = table.last()[1]
+        version, done = table.last()
         log = self.log.read(done, upto)
         if name == SNAPSHOT:
             touched = [r[0] for r in log.select(table.part_of()).distinct().collect()]
-            folded = fold_updates(table.read(only=touched), log, "seq", upsert=False)
-            table.publish(self.layout(folded), upto, only=touched)
+            folded = fold_updates(table.read(only=touched, version=version), log, "seq", upsert=False)
+            table.publish(self.layout(folded), upto, only=touched, read_from=version)
             self.log.prune(done)  # readers of the version before may still fold the rest
         else:
-            table.publish(fold_updates(table.read(), log, "seq", upsert=True), upto)
+            folded = fold_updates(table.read(version=version), log, "seq", upsert=True)
+            table.publish(folded, upto, read_from=version)
 
     def begin_rebuild(self) -> None:
         """Clear the buffer and let readers of the snapshot stop here."""
@@ -133,13 +156,17 @@ class StatusStore:
     def finish_rebuild(
         self, rebuilt: DataFrame, started: float | None = None, newer_only: bool = False
     ) -> None:
-        """Publish the rebuilt snapshot with the buffer replayed, then send readers to it."""
+        """Publish the rebuilt snapshot with the buffer replayed, then send readers to it.
+
+        PublishConflict if someone else publishes the snapshot meanwhile; it is still being rebuilt then.
+        """
         upto = self.log.last()
-        buffer = self.tables[BUFFER]
-        held = fold_updates(buffer.read(), self.log.read(buffer.last()[1], upto), "seq", upsert=True)
+        snapshot, buffer = self.tables[SNAPSHOT], self.tables[BUFFER]
+        done = snapshot.last()
+        version, cleared = buffer.last()
+        held = fold_updates(buffer.read(version=version), self.log.read(cleared, upto), "seq", upsert=True)
         final = replay_buffer(rebuilt, held, newer_only)
-        done = self.tables[SNAPSHOT].last()
-        self.tables[SNAPSHOT].publish(self.layout(final), upto)
+        snapshot.publish(self.layout(final), upto, read_from=done[0] if done else 0)
         self.set_control(ck=1, at=started)
         if done is not None:
             self.log.prune(done[1])
@@ -166,35 +193,56 @@ def run_feed(
     )
 
 
+#: How long the state store remembers rows, as a first sieve before the log.
+REMEMBERED = "10 minutes"
+
+
+def _day(column: str = "statupddt") -> Column:
+    return F.coalesce(F.date_format(column, "yyyy-MM-dd"), F.lit("none"))
+
+
+def overlap_log(spark: SparkSession, path: str) -> DeltaLog:
+    """Where run_without_overlap writes; its `read` gives the rows of all runs, each once."""
+    return DeltaLog(spark, path, STATUS)
+
+
 def run_without_overlap(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append the rows of a feed that are not there yet, however late they come.
 
-    Consecutive reads overlap, so rows come again. A batch is compared with what earlier
-    batches wrote for the days it has rows of, by charger and time; of rows of one
-    batch that agree in these the one with the highest status values is taken.
+    Consecutive reads overlap, so rows come again. Spark's state store drops equal ones that come
+    within minutes; it goes by the time of arrival, so no row is too late for it. The others are compared with what
+    the log has for the days of the batch, by charger and time; of rows of one
+    batch that agree in these the one with the highest status values is taken. The log gives each batch its
+    number, so streams with other checkpoints, one after the other or at once, add to
+    the same rows: who comes second compares again.
     """
     spark, keys = feed.sparkSession, [*KEYS, "statupddt"]
-    day = F.coalesce(F.date_format("statupddt", "yyyy-MM-dd"), F.lit("none"))
-    written = T.StructType([*STATUS.fields, T.StructField("day", T.StringType()), T.StructField("batch", T.LongType())])
+    log = overlap_log(spark, path)
+    newest = F.max(F.struct("stat", "lasttedt", "nowtsdt")).alias("_row")
 
     def write(rows: DataFrame, batch: int) -> None:
-        newest = F.max(F.struct("stat", "lasttedt", "nowtsdt")).alias("_row")
-        once = rows.groupBy(*keys).agg(newest).select(
-            *KEYS, "_row.stat", "statupddt", "_row.lasttedt", "_row.nowtsdt", day.alias("day")
-        )
-        days = [f"{path}/day={r[0]}" for r in rows.select(day).distinct().collect()]
-        known = [d for d in days if exists(spark, d)]
-        if known:
-            before = spark.read.schema(written).option("basePath", path).parquet(*known)
-            before = before.filter(F.col("batch") < batch)
-            same = [once[k].eqNullSafe(before[k]) for k in keys]
-            once = once.join(before, same, "left_anti")
-        placed = once.withColumn("batch", F.lit(batch).cast("bigint"))
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("day", "batch").parquet(path)
-
+        run = run_of(spark, checkpoint)
+        once = rows.groupBy(*keys).agg(newest)
+        once = once.select(*KEYS, "_row.stat", "statupddt", "_row.lasttedt", "_row.nowtsdt").persist()
+        days = [r[0] for r in once.select(_day()).distinct().collect()]
+        try:
+            for _ in range(ATTEMPTS):
+                upto = log.last()
+                known = log.read(upto=upto, where=lambda e: bool(set(days).intersection(e["days"])))
+                before = known.filter(_day().isin(days))
+                same = [once[k].eqNullSafe(before[k]) for k in keys]
+                with contextlib.suppress(PublishConflict):
+                    log.add(once.join(before, same, "left_anti"), run, batch, expect=upto, days=days)
+                    return
+            raise PublishConflict(path)
+        finally:
+            once.unpersist()
+
+    arrived = feed.select(*STATUS.names).withColumn("_arrived", F.current_timestamp())
+    fresh = arrived.withWatermark("_arrived", REMEMBERED).dropDuplicatesWithinWatermark(STATUS.names)
     return (
-        feed.writeStream.foreachBatch(write)
+        fresh.drop("_arrived")
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -202,17 +250,21 @@ def run_without_overlap(feed: DataFrame, path: str, checkpoint: str) -> Streamin
 
 
 def latest_state(feed: DataFrame) -> DataFrame:
-    """Newest status of each charger, held as streaming state; equal times take the higher stat."""
+    """Newest status of each charger, held as streaming state; equal times take the higher stat.
+
+    The newest of newest rows is the newest, so applied to what streams have written it gives the state
+    of all of them.
+    """
     newest = F.max(F.struct("statupddt", "stat", "lasttedt", "nowtsdt")).alias("_new")
     state = feed.groupBy(*KEYS).agg(newest)
     return state.select(*KEYS, *[F.col(f"_new.{c}").alias(c) for c in STATUS_COLUMNS])
 
 
-def run_to_log(rows: DataFrame, path: str, checkpoint: str, mode: str) -> StreamingQuery:
-    """Write each micro-batch to its own folder, so that a repeated one replaces itself."""
+def run_to_log(rows: DataFrame, log: DeltaLog, checkpoint: str, mode: str) -> StreamingQuery:
+    """Write each micro-batch as a delta; a repeated one is known by its run and number."""
 
     def write(batch_rows: DataFrame, batch: int) -> None:
-        batch_rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        log.add(batch_rows, run_of(log.spark, checkpoint), batch)
 
     return (
         rows.writeStream.outputMode(mode)
