@@ -4,8 +4,10 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from voltmesh.operators import skew, user_lists
+from voltmesh.streaming import commands as lists
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "user_id bigint, op string, item string, ts timestamp_ntz, event_id bigint, idx int, name string"
@@ -101,7 +103,7 @@ def test_one_minute_of_one_user_is_cut(spark, monkeypatch):
     monkeypatch.setattr(skew, "SLICE_ROWS", 500)
     log = [(1, "add" if i % 3 else "remove", "M1", T0 + dt.timedelta(milliseconds=i // 2), i, 0, "n") for i in range(6000)]
     df = spark.createDataFrame(log, SCHEMA)
-    order = [df["ts"], df["event_id"]]
+    order = [F.col("ts"), F.col("event_id")]
     rows = skew.sliced(df, ["user_id"], order).groupBy("_cut").count().collect()
     assert len(rows) >= 10 and max(r["count"] for r in rows) < 1500
     state = []
@@ -124,3 +126,62 @@ def test_stored_text(spark):
     asked = spark.createDataFrame([(1,), (2,), (9,)], "user_id bigint")
     got = {r["user_id"]: r["items"] for r in user_lists.stored_lists(placed, log, asked).collect()}
     assert got == {1: '[["a \\"b\\"", "M1"], ["c", "M2"]]', 2: ""}
+
+
+def merged(spark, store, log, schema, batches, seed=0):
+    """The log in batches of random sizes, published now and then."""
+    rng = random.Random(seed)
+    cuts = sorted(rng.sample(range(1, len(log)), batches - 1))
+    for number, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(log)])):
+        store.add_batch(spark.createDataFrame(log[a:b], schema).select(*store.command.names), number)
+        if rng.random() < 0.5:
+            store.compact()
+    return store.read()
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_filters_and_flags_from_a_stream(spark, tmp_path, seed):
+    log = [c for c in commands(seed + 30, 400) if c[1] != "removeall"]
+    whole = spark.createDataFrame(log, SCHEMA)
+    key = lambda df: sorted((r["user_id"], r["item"], r["event_id"]) for r in df.collect())
+    filters = merged(spark, lists.ListStore.of_filters(spark, str(tmp_path / "f")), log, SCHEMA, 5, seed)
+    assert key(filters) == key(user_lists.filter_entries(whole))
+    flags = lambda df: sorted(map(tuple, user_lists.flag_state(df).collect()))
+    late = random.Random(seed).sample(log, len(log))  # flags do not mind the order
+    entries = merged(spark, lists.ListStore.of_flags(spark, str(tmp_path / "g")), late, SCHEMA, 4, seed)
+    assert flags(entries) == flags(whole)
+
+
+def test_a_hot_minute_merges_into_the_entries(spark, monkeypatch):
+    """One user's one item, in slices: no task sees them all, and the entries are as one by one."""
+    monkeypatch.setattr(skew, "SLICE_ROWS", 300)
+    rng = random.Random(4)
+    log = [(1, rng.choice(["add", "remove"]), "M1", T0 + dt.timedelta(milliseconds=i), i, 0, "n") for i in range(4000)]
+    log += [(2, "add", "M1", T0, 5000, 0, "n")]
+    held = user_lists.merge_filters(None, spark.createDataFrame(log[:200] + log[-1:], SCHEMA))
+    got = user_lists.merge_filters(held, spark.createDataFrame(log[200:4000], SCHEMA))
+    state, added = [], 0
+    for _, op, _, _, event, *_ in log[:4000]:
+        if op == "add":
+            added += 1
+            state.append((event, added))
+        elif state:
+            state.pop(0)
+    rows = got.collect()
+    assert sorted((r["event_id"], r["nth"]) for r in rows if r["user_id"] == 1) == state
+    assert [r["event_id"] for r in rows if r["user_id"] == 2] == [5000]
+
+
+def test_the_fold_runs_once(spark, tmp_path):
+    """What is cut into slices is written first, so counting and cutting do not run it again."""
+    ran = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            ran.add(batch.num_rows)
+            yield batch
+
+    log = spark.createDataFrame(commands(3, 500), SCHEMA)
+    watched = log.mapInArrow(seen, SCHEMA)
+    assert skew.sliced(watched, ["user_id"], [F.col("ts")]).count() == 500
+    assert ran.value == 500

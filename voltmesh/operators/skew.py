@@ -25,18 +25,25 @@ SLICE_ROWS = 1_000_000
 def sliced(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "_cut"
 ) -> DataFrame:
-    """Rows with the number of their slice: about SLICE_ROWS rows each, along keys and order.
+    """Rows with the number of their slice: about SLICE_ROWS rows each, along keys and order, which go
+    by column names.
 
-    The slices are ranges, so a key with many rows has several and they follow its order.
-    They are written, as a range computed again can come out differently.
+    The slices are ranges, so a key with many rows has several and they follow its order. The rows
+    are written before they are counted and cut, so what they come from runs once; the
+    slices are written as well, as a range computed again can come out differently. Rows that
+    fit in one slice are not cut.
     """
     spark = df.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    count = max(least, -(-df.count() // SLICE_ROWS))
-    cut = df.repartitionByRange(count, *keys, *order).withColumn(name, F.spark_partition_id())
-    path = f"{workspace(spark, 'slices')}/rows"
-    cut.write.parquet(path)
-    return spark.read.schema(cut.schema).parquet(path)
+    root = workspace(spark, "slices")
+    df.write.parquet(f"{root}/rows")
+    rows = spark.read.schema(df.schema).parquet(f"{root}/rows")
+    count = -(-rows.count() // SLICE_ROWS)
+    if count <= 1:
+        return rows.withColumn(name, F.lit(0))
+    count = max(count, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cut = rows.repartitionByRange(count, *keys, *order).withColumn(name, F.spark_partition_id())
+    cut.write.parquet(f"{root}/cut")
+    return spark.read.schema(cut.schema).parquet(f"{root}/cut")
 
 
 def running_sums(

@@ -88,11 +88,17 @@ def recent_search_state(commands: DataFrame, *attributes: str) -> DataFrame:
 
 
 def filter_entries(commands: DataFrame) -> DataFrame:
-    """Adds that survive: each remove drops the oldest copy of its item, if there is one.
+    """Adds that survive: each remove drops the oldest copy of its item, if there is one."""
+    return merge_filters(None, commands).select(*PAIR, "ts", "event_id")
 
-    How many copies are left follows from the balance of adds and removes and
-    its lowest point; the survivors are the last so many adds. Sums run inside
-    slices of a bounded number of rows; the slice totals give each slice its start.
+
+def _numbered_adds(commands: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The adds, numbered within their item, and a summary of each item's commands.
+
+    A summary is (removes left over, adds left over, adds). Of two stretches of a log that follow each
+    other, the second's left-over removes take from the first's left-over adds, so summaries are put
+    together in any grouping: sums run inside slices of a bounded number of rows, the slices' totals
+    give the item's.
     """
     asked = commands.filter(F.col("op").isin("add", "remove"))
     log = sliced(asked, PAIR, [F.col("ts"), F.col("event_id")], "_slice").withColumns(
@@ -112,25 +118,43 @@ def filter_entries(commands: DataFrame) -> DataFrame:
     slices = stepped.groupBy(*PAIR, "_slice").agg(
         F.sum("_step").alias("_sum"), F.sum("_one").alias("_adds"), F.min("_level").alias("_low")
     )
-    key = Window.partitionBy(*PAIR)
-    before = key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("_sum").over(before), F.lit(0))
+    before = Window.partitionBy(*PAIR).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.withColumns(
         {
             "_from": F.coalesce(F.sum("_adds").over(before), F.lit(0)),
-            "_dip": start + F.col("_low"),
-        }
-    ).withColumns(
-        {
-            "_left": F.sum("_sum").over(key) - F.least(F.lit(0), F.min("_dip").over(key)),
-            "_all": F.sum("_adds").over(key),
+            "_dip": F.coalesce(F.sum("_sum").over(before), F.lit(0)) + F.col("_low"),
         }
     )
-    numbered = stepped.filter(F.col("op") == "add").join(
-        starts.select(*PAIR, "_slice", "_from", "_left", "_all"), [*PAIR, "_slice"]
+    adds = stepped.filter(F.col("op") == "add").join(starts.select(*PAIR, "_slice", "_from"), [*PAIR, "_slice"])
+    dip = F.least(F.lit(0), F.min("_dip"))
+    summaries = starts.groupBy(*PAIR).agg(
+        (-dip).alias("_removes"), (F.sum("_sum") - dip).alias("_left"), F.sum("_adds").alias("_adds")
+    )
+    return adds.select(*PAIR, "ts", "event_id", (F.col("_from") + F.col("_nth")).alias("nth")), summaries
+
+
+def merge_filters(held: DataFrame | None, commands: DataFrame) -> DataFrame:
+    """Entries (user, item, ts, event_id, nth) after later commands; nth counts an item's adds.
+
+    An item's entries are its last adds in a row, so the first and the last number say how many it has. The survivors
+    are the last ones of the entries and the new adds together; their number follows from the summary.
+    """
+    adds, summaries = _numbered_adds(commands)
+    if held is None:
+        total = F.col("_adds") - F.col("_left")
+        live = join_apart(adds, summaries, PAIR).filter(F.col("nth") > total)
+        return live.select(*PAIR, "ts", "event_id", "nth")
+    known = held.groupBy(*PAIR).agg(F.max("nth").alias("_last"), F.count("*").alias("_held"))
+    joined = join_apart(summaries, known, PAIR, "left").withColumns(
+        {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("_last", "_held")}
     )
-    survives = F.col("_from") + F.col("_nth") > F.col("_all") - F.col("_left")
-    return numbered.filter(survives).select(*PAIR, "ts", "event_id")
+    depth = F.col("_left") + F.greatest(F.lit(0).cast("bigint"), F.col("_held") - F.col("_removes"))
+    limits = joined.select(*PAIR, "_last", (F.col("_last") + F.col("_adds") - depth).alias("_gone"))
+    old = join_apart(held, limits, PAIR, "left").filter(F.col("_gone").isNull() | (F.col("nth") > F.col("_gone")))
+    moved = join_apart(adds, limits, PAIR).withColumn("nth", F.col("_last") + F.col("nth"))
+    new = moved.filter(F.col("nth") > F.col("_gone"))
+    columns = [*PAIR, "ts", "event_id", "nth"]
+    return old.select(*columns).unionByName(new.select(*columns))
 
 
 def filter_state(commands: DataFrame) -> DataFrame:
@@ -138,6 +162,19 @@ def filter_state(commands: DataFrame) -> DataFrame:
     return _placed(filter_entries(commands), newest_first=False)
 
 
+def flag_entries(commands: DataFrame) -> DataFrame:
+    """The last command (op, ts, event_id) of each user and flag; entries are commands again."""
+    touched = commands.filter(F.col("op").isin("add", "remove"))
+    last = F.max(F.struct("ts", "event_id", "op")).alias("_last")
+    found = touched.groupBy("user_id", "idx").agg(last)
+    return found.select("user_id", "idx", "_last.op", "_last.ts", "_last.event_id")
+
+
+def merge_flags(held: DataFrame, commands: DataFrame) -> DataFrame:
+    """Entries after more commands, also if some come late."""
+    return flag_entries(held.unionByName(commands.select(*held.columns)))
+
+
 def flag_state(commands: DataFrame) -> DataFrame:
     """Six 0/1 flags per user as list text; `idx` is the flag a command sets or clears."""
     touched = commands.filter(F.col("op").isin("add", "remove"))

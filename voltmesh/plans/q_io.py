@@ -14,6 +14,7 @@ from ..sources import feeds, tables
 from ..streaming import commands, status
 from .bindings import Bindings
 from .q_stations import MERGED, REPLAYED, upserted
+from .q_users import FILTERS, FLAGS
 from .registry import query
 
 STATUS_ROWS = "select statid, chgerid, stat, statupddt, lasttedt, nowtsdt from "
@@ -321,3 +322,33 @@ def stream_user_state(b):
         if number == 0:
             store.compact()
     return store.read()
+
+
+def _in_waves(b: Bindings, store: commands.ListStore, cuts: list[str], root: str) -> DataFrame:
+    """The commands between the cuts one after the other, the list published after all but the last."""
+    columns = store.command.names
+    ends = ["2000-01-01", *cuts, "2100-01-01"]
+    for number, (first, end) in enumerate(zip(ends, ends[1:])):
+        wave = between(b["fx_command"], first, end, "ts").select(*columns)
+        wave.write.parquet(f"{root}/rows/wave={number}")
+        feed = b.spark.readStream.schema(store.command).parquet(f"{root}/rows/wave=*")
+        commands.run_commands(store, feed, f"{root}/checkpoint").awaitTermination()
+        if number < len(cuts):
+            store.compact()
+    return store.read()
+
+
+@query(f"select user_id, item, ts, event_id from ({FILTERS}) as f")
+def stream_filter_state(b):
+    """Filter lists from three waves of commands: each is summed up and merged into the entries."""
+    root = workspace(b.spark, "filters")
+    store = commands.ListStore.of_filters(b.spark, f"{root}/lists")
+    return _in_waves(b, store, ["2024-01-08", "2024-01-16"], root).drop("nth")
+
+
+@query(FLAGS)
+def stream_flag_state(b):
+    """Flags from two waves of commands."""
+    root = workspace(b.spark, "flags")
+    store = commands.ListStore.of_flags(b.spark, f"{root}/lists")
+    return user_lists.flag_state(_in_waves(b, store, ["2024-01-12"], root))

@@ -444,8 +444,7 @@ def recent_search_state(b):
     return found.withColumn("entry", user_lists.entry_text(*fields))
 
 
-@query(
-    """with c as (
+FILTERS = """with c as (
         select *, case op when 'add' then 1 else -1 end as step,
             row_number() over (order by ts, event_id) as s
         from {fx_command} where op <> 'removeall'),
@@ -460,7 +459,9 @@ def recent_search_state(b):
         row_number() over (partition by r.user_id order by r.s) as pos
     from r join e on r.user_id = e.user_id and r.item = e.item
     where r.op = 'add' and r.nth > e.adds - e.kept"""
-)
+
+
+@query(FILTERS)
 def filter_state(b):
     return user_lists.filter_state(b["fx_command"])
 
@@ -470,13 +471,14 @@ def _flag(i: int) -> str:
         when idx = {i} then 0 end), 0) as varchar)"""
 
 
-@query(
-    f"""select user_id, '[' || {" || ', ' || ".join(_flag(i) for i in range(6))} || ']' as flags
+FLAGS = f"""select user_id, '[' || {" || ', ' || ".join(_flag(i) for i in range(6))} || ']' as flags
     from (
         select *, row_number() over (partition by user_id, idx order by ts desc, event_id desc) as rn
         from {{fx_command}} where op <> 'removeall') as c where rn = 1
     group by user_id"""
-)
+
+
+@query(FLAGS)
 def flag_array_state(b):
     return user_lists.flag_state(b["fx_command"])
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.user_lists import as_commands
+from ..operators.user_lists import as_commands, merge_filters, merge_flags
 from ..schemas import schema
 from ..sinks.ledger import PublishConflict
 from ..sinks.tables import DeltaLog, VersionedTable
@@ -17,42 +17,65 @@ from .status import run_of
 COMMAND = schema(
     "user_id BIGINT, op STRING, item STRING, ts TIMESTAMP_NTZ, event_id BIGINT, name STRING"
 )
+FLAG_COMMAND = schema("user_id BIGINT, op STRING, idx INT, ts TIMESTAMP_NTZ, event_id BIGINT")
+# Entries of lists that commands are merged into: filters with their place among the item's adds, flags
+# as the command that was last.
+FILTER_ENTRY = schema("user_id BIGINT, item STRING, ts TIMESTAMP_NTZ, event_id BIGINT, nth BIGINT")
+FLAG_ENTRY = schema("user_id BIGINT, idx INT, op STRING, ts TIMESTAMP_NTZ, event_id BIGINT")
 COMPACT_EVERY = 60
 # Parts of the published entries, by user.
 PARTS = 16
 
+Fold = Callable[[DataFrame], DataFrame]
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
-class ListStore:
-    """Entries of one kind of list, plus the commands since they were published.
 
-    An entry counts as the add that made it, so folding the entries together
-    with the later commands gives the same lists as the whole log would.
-    """
+def replayed(fold: Fold, command: T.StructType) -> Merge:
+    """A fold of a whole log as a merge: an entry counts as the add that made it, so folding the entries
+    together with the later commands gives the same lists as the whole log would."""
+
+    def merge(entries: DataFrame, log: DataFrame) -> DataFrame:
+        start = as_commands(entries).select(*command.names)
+        return fold(start.unionByName(log.select(*command.names)))
+
+    return merge
+
+
+class ListStore:
+    """Entries of one kind of list, plus the commands since they were published."""
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
-        fold: Callable[[DataFrame], DataFrame],
+        fold: Fold | None = None,
         command: T.StructType = COMMAND,
         parts: int = PARTS,
+        merge: Merge | None = None,
+        entry: T.StructType | None = None,
     ):
+        """Either `fold`, for lists whose entries can be replayed as adds, or `merge` and `entry`."""
         self.spark = spark
-        self.fold = fold
         self.command = command
-        self.entry = [n for n in command.names if n != "op"]
+        self.merge = merge or replayed(fold, command)
+        entry = entry or T.StructType([command[n] for n in command.names if n != "op"])
+        self.entry = entry.names
         self.entries = VersionedTable(spark, f"{root.rstrip('/')}/entries", parts, "user_id")
         self.log = DeltaLog(spark, f"{root.rstrip('/')}/log", command)
-        self.entries.ensure(spark.createDataFrame([], T.StructType([command[n] for n in self.entry])))
+        self.entries.ensure(spark.createDataFrame([], entry))
+
+    @classmethod
+    def of_filters(cls, spark: SparkSession, root: str) -> ListStore:
+        return cls(spark, root, merge=merge_filters, entry=FILTER_ENTRY)
 
-    def _folded(self, entries: DataFrame, log: DataFrame) -> DataFrame:
-        start = as_commands(entries).select(*self.command.names)
-        return self.fold(start.unionByName(log.drop("seq")))
+    @classmethod
+    def of_flags(cls, spark: SparkSession, root: str) -> ListStore:
+        return cls(spark, root, command=FLAG_COMMAND, merge=merge_flags, entry=FLAG_ENTRY)
 
     def read(self) -> DataFrame:
         """Current entries of all users."""
         version, done = self.entries.last()
-        return self._folded(self.entries.read(version=version), self.log.read(done))
+        return self.merge(self.entries.read(version=version), self.log.read(done))
 
     def add_batch(self, commands: DataFrame, batch: int, run: str = "") -> None:
         seq = self.log.add(commands, run, batch)
@@ -67,7 +90,7 @@ class ListStore:
             return
         log = self.log.read(done, upto)
         touched = [r[0] for r in log.select(self.entries.part_of()).distinct().collect()]
-        folded = self._folded(self.entries.read(only=touched, version=version), log)
+        folded = self.merge(self.entries.read(only=touched, version=version), log)
         self.entries.publish(folded.select(*self.entry), upto, only=touched, read_from=version)
         self.log.prune(done)  # readers of the version before may still fold the rest
 
