@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from voltmesh.operators.skew import running_sums
+from voltmesh.operators.skew import running_sums, sliced
 
 from .common import digits
 
@@ -67,8 +67,8 @@ def shard_list(docs: DataFrame, weights: Sequence[float], grown: float = 1.0) ->
     slot, grown_shard. A null text counts as empty.
 
     Slots number a shard's rows from 0 by hash of the id, then id (null first), size and
-    crc. Equal rows are counted before the shuffle and numbered in one go, and a
-    shard is cut into ranges of the hash, so neither a hot key nor a shard is one task.
+    crc. Equal rows are counted before the shuffle and numbered in one go, and the rows of a
+    shard are cut into ranges of that order, so neither a hot id nor a shard is one task.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = key_text(F.col("doc_id"))
@@ -80,14 +80,9 @@ def shard_list(docs: DataFrame, weights: Sequence[float], grown: float = 1.0) ->
     )
     groups = rows.groupBy("doc_id", "size", "text_crc32", "_hash").agg(F.count("*").alias("_n"))
     placed = assign(groups, weights, grown=grown)
-    cuts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = running_sums(
-        placed,
-        ["shard"],
-        F.floor(F.col("_hash") * F.lit(cuts / float(1 << 52))),
-        [F.col("_hash"), F.asc_nulls_first("doc_id"), F.col("size"), F.col("text_crc32")],
-        {"_end": F.col("_n")},
-    )
+    order = [F.col("_hash"), F.asc_nulls_first("doc_id"), F.col("size"), F.col("text_crc32")]
+    cut = sliced(placed, ["shard"], order)
+    numbered = running_sums(cut, ["shard"], F.col("_cut"), order, {"_end": F.col("_n")})
     return numbered.select(
         "doc_id",
         "size",
