@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voltmesh.operators.skew import join_apart
 
-from .common import ascii_lower, digits
+from .common import ascii_lower, digits, settle
 
-#: Labelled URLs the trees are fitted on, at most about so many, chosen by hash.
+#: Different labelled URLs the trees are fitted on, at most so many, chosen by hash.
 TRAIN_ROWS = 20_000
 #: Host suffixes whose table (about 60 bytes each) may be broadcast; beyond, a join.
 BROADCAST_SUFFIXES = 20_000
@@ -123,12 +123,21 @@ def lexical(urls: DataFrame, url: str) -> DataFrame:
 def suffix_table(rows: DataFrame) -> DataFrame:
     """Per suffix over all rows: number of URLs, share of labelled ones, smoothed block rate."""
     known = F.count("label").cast("double")
-    counts = rows.groupBy("suffix").agg(
+    blocked = F.sum(F.coalesce("label", F.lit(0.0)))
+    return rows.groupBy("suffix").agg(
         F.log1p(F.count("*").cast("double")).alias("suffix_urls"),
         (known / F.count("*")).alias("suffix_share"),
-        ((F.sum(F.coalesce("label", F.lit(0.0))) + 1.0) / (known + 2.0)).alias("suffix_block"),
+        known.alias("_known"),
+        blocked.alias("_blocked"),
+        ((blocked + 1.0) / (known + 2.0)).alias("suffix_block"),
     )
-    return counts
+
+
+def _without_itself(df: DataFrame) -> DataFrame:
+    """A labelled URL's suffix has the block rate of the other rows with a label, so that its own
+    label is not among what explains it. `_copies` is how many rows the URL and label have."""
+    rest = (F.col("_blocked") - F.col("label") * F.col("_copies") + 1.0) / (F.col("_known") - F.col("_copies") + 2.0)
+    return df.withColumn("suffix_block", rest)
 
 
 def judge(
@@ -142,50 +151,57 @@ def judge(
 
     `labelled` has url and label (1: block); None takes the URLs that a rule decides, with
     the rule's verdict, as the labelled ones. Suffix statistics are over all URLs, those of the
-    labels over all labelled ones; the trees are fitted on about `train_rows` labelled URLs,
-    picked by the hash of the URL, all of them if there are fewer. With labels of one
-    kind only, that verdict holds where no rule fits; with none, it is allow.
+    labels over all labelled ones; the trees are fitted on `train_rows` different labelled URLs, those
+    with the least hashes, all of them if there are fewer. With labels of one kind only among them,
+    that verdict holds where no rule fits; with none, it is allow.
     Null and empty URLs have empty host and path and are judged like others. Input
     columns with the names of results are replaced. Repeated URLs get equal verdicts.
     """
     results = ["host", "path", "rule", "verdict", "block_score"]
     keep = [c for c in urls.columns if c not in results]
     packed = urls.select(F.struct(*keep).alias("row"), F.col(url).alias("url"))
-    host, path = F.col("host"), F.col("path")
-    rows = lexical(packed, "url").withColumns(
-        {
-            "rule": rule_column(rules, host, path, "text"),
-            "ruled": rule_column(rules, host, path, "verdict"),
-        }
-    )
+
+    def ruled(df: DataFrame) -> DataFrame:
+        host, path = F.col("host"), F.col("path")
+        return df.withColumns(
+            {"rule": rule_column(rules, host, path, "text"), "ruled": rule_column(rules, host, path, "verdict")}
+        )
+
+    rows = ruled(lexical(packed, "url"))
     if labelled is None:
-        rows = rows.withColumn("label", (F.col("ruled") == "block").cast("double"))
-        known = rows
+        short = urls.select(F.col(url).alias("url"))
+        placed = ruled(short.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}))
+        known = placed.withColumn("label", (F.col("ruled") == "block").cast("double"))
+        known = known.select("url", "label", suffix_of(F.col("host")).alias("suffix"))
+        every = known
     else:
-        rows = rows.withColumn("label", F.lit(None).cast("double"))
-        own = labelled.select("url", F.col("label").cast("double").alias("_label"))
-        known = lexical(own, "url").withColumnRenamed("_label", "label")
-        every = rows.select("suffix", "label").unionAll(known.select("suffix", "label"))
-    table = suffix_table(rows if labelled is None else every)
+        own = labelled.select("url", F.col("label").cast("double").alias("label"))
+        known = own.withColumn("suffix", suffix_of(host_of(F.col("url"))))
+        none = F.lit(None).cast("double").alias("label")
+        every = rows.select("suffix", none).unionAll(known.select("suffix", "label"))
+    # The statistics of all suffixes and the sample are written once; the trees go by the sample alone.
+    table = settle(suffix_table(every), "suffixes")
     few = table.limit(BROADCAST_SUFFIXES + 1).count() <= BROADCAST_SUFFIXES
-
-    def with_suffix(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(table), "suffix") if few else join_apart(df, table, ["suffix"])
-
-    known = known.filter("label is not null")
-    counts = known.agg(F.count("*"), F.min("label"), F.max("label")).first()
-    total, lowest, highest = counts
-    rows = with_suffix(rows)
+    statistics = table.drop("_known", "_blocked")
+
+    def with_suffix(df: DataFrame, found: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(found), "suffix") if few else join_apart(df, found, ["suffix"])
+
+    different = known.filter("label is not null").groupBy("url", "label").agg(F.count("*").cast("double").alias("_copies"))
+    mark = digits(F.lit("train"), F.coalesce("url", F.lit("")))
+    # A few more than asked for are sorted, not all.
+    near = mark < int(min(1.0, (1.1 * train_rows + 100) / max(1, different.count())) * (1 << 52))
+    first = different.filter(near).orderBy(mark, "url", "label").limit(train_rows)
+    sample = settle(_without_itself(with_suffix(lexical(first, "url"), table)).select("label", *FEATURES), "sample")
+    total, lowest, highest = sample.agg(F.count("*"), F.min("label"), F.max("label")).first()
+    rows = with_suffix(rows, statistics)
     if not total or lowest == highest:
         scored = rows.withColumn("block_score", F.lit(highest or 0.0).cast("double"))
     else:
-        part = digits(F.lit("train"), F.coalesce("url", F.lit(""))) < int(
-            min(1.0, train_rows / total) * (1 << 52)
-        )
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
         fitted = GBTClassifier(
             labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7, cacheNodeIds=False
-        ).fit(assembler.transform(with_suffix(known.filter(part))).select("label", "features"))
+        ).fit(assembler.transform(sample).select("label", "features"))
         scored = fitted.transform(assembler.transform(rows)).withColumn(
             "block_score", vector_to_array("probability")[1]
         )
