@@ -114,14 +114,18 @@ class Model:
     def scores(self, texts: list[str | None]) -> Iterator[float]:
         """Share of label 1 among the nearest, by similarity; without any, among all."""
         for start in range(0, len(texts), BLOCK):
-            counts = np.stack([term_counts(t) for t in texts[start : start + BLOCK]])
+            part = texts[start : start + BLOCK]
+            # Every product has one shape, so that a text's score does not depend on its company.
+            counts = np.zeros((BLOCK, TERMS), np.float32)
+            for row, text in enumerate(part):
+                counts[row] = term_counts(text)
             rows = _normed(_weighted(counts, self.idf) @ self.space)
-            cosines = rows @ self.vectors.T
+            cosines = (rows @ self.vectors.T)[: len(part)]
             near = min(NEIGHBOURS, cosines.shape[1])
             if not near:
-                yield from [self.prior] * len(rows)
+                yield from [self.prior] * len(part)
                 continue
-            at = np.argpartition(-cosines, near - 1, axis=1)[:, :near]
+            at = nearest(cosines, near)
             votes = np.maximum(np.take_along_axis(cosines, at, axis=1), 0).astype(np.float64) ** POWER
             grain = 1e-6
             yield from (
@@ -130,6 +134,15 @@ class Model:
             ).tolist()
 
 
+def nearest(cosines: np.ndarray, near: int) -> np.ndarray:
+    """The columns of the `near` greatest of each row; of equal ones at the border the first."""
+    last = np.partition(cosines, cosines.shape[1] - near, axis=1)[:, [cosines.shape[1] - near]]
+    over, equal = cosines > last, cosines == last
+    room = near - over.sum(axis=1, keepdims=True)
+    taken = over | (equal & (np.cumsum(equal, axis=1) <= room))
+    return np.nonzero(taken)[1].reshape(len(cosines), near)
+
+
 def learn(counts: np.ndarray, labels: np.ndarray) -> Model:
     """Truncated decomposition of the weighted counts, by subspace iteration from a fixed start."""
     rows = len(counts)
