@@ -12,22 +12,29 @@ item of EXCERPT characters or more is looked for as well, from whatever characte
 A stretch of twice that length within the rate of edits has a half within it, so lengths up
 to there are enough. The same count of shared q-grams says which starts to align.
 
+Items too short for q-grams to tell are looked for as they are, from one word to the next.
+
 The windows of a bounded number of benchmark characters go to every task as one index; a
-larger benchmark is cut into several such blocks, and each document meets all of them.
+larger benchmark is cut into several such blocks. The different texts meet one block after the other, what
+each finds is written, and the driver and the tasks hold one block at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import digits, map_arrow, texts_of
+from voltmesh.operators.skew import join_apart
+
+from .common import digits, map_arrow, settle, texts_of
 
-#: Characters of a q-gram, of a window, between window starts, of the shortest item used.
+#: Characters of a q-gram, of a window, between window starts, of the shortest item that has windows.
 Q, WINDOW, STEP, SHORTEST = 8, 96, 48, 32
 #: Characters of the shortest stretch found from any start of a longer item, and of the longest aligned.
 EXCERPT, LONGEST = 64, 127
@@ -83,6 +90,18 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
     return value ^ (value >> np.uint64(29))
 
 
+@cache
+def automaton(words: tuple[str, ...]):
+    """Finds all words in one pass over a text; a task makes it once."""
+    from ahocorasick import Automaton
+
+    out = Automaton()
+    for word in words:
+        out.add_word(word, word)
+    out.make_automaton()
+    return out
+
+
 @dataclass(frozen=True)
 class Index:
     """Windows of some benchmark items and where each q-gram occurs in the items."""
@@ -100,6 +119,20 @@ class Index:
     window_first: np.ndarray  # first entry in `windows` of each place in `codes`, and their end
     windows: np.ndarray  # windows that hold the whole q-gram of a place
     allowed: np.ndarray  # most edits of a stretch of each length up to LONGEST
+    short: dict  # items under SHORTEST characters, by what they say
+
+    def whole(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Item, first and last place of the short items that stand in a text from word to word."""
+        if not self.short:
+            return []
+        text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        edge = (chr(_GAP), chr(_WALL))
+        out = []
+        for last, said in automaton(tuple(self.short)).iter(text):
+            first = last - len(said) + 1
+            if (first == 0 or text[first - 1] in edge) and (last + 1 == len(text) or text[last + 1] in edge):
+                out += [(item, first, last, 0) for item in self.short[said]]
+        return out
 
     @property
     def least(self) -> np.ndarray:
@@ -295,13 +328,16 @@ def _next(cost: np.ndarray, codes: np.ndarray, place: np.ndarray, pattern: np.nd
 
 
 def build(texts: list[str], edit_rate: float = EDIT_RATE) -> Index:
-    """Index of the windows of some items; those under SHORTEST characters have none."""
+    """Index of the windows of some items, and those under SHORTEST characters, which have none."""
     if LONGEST * edit_rate >= COARSE // 2:
         raise ValueError("so many edits need wider coarse bands")
     owner, start, size, parts, at = [], [], [], [], 0
+    short: dict[str, list[int]] = {}
     for i, text in enumerate(texts):
         codes = _trimmed(normal(text.replace("\0", " "))[0])
         if len(codes) < SHORTEST:
+            if len(codes):
+                short.setdefault("".join(map(chr, codes)), []).append(i)
             continue
         last = max(0, len(codes) - WINDOW)
         for begin in dict.fromkeys([*range(0, last, STEP), last]):
@@ -329,21 +365,26 @@ def build(texts: list[str], edit_rate: float = EDIT_RATE) -> Index:
         np.array(owner, dtype=np.int64), start, size, edits, codes, item, distinct,
         np.append(first, len(every)), places[order], table,
         np.concatenate([[0], np.cumsum(held)]), window[np.argsort(place, kind="stable")],
-        allowed,
+        allowed, short,
     )
 
 
-def _blocks(benchmark: DataFrame, item: str) -> list[tuple[list, Index]]:
-    """Ids and index of each block of items; a block is collected, its size is bounded."""
+def _blocks(benchmark: DataFrame, item: str) -> tuple[int, Iterator[tuple[list, Index]]]:
+    """How many blocks of items there are, and the ids and index of each, one at a time.
+
+    A block is collected; its size is bounded.
+    """
     rows = benchmark.filter(F.col("text").isNotNull()).select(F.col(item).alias("item"), "text")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // BLOCK_CHARS))
     block = F.pmod(digits("block", F.coalesce(F.col("item").cast("string"), F.lit("")), F.md5("text")), F.lit(count))
-    out = []
-    for i in range(count):
-        found = sorted(rows.filter(block == i).collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-        out.append(([r[0] for r in found], build([r[1] for r in found])))
-    return out
+
+    def each() -> Iterator[tuple[list, Index]]:
+        for i in range(count):
+            found = sorted(rows.filter(block == i).collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+            yield [r[0] for r in found], build([r[1] for r in found])
+
+    return count, each()
 
 
 def find_leaks(
@@ -351,9 +392,11 @@ def find_leaks(
 ) -> DataFrame:
     """Columns of the input and `name`: an array of item_id, start, end, edits, one for each
     item found, where a window of it was found with the fewest edits, or if none was, a stretch
-    of EXCERPT characters or more from any start. Places are in code points, to within the edits. Null and empty texts have none; null items and items under SHORTEST
-    characters are not looked for. Repeated items are found once per id. A column of
-    that name is replaced.
+    of EXCERPT characters or more from any start. Places are in code points, to within the edits.
+
+    An item under SHORTEST characters is found where all of it stands, as compared, between other words; one
+    without letters and digits says nothing and is not looked for. Null and empty texts have none, null items
+    are left out. Repeated items are found once per id. A column of that name is replaced.
     """
     kind = benchmark.schema[item].dataType
     leak = T.StructType(
@@ -361,14 +404,35 @@ def find_leaks(
         + [T.StructField(n, T.LongType()) for n in ("start", "end", "edits")]
     )
     kept = docs.drop(name)
-    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.ArrayType(leak))])
+    found = T.StructField(name, T.ArrayType(leak))
     arrow = pa.list_(
         pa.struct([("item_id", to_arrow_type(kind)), *[(n, pa.int64()) for n in ("start", "end", "edits")]])
     )
-    out = kept
-    for ids, index in _blocks(benchmark, item):
-        out = map_arrow(out, _searcher(ids, index, text, name, arrow), schema)
-    return out
+    count, blocks = _blocks(benchmark, item)
+    if count == 1:
+        ids, index = next(blocks)
+        return map_arrow(kept, _searcher(ids, index, text, name, arrow), T.StructType([*kept.schema.fields, found]))
+    mark = F.unhex(F.md5(F.col(text)))
+    texts = kept.filter(F.col(text) != "").select(mark.alias("_text_mark"), F.col(text).alias("text"))
+    texts = settle(texts.groupBy("_text_mark").agg(F.first("text").alias("text")), "texts")
+    schema = T.StructType([*texts.schema.fields, found])
+    parts = []
+    for ids, index in blocks:
+        met = map_arrow(texts, _searcher(ids, index, "text", name, arrow), schema).filter(F.size(name) > 0)
+        parts.append(settle(met.select("_text_mark", name), "leaks"))
+    every = reduce(DataFrame.unionAll, parts).groupBy("_text_mark").agg(
+        F.array_sort(F.flatten(F.collect_list(name)), _in_text).alias("_found")
+    )
+    marked = kept.withColumn("_text_mark", mark)
+    out = join_apart(marked, every, ["_text_mark"], "left")
+    none = F.array().cast(T.ArrayType(leak))
+    return out.select(*kept.columns, F.coalesce("_found", none).alias(name))
+
+
+def _in_text(a: Column, b: Column) -> Column:
+    """Order of leaks by place, then by the id as text."""
+    one, two = (F.struct(x["start"], x["end"], x["item_id"].cast("string")) for x in (a, b))
+    return F.when(one < two, -1).when(one > two, 1).otherwise(0)
 
 
 def _searcher(ids: list, index: Index, text: str, name: str, arrow: pa.DataType):
@@ -377,7 +441,7 @@ def _searcher(ids: list, index: Index, text: str, name: str, arrow: pa.DataType)
         codes, places = normal("\0".join(texts))
         ends = np.cumsum([len(t) + 1 for t in texts])
         best: list[dict] = [{} for _ in texts]
-        for item, first, last, edits in index.search(codes):
+        for item, first, last, edits in [*index.search(codes), *index.whole(codes)]:
             while first < last and codes[first] == _WALL:
                 first += 1
             row = int(np.searchsorted(ends, places[(first + last) // 2], side="right"))
@@ -392,12 +456,9 @@ def _searcher(ids: list, index: Index, text: str, name: str, arrow: pa.DataType)
         ]
         for row in leaks:
             row.sort(key=lambda x: (x["start"], x["end"], str(x["item_id"])))
-        kept = [c for c in batch.schema.names if c != name]
-        columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-        at = batch.schema.get_field_index(name)
-        if at >= 0:  # what earlier blocks found
-            leaks = [a + b for a, b in zip(batch.column(at).to_pylist(), leaks)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(leaks, arrow)], names=[*kept, name])
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(leaks, arrow)], names=[*batch.schema.names, name]
+        )
 
     return run
 
