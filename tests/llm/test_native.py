@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import odd
 from voltmesh.llm import mixing, sharding, urls
+from voltmesh.operators import skew
 
 
 def python_nodes(df):
@@ -116,6 +117,34 @@ def test_sharding_odd_documents(spark):
     assert sharding.shard_list(odd.nothing(spark), [1.0]).count() == 0
 
 
+def test_shards_read_by_any_columns(spark, tmp_path):
+    """Whatever columns of a landed table are read, the plan holds; one id in a third of the rows is cut."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"),
+    )
+    rows.repartition(5).write.parquet(str(tmp_path / "docs"))
+    out = sharding.shard_list(spark.read.parquet(str(tmp_path / "docs")), [1.0] * 16)
+    whole = sorted((r["shard"], r["slot"]) for r in out.collect())
+    assert out.count() == 3000
+    assert sorted(map(tuple, out.select("shard", "slot").collect())) == whole
+    assert sorted(r[0] for r in out.select("slot").collect()) == sorted(s for _, s in whole)
+    assert sum(r["count"] for r in out.groupBy("shard").count().collect()) == 3000
+    assert out.groupBy(F.spark_partition_id()).count().collect()
+    assert out.select("law", "grown_shard").count() == 3000 and out.filter("shard = 3").count() > 0
+
+
+def test_a_hot_id_is_cut_into_slices(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SLICE_ROWS", 200)
+    rows = spark.range(3000).select(F.lit(7).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    cuts = []
+    real = skew.sliced
+    monkeypatch.setattr(sharding, "sliced", lambda *a: cuts.append(real(*a)) or cuts[-1])
+    out = sharding.shard_list(rows, [1.0] * 4).collect()
+    assert sorted(r["slot"] for r in out) == list(range(3000))
+    assert max(r["count"] for r in cuts[0].groupBy("_cut").count().collect()) < 1000
+
+
 # ---- URLs -------------------------------------------------------------------
 
 ODD_URLS = [
@@ -184,3 +213,30 @@ def test_many_suffixes_are_joined(spark, monkeypatch):
     one = sorted(map(repr, urls.judge(df).select("url", "verdict").collect()))
     monkeypatch.setattr(urls, "BROADCAST_SUFFIXES", 0)
     assert sorted(map(repr, urls.judge(df).select("url", "verdict").collect())) == one
+
+
+def test_repeats_of_one_url_leave_room_for_others(spark):
+    """The sample is of different URLs, so copies neither fill it nor empty it."""
+    pages = [(i, "http://a.example.com/de/hot") for i in range(3000)]
+    pages += [(4000 + i, f"http://x{i}.example.net/en/{i}") for i in range(5)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    for train in (3, 1, 100):
+        out = urls.judge(df, train_rows=train)
+        assert out.count() == 3005
+    labelled = spark.createDataFrame([("http://a.com/x", 1)] * 500 + [("http://b.org/y", 0)], "url string, label int")
+    seen = []
+    real = urls._without_itself
+    urls._without_itself = lambda d: seen.append(d) or real(d)
+    try:
+        urls.judge(df, labelled=labelled).count()
+    finally:
+        urls._without_itself = real
+    assert sorted((r["url"], r["label"]) for r in seen[0].collect()) == [("http://a.com/x", 1.0), ("http://b.org/y", 0.0)]
+
+
+def test_a_label_is_not_among_what_explains_it(spark):
+    rows = spark.createDataFrame(
+        [("s", 1.0, 3.0, 10.0, 4.0), ("s", 0.0, 1.0, 10.0, 4.0)], "suffix string, label double, _copies double, _known double, _blocked double"
+    )
+    got = [r["suffix_block"] for r in urls._without_itself(rows).collect()]
+    assert got == [pytest.approx((4 - 3 + 1) / (10 - 3 + 2)), pytest.approx((4 + 1) / (10 - 1 + 2))]

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from hashlib import sha256
 
 import numpy as np
@@ -341,10 +342,32 @@ def test_matches_do_not_cross_documents(spark):
     half = len(item) // 2
     docs = odd.of(spark, [item[:half], item[half:], "x " + item.upper().replace(" ", " -- "), None, "", "short"])
     rows = decontamination.leak_list(docs, benchmark).collect()
-    assert [(r["doc_id"], r["item_id"], r["edits"]) for r in rows] == [(2, 1, 0)]
+    assert [(r["doc_id"], r["item_id"], r["edits"]) for r in rows] == [(2, 1, 0), (5, 4, 0)]
     assert rows[0]["start"] == 2 and rows[0]["end"] == 2 + len(item.replace(" ", " -- "))
 
 
+SHORT = ["What is the capital of France?", "Paris", "42", "ÉTÉ", "?!", "of France"]
+
+
+@pytest.mark.parametrize("chars", [2_000_000, 40])
+def test_short_items_are_found_as_words(spark, monkeypatch, chars):
+    """Items of any length, also over several blocks; a part of a word is none."""
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", chars)
+    texts = [
+        "Q: what is -- the CAPITAL of France", "Parisian 420 été42", "(paris) 42", "in été?", "?!", None,
+        "the capital", "what is the capital of francesca", "x" * 2_000_000 + " Paris.",
+    ]
+    words = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
+    want = {
+        (d, i) for d, t in enumerate(texts) for i, item in enumerate(SHORT)
+        if t and words(item) and f" {words(item)} " in f" {words(t)} "
+    }
+    benchmark = spark.createDataFrame(list(enumerate(SHORT)), "item_id long, text string")
+    rows = decontamination.leak_list(odd.of(spark, texts), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == want and len(rows) == len(want)
+    assert all(words(texts[r["doc_id"]][r["start"] : r["end"]]) == words(SHORT[r["item_id"]]) for r in rows)
+
+
 def test_leaks_of_odd_documents(spark):
     benchmark = spark.createDataFrame([(None, odd.LONG[:200]), (5, odd.LONG[:200])], "item_id long, text string")
     docs = odd.docs(spark)
@@ -403,3 +426,32 @@ def test_scores_of_odd_documents(spark):
     none = neighbours.fit(docs, labels.limit(0))
     assert {r["score"] for r in neighbours.classify(docs, none).collect()} == {0.5}
     assert neighbours.quality_scores(odd.nothing(spark), labels).count() == 0
+
+
+def test_tokens_are_found_as_by_the_expression():
+    """One walk over the runs gives the matches of the expression, and long runs of `eyJ` take no longer."""
+    rng = random.Random(8)
+    rule = secrets.JWT
+    compiled = re.compile(rule.pattern)
+    for _ in range(3000):
+        text = "".join(rng.choices(["eyJ", "abcdefgh", "x", ".", ".", " ", "é", "-_"], k=rng.randint(0, 30)))
+        assert list(secrets.matches(rule, compiled, text)) == [m.span() for m in compiled.finditer(text)]
+    times = []
+    for size in (200_000, 800_000):
+        start = time.perf_counter()
+        assert not list(secrets.matches(rule, compiled, "eyJ" * size + "." + "eyJ" * size))
+        times.append(time.perf_counter() - start)
+    assert times[1] < 2
+
+
+def test_a_text_scores_the_same_in_any_company(spark):
+    """Blocks of one shape, and equal similarities at the border by row."""
+    docs = [(i, f"some good words number {i % 7} about {'trees' if i % 2 else 'spam spam'}") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, quality int")
+    model = neighbours.fit(df, labels)
+    texts = [t for _, t in docs]
+    alone = [next(model.scores([t])) for t in texts]
+    assert alone == list(model.scores(texts)) == list(model.scores(texts[::-1]))[::-1]
+    table = np.array([[0.5, 0.9, 0.5, 0.5, 0.1], [0.2, 0.2, 0.2, 0.2, 0.2]], dtype=np.float32)
+    assert neighbours.nearest(table, 3).tolist() == [[0, 1, 2], [0, 1, 2]]
