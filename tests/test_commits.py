@@ -1,10 +1,12 @@
 """Writers that come at once, too late, or again under another checkpoint lose nothing."""
 
+import random
 import threading
 
 import pytest
 
 from tests.test_feeds import rows_of, small_store, stats
+from voltmesh.operators import regions
 from voltmesh.schemas import STATUS
 from voltmesh.sinks import ledger
 from voltmesh.sinks import tables as sinks
@@ -194,3 +196,33 @@ def test_a_damaged_entry_is_no_missing_table(spark, tmp_path):
     (tmp_path / "t" / "versions" / "000000000001.json").write_text("not json")
     with pytest.raises(ValueError):
         sinks.VersionedTable(spark, str(tmp_path / "t")).ensure(spark.range(1))
+
+
+COUNTED = "statid string, chgerid int, addcd string, stat int, statupddt timestamp_ntz, lasttedt timestamp_ntz, nowtsdt timestamp_ntz"
+
+
+def test_counts_follow_the_log(spark, tmp_path):
+    """Signed changes of the touched parts give what counting everyone gives, through waves, compactions
+    and a rebuild; a wave reads no other part."""
+    rng = random.Random(5)
+    rows = [(f"S{i}", 1, rng.choice(["a", "b", "c", None]), rng.choice([1, 2, 3, None]), None, None, None) for i in range(200)]
+    store = status.StatusStore(spark, str(tmp_path / "s"), parts=32)
+    snapshot = store.tables[status.SNAPSHOT]
+    snapshot.publish(spark.createDataFrame(rows, COUNTED))
+    store.ensure_tables(0.0)
+    counts = lambda: {r["addcd"]: r["n"] for r in store.available_codes().collect()}
+    full = lambda: {r["addcd"]: r["n"] for r in regions.available_by_code(store.read()).collect()}
+    assert counts() == full()
+    for batch in range(5):
+        wave = [(f"S{rng.randrange(220)}", 1, rng.choice([1, 2]), batch) for _ in range(6)]
+        store.merge_batch(rows_of(spark, *wave), batch)
+        moved = store.available_codes()
+        used = {f.split("_part=")[1].split("/")[0] for f in moved.inputFiles() if "/snapshot/" in f and "_part=" in f}
+        assert len(used) <= 6 * (batch % 2 + 1), "only parts that the log touches are read"
+        assert counts() == full()
+        if batch % 2:
+            store.compact()
+            assert store.counts.last()[1] == snapshot.last()[0] and counts() == full()
+    store.begin_rebuild()
+    store.finish_rebuild(spark.createDataFrame(rows[:150], COUNTED))
+    assert counts() == full()

@@ -49,14 +49,37 @@ def _count_under(regions: DataFrame, prefix: Column, per_prefix: DataFrame, name
     return counted.withColumn(name, F.coalesce("n", F.lit(0)).cast("bigint")).drop("_prefix", "n")
 
 
+def availability_changes(folded: DataFrame) -> DataFrame:
+    """(addcd, n): how many chargers became available less those that ceased to be, by code.
+
+    `folded` has addcd, the new stat and `was`, the stat before; rows that stay what they are say nothing.
+    """
+    moved = folded.filter(F.col("addcd").isNotNull()).select(
+        "addcd", F.coalesce((F.col("stat") == AVAILABLE).cast("bigint"), F.lit(0)).alias("_now"),
+        F.coalesce((F.col("was") == AVAILABLE).cast("bigint"), F.lit(0)).alias("_was"),
+    )
+    return moved.filter("_now <> _was").groupBy("addcd").agg(F.sum(F.col("_now") - F.col("_was")).alias("n"))
+
+
+def shifted_counts(counts: DataFrame, changes: DataFrame) -> DataFrame:
+    """Counts per code with signed changes added; codes that come to nothing go."""
+    both = counts.select("addcd", "n").unionByName(changes.select("addcd", "n"))
+    return both.groupBy("addcd").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
 def available_by_region(regions: DataFrame, chargers: DataFrame) -> DataFrame:
-    """`num` of every region: available chargers below it. Counts overlap between levels.
+    """`num` of every region: available chargers below it. Counts overlap between levels."""
+    return available_under(regions, available_by_code(chargers))
+
+
+def available_under(regions: DataFrame, by_code: DataFrame) -> DataFrame:
+    """`num` of every region from counts per code (addcd, n).
 
     Prefixes are taken from the counted codes, so the rows made per code are
     few and no prefix comparison is left in the join.
     """
     per_prefix = (
-        available_by_code(chargers)
+        by_code
         .select(F.explode(codes.code_prefixes(F.col("addcd"))).alias("_prefix"), "n")
         .groupBy("_prefix")
         .agg(F.sum("n").alias("n"))

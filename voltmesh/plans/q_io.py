@@ -13,7 +13,7 @@ from ..sinks import tables as sinks
 from ..sources import feeds, tables
 from ..streaming import commands, status
 from .bindings import Bindings
-from .q_stations import MERGED, REPLAYED, upserted
+from .q_stations import MERGED, PREFIX, REPLAYED, upserted
 from .q_users import FILTERS, FLAGS
 from .registry import query
 
@@ -269,6 +269,36 @@ def stream_latest_state(b):
     return status.latest_state(log.read())
 
 
+# What two minutes' feeds say of some chargers, and what all of them are afterwards.
+FIRST_STAT, SECOND_STAT = "1 + (stat + chgerid) % 5", "case when stat = 2 then 3 else 2 end"
+AFTER = f"""select * replace (case when output % 5 = 1 then {SECOND_STAT} else stat end as stat) from (
+        select * replace (case when output % 3 = 0 then {FIRST_STAT} else stat end as stat) from {{fx_charger}}) as one"""
+
+
+@query(
+    f"""select r.bcode, r.arr, r.level, r.arrt, r.lat, r.lng, cast(coalesce(sum(c.n), 0) as bigint) as num
+    from {{fx_region}} r left join (
+        select addcd, count(*) as n from ({AFTER}) as two where stat = 2 group by addcd) c
+    on starts_with(c.addcd, {PREFIX})
+    group by all"""
+)
+def available_by_region_after(b):
+    """Counts of a snapshot, moved by two waves: the first is published, the second still in the log."""
+    columns = [*KEYS, "addcd", *STATUS_COLUMNS]
+    store = status.StatusStore(b.spark, workspace(b.spark, "counted"))
+    store.tables[status.SNAPSHOT].publish(b["fx_charger"].select(*columns))
+    store.ensure_tables(0.0)
+    store.available_codes()
+    base = b["fx_charger"].select(*columns, "output")
+    first = base.filter("output % 3 = 0").withColumn("stat", F.expr(FIRST_STAT))
+    store.merge_batch(first.select(*STATUS.names), 0)
+    store.compact()
+    one = base.withColumn("stat", F.when(F.col("output") % 3 == 0, F.expr(FIRST_STAT)).otherwise(F.col("stat")))
+    second = one.filter("output % 5 = 1").withColumn("stat", F.expr(SECOND_STAT))
+    store.merge_batch(second.select(*STATUS.names), 1)
+    return regions.available_under(b["fx_region"], store.available_codes())
+
+
 BOOKMARKS = """with c as (select *, row_number() over (order by ts, event_id) as s from {fx_command}),
     cleared as (select user_id, max(s) as s from c where op = 'removeall' group by user_id),
     gone as (select user_id, item, max(s) as s from c where op = 'remove' group by user_id, item)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merges import fold_updates, latest_per_key, replay_buffer
+from ..operators.regions import availability_changes, available_by_code, shifted_counts
 from ..schemas import CONTROL, KEYS, STATUS, STATUS_COLUMNS
 from ..sinks.ledger import PublishConflict, exists
 from ..sinks.tables import ATTEMPTS, DeltaLog, VersionedTable
@@ -54,6 +55,7 @@ class StatusStore:
         }
         self.log = DeltaLog(spark, f"{self.root}/log", STATUS)
         self.control_table = VersionedTable(spark, f"{self.root}/control")
+        self.counts = VersionedTable(spark, f"{self.root}/available")
 
     def ensure_tables(self, now: float) -> None:
         """An empty buffer and the control row (1, 1, now), unless they exist."""
@@ -141,12 +143,41 @@ class StatusStore:
         if name == SNAPSHOT:
             touched = [r[0] for r in log.select(table.part_of()).distinct().collect()]
             folded = fold_updates(table.read(only=touched, version=version), log, "seq", upsert=False)
-            table.publish(self.layout(folded), upto, only=touched, read_from=version)
+            counted, kept = None, self.counts.last()
+            if kept is not None and kept[1] == version:
+                counted = self.available_codes(upto)
+            new = table.publish(self.layout(folded), upto, only=touched, read_from=version)
+            if counted is not None:
+                with contextlib.suppress(PublishConflict):
+                    self.counts.publish(counted, new, read_from=kept[0])
             self.log.prune(done)  # readers of the version before may still fold the rest
         else:
             folded = fold_updates(table.read(version=version), log, "seq", upsert=True)
             table.publish(folded, upto, read_from=version)
 
+    def available_codes(self, upto: int | None = None) -> DataFrame:
+        """(addcd, n): available chargers by code, for a snapshot that has addcd.
+
+        The counts of the published snapshot are kept beside it. What the log moves is added: only the
+        parts it touches are read, and only rows that become available or cease to be count. All chargers
+        are counted the first time and after a rebuild.
+        """
+        table = self.tables[SNAPSHOT]
+        version, done = table.last()
+        kept = self.counts.last()
+        if kept is None or kept[1] != version:
+            everyone = table.read("addcd", "stat", version=version)
+            with contextlib.suppress(PublishConflict):  # another reader counted as well
+                self.counts.publish(available_by_code(everyone), version, read_from=kept[0] if kept else 0)
+        log = self.log.read(done, self._mark() if upto is None else upto)
+        touched = [r[0] for r in log.select(table.part_of()).distinct().collect()]
+        counts = self.counts.read()
+        if not touched:
+            return counts
+        rows = table.read(*KEYS, "addcd", *STATUS_COLUMNS, only=touched, version=version)
+        folded = fold_updates(rows.withColumn("was", F.col("stat")), log, "seq", upsert=False)
+        return shifted_counts(counts, availability_changes(folded))
+
     def begin_rebuild(self) -> None:
         """Clear the buffer and let readers of the snapshot stop here."""
         mark = self.log.last()
