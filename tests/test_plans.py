@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from voltmesh.operators import filters, regions, reviews, spatial, user_lists
 from voltmesh.plans.bindings import Bindings
 from voltmesh.plans.catalogue import all_queries
+from voltmesh.schemas import STATUS
 from voltmesh.sinks.tables import VersionedTable
+from voltmesh.streaming import status
 
 
 def plan(df, mode="simple"):
@@ -104,3 +106,41 @@ def test_hot_pair_is_split_in_the_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def above(text, scan):
+    """The operators on the way from the first scan, a join's left side, up to the root of a plan."""
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if scan in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    out, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if line.strip() and depth(line) < level:
+            out.append(line)
+            level = depth(line)
+    return "\n".join(out)
+
+
+def test_a_minute_does_not_move_the_snapshot(spark, tmp_path, monkeypatch):
+    """Readers and compactions update the snapshot's rows where they lie; a log that is not small is shuffled."""
+    store = status.StatusStore(spark, str(tmp_path / "s"), parts=4)
+    rows = [(f"S{i}", 1, 1, None, None, None) for i in range(100)]
+    store.tables[status.SNAPSHOT].publish(spark.createDataFrame(rows, STATUS))
+    store.ensure_tables(0.0)
+    for batch in range(3):
+        wave = [(f"S{i}", 1, 2 + batch, None, None, None) for i in range(batch, 100, 7)]
+        store.merge_batch(spark.createDataFrame(wave, STATUS), batch)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = store.read()
+        assert "Exchange" not in above(plan(small), "FileScan")
+        published = []
+        monkeypatch.setattr(store.tables[status.SNAPSHOT], "publish", lambda df, *a, **k: published.append(df) or 2)
+        store.compact()
+        assert "Exchange" not in above(plan(published[0]), "FileScan")
+        monkeypatch.setattr(status, "SMALL_LOG", 0)
+        large = store.read()
+        assert "Exchange" in above(plan(large), "FileScan")
+        assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

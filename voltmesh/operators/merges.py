@@ -115,12 +115,15 @@ def with_delta_columns(snapshot: DataFrame, delta: DataFrame) -> DataFrame:
     return snapshot.join(right, KEYS, "left")
 
 
-def fold_updates(base: DataFrame, log: DataFrame, seq: str, upsert: bool) -> DataFrame:
+def fold_updates(
+    base: DataFrame, log: DataFrame, seq: str, upsert: bool, small: bool = False
+) -> DataFrame:
     """Apply logged deltas in the order of `seq` (one row per key and seq).
 
     Equal to merge_status, or upsert_status, once per delta. A key has as many
     entries as there are deltas since the last compaction, which bounds the list; the
-    store compacts snapshot and buffer alike.
+    store compacts snapshot and buffer alike. `small` says that the log's size has been looked at
+    and fits every task; updates of the base then happen where its rows lie, without a shuffle.
     """
     columns = STATUS_COLUMNS
     entries = log.groupBy(*KEYS).agg(
@@ -128,6 +131,8 @@ def fold_updates(base: DataFrame, log: DataFrame, seq: str, upsert: bool) -> Dat
     )
     values = F.transform(F.col("_log"), lambda e: e["v"])
     held = base.withColumn("_held", F.struct(*columns))
+    if small and not upsert:
+        entries = F.broadcast(entries)
     joined = held.join(entries, KEYS, "full_outer" if upsert else "left")
 
     def step(now: Column, new: Column) -> Column:

@@ -202,6 +202,8 @@ class DeltaLog:
         name = uuid.uuid4().hex
         path = f"{self.root}/deltas/part={name}"
         rows.select(*self.names).write.parquet(path)
+        files, target = file_system(self.spark, path)
+        notes["bytes"] = files.getContentSummary(target).getLength()
         for _ in range(ATTEMPTS):
             seq = self.last() + 1 if expect is None else expect + 1
             try:
@@ -216,6 +218,11 @@ class DeltaLog:
             raise PublishConflict(path)
         return known
 
+    def size(self, after: int = -1, upto: int | None = None) -> int:
+        """Bytes of the files that `read` would read, from the ledger."""
+        entries = self.ledger.entries().items()
+        return sum(e["bytes"] for n, e in entries if n > after and (upto is None or n <= upto))
+
     def read(
         self, after: int = -1, upto: int | None = None, where: Callable[[dict], bool] = lambda entry: True
     ) -> DataFrame:

@@ -33,6 +33,8 @@ SNAPSHOT, BUFFER = "snapshot", "buffer"
 # Deltas between compactions, of the snapshot and of the buffer; also the most entries one
 # charger can have in what is folded.
 COMPACT_EVERY = 60
+# Bytes of delta files (six columns, compressed) that may go to every task of a merge; more are shuffled.
+SMALL_LOG = 4 << 20
 # Parts of the snapshot, by charger.
 PARTS = 16
 
@@ -95,7 +97,8 @@ class StatusStore:
         limit = self._mark() if name == SNAPSHOT else None
         version, done = table.last()
         log = self.log.read(done, limit)
-        return fold_updates(table.read(version=version), log, "seq", upsert=name == BUFFER)
+        small = self.log.size(done, limit) <= SMALL_LOG
+        return fold_updates(table.read(version=version), log, "seq", upsert=name == BUFFER, small=small)
 
     def merge_batch(self, rows: DataFrame, batch: int, run: str = "", at: float | None = None) -> None:
         """Log the newest row of each charger and the time of the run.
@@ -139,10 +142,11 @@ class StatusStore:
         if name == SNAPSHOT and self._mark() is not None:
             return
         version, done = table.last()
-        log = self.log.read(done, upto)
+        log, small = self.log.read(done, upto), self.log.size(done, upto) <= SMALL_LOG
         if name == SNAPSHOT:
             touched = [r[0] for r in log.select(table.part_of()).distinct().collect()]
-            folded = fold_updates(table.read(only=touched, version=version), log, "seq", upsert=False)
+            rows = table.read(only=touched, version=version)
+            folded = fold_updates(rows, log, "seq", upsert=False, small=small)
             counted, kept = None, self.counts.last()
             if kept is not None and kept[1] == version:
                 counted = self.available_codes(upto)
@@ -169,13 +173,14 @@ class StatusStore:
             everyone = table.read("addcd", "stat", version=version)
             with contextlib.suppress(PublishConflict):  # another reader counted as well
                 self.counts.publish(available_by_code(everyone), version, read_from=kept[0] if kept else 0)
-        log = self.log.read(done, self._mark() if upto is None else upto)
+        upto = self._mark() if upto is None else upto
+        log, small = self.log.read(done, upto), self.log.size(done, upto) <= SMALL_LOG
         touched = [r[0] for r in log.select(table.part_of()).distinct().collect()]
         counts = self.counts.read()
         if not touched:
             return counts
         rows = table.read(*KEYS, "addcd", *STATUS_COLUMNS, only=touched, version=version)
-        folded = fold_updates(rows.withColumn("was", F.col("stat")), log, "seq", upsert=False)
+        folded = fold_updates(rows.withColumn("was", F.col("stat")), log, "seq", upsert=False, small=small)
         return shifted_counts(counts, availability_changes(folded))
 
     def begin_rebuild(self) -> None:
