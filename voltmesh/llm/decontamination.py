@@ -198,16 +198,19 @@ class Index:
 
     def matches(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
         """Item, first and last place in `codes`, edits of each band that aligns with a window."""
-        return self._windows(codes, *self.shared(codes))
+        return self._windows(Walled(codes), *self.shared(codes))
 
     def search(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
         """As `matches`, and stretches from any start of the items of which a text has no window."""
         ours, theirs = self.shared(codes)
-        found = self._windows(codes, ours, theirs)
-        return found + self._stretches(codes, ours, theirs, found)
+        if not len(ours):
+            return []
+        text = Walled(codes)
+        found = self._windows(text, ours, theirs)
+        return found + self._stretches(text, ours, theirs, found)
 
-    def _windows(self, codes, ours, theirs) -> list[tuple[int, int, int, int]]:
-        window, low = self.candidates(codes, ours, theirs)
+    def _windows(self, text: Walled, ours, theirs) -> list[tuple[int, int, int, int]]:
+        window, low = self.candidates(text.codes, ours, theirs)
         out = []
         for shape in np.unique(self.size[window] * (WINDOW + 1) + self.edits[window]):
             size, edits = int(shape) // (WINDOW + 1), int(shape) % (WINDOW + 1)
@@ -215,28 +218,28 @@ class Index:
             group = max(1, CELLS // (4 * edits + 2))
             for i in range(0, len(own), group):
                 part = own[i : i + group]
-                out += self._aligned(codes, window[part], low[part], size, edits)
+                out += self._aligned(text, window[part], low[part], size, edits)
         return out
 
-    def _aligned(self, codes, window, low, size: int, edits: int) -> list[tuple[int, int, int, int]]:
+    def _aligned(self, text: Walled, window, low, size: int, edits: int) -> list[tuple[int, int, int, int]]:
         """Edits between a window and the best part of the text within the band's diagonals."""
         width = 4 * edits + 1  # the band, 2 * edits + 1 wide, and edits on either side
         base = low - edits
-        cells = np.arange(width)
         cost = np.zeros((len(window), width), dtype=np.int16)
+        rows, walled = text.rows(width), bool(text.near_wall(base, size + width).any())
         for i in range(size):
-            cost = _next(cost, codes, base[:, None] + cells + i, self.codes[self.start[window] + i])
+            cost = text.next(rows, cost, base + i, self.codes[self.start[window] + i], walled)
         found = cost.min(axis=1)
         end = cost.argmin(axis=1)
         return [
-            (int(self.owner[w]), max(0, int(b + k)), min(len(codes), int(b + k + size)) - 1, int(c))
+            (int(self.owner[w]), max(0, int(b + k)), min(len(text.codes), int(b + k + size)) - 1, int(c))
             for w, b, k, c in zip(window, base, end, found)
             if c <= edits
         ]
 
-    def _stretches(self, codes, ours, theirs, found) -> list[tuple[int, int, int, int]]:
+    def _stretches(self, text: Walled, ours, theirs, found) -> list[tuple[int, int, int, int]]:
         """Item, first and last place, edits of the stretches that align, but for items `found` in a text."""
-        texts = np.cumsum(codes == _WALL)
+        texts = np.cumsum(text.codes == _WALL)
         owners = self.owner[self.windows[self.window_first[theirs]]]
         seen = [int(texts[(first + last) // 2]) * (len(self.codes) + 1) + item for item, first, last, _ in found]
         keep = ~np.isin(texts[ours] * (len(self.codes) + 1) + owners, seen)
@@ -250,7 +253,7 @@ class Index:
         width = COARSE + 2 * most
         out, group = [], max(1, CELLS // width)
         for i in range(0, len(start), group):
-            out += self._longest(codes, start[i : i + group], low[i : i + group] - most, size[i : i + group], width)
+            out += self._longest(text, start[i : i + group], low[i : i + group] - most, size[i : i + group], width)
         return out
 
     def _starts(self, band, theirs, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -281,19 +284,20 @@ class Index:
         size = np.repeat(sizes, [len(k) for k in keys])[at]
         return key % wide, key // wide * COARSE - shift - len(self.codes), size
 
-    def _longest(self, codes, start, base, size, width: int) -> list[tuple[int, int, int, int]]:
+    def _longest(self, text: Walled, start, base, size, width: int) -> list[tuple[int, int, int, int]]:
         """The stretch of at least `size` from each start with the fewest edits within the rate, the
         longest of them. If EXCERPT or more follows a first part of too many edits, the start of
         what follows is tried instead.
         """
         room = np.searchsorted(self.item, self.item[start], side="right") - start
-        cells, row = np.arange(width), np.arange(len(start))
+        row, rows = np.arange(len(start)), text.rows(width)
+        near = text.near_wall(base + start, LONGEST + width)
         cost = np.zeros((len(start), width), dtype=np.int16)
         most = np.full(len(start), self.allowed.max())
         edits, length, cell = (np.full(len(start), x, dtype=np.int64) for x in (_FAR, 0, 0))
         for i in range(LONGEST):
-            place = (base + start)[row][:, None] + cells + i
-            cost = _next(cost, codes, place, self.codes[start[row] + i])
+            pattern = self.codes[start[row] + i]
+            cost = text.next(rows, cost, (base + start)[row] + i, pattern, bool(near[row].any()))
             least = cost.min(axis=1)
             if i + 1 >= EXCERPT:
                 good = (least <= self.allowed[i + 1]) & (least <= edits[row])
@@ -310,21 +314,48 @@ class Index:
         owner = self.owner[self.windows[self.window_first[start]]]
         first = base + start + cell
         return [
-            (int(owner[w]), max(0, int(first[w])), min(len(codes), int(first[w] + length[w])) - 1, int(edits[w]))
+            (int(owner[w]), max(0, int(first[w])), min(len(text.codes), int(first[w] + length[w])) - 1, int(edits[w]))
             for w in np.flatnonzero(length)
         ]
 
 
-def _next(cost: np.ndarray, codes: np.ndarray, place: np.ndarray, pattern: np.ndarray) -> np.ndarray:
-    """Edits in the cells of a band, at `place` in the text, after one more character of the pattern."""
-    inside = (place >= 0) & (place < len(codes))
-    text = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], _WALL)
-    wall = text == _WALL
-    far, one = np.int16(_FAR), np.int16(1)
-    best = cost + np.where(wall, far, (text != pattern[:, None]).astype(np.int16))
-    best[:, :-1] = np.minimum(best[:, :-1], cost[:, 1:] + one)
-    passed = np.cumsum(np.where(wall, far, one), axis=1, dtype=np.int16)  # text passed over along the row
-    return np.minimum(np.minimum.accumulate(best - passed, axis=1) + passed, far)
+class Walled:
+    """A text with walls around it, read in bands of cells."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes
+        self.margin = COARSE + 2 * WINDOW  # wider than any band
+        edge = np.full(self.margin, _WALL, dtype=codes.dtype)
+        self.padded = np.concatenate([edge, codes, edge])
+        self.walls = np.flatnonzero(self.padded == _WALL)
+
+    def _at(self, place: np.ndarray) -> np.ndarray:
+        return np.clip(place + self.margin, 0, len(self.padded) - self.margin)
+
+    def near_wall(self, place: np.ndarray, size: int) -> np.ndarray:
+        """Whether there is a wall in the `size` characters from each place on."""
+        at = self._at(place)
+        return np.searchsorted(self.walls, at + size) > np.searchsorted(self.walls, at)
+
+    def rows(self, width: int) -> np.ndarray:
+        return np.lib.stride_tricks.sliding_window_view(self.padded, width)
+
+    def next(self, rows: np.ndarray, cost: np.ndarray, place: np.ndarray, pattern: np.ndarray, walled: bool) -> np.ndarray:
+        """Edits in the cells, the first of them at `place` in the text, after one more character of the pattern."""
+        text = rows[self._at(place)]
+        best = cost + (text != pattern[:, None])
+        if walled:
+            wall = text == _WALL
+            best += np.where(wall, np.int16(_FAR), np.int16(0))
+            step = np.where(wall, np.int16(_FAR), np.int16(1))
+            passed = np.cumsum(step, axis=1, dtype=np.int16)  # text passed over along the row
+        else:
+            passed = np.arange(1, cost.shape[1] + 1, dtype=np.int16)
+        np.minimum(best[:, :-1], cost[:, 1:] + np.int16(1), out=best[:, :-1])
+        best -= passed
+        np.minimum.accumulate(best, axis=1, out=best)
+        best += passed
+        return np.minimum(best, np.int16(_FAR), out=best)
 
 
 def build(texts: list[str], edit_rate: float = EDIT_RATE) -> Index:
