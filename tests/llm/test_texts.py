@@ -3,7 +3,9 @@
 import random
 import re
 import time
+from collections import Counter
 from hashlib import sha256
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -455,3 +457,59 @@ def test_a_text_scores_the_same_in_any_company(spark):
     assert alone == list(model.scores(texts)) == list(model.scores(texts[::-1]))[::-1]
     table = np.array([[0.5, 0.9, 0.5, 0.5, 0.1], [0.2, 0.2, 0.2, 0.2, 0.2]], dtype=np.float32)
     assert neighbours.nearest(table, 3).tolist() == [[0, 1, 2], [0, 1, 2]]
+
+
+def plain_grams(text):
+    """n-grams of 2 to 4 characters: letters, with a border of the word at either end."""
+    line = "".join(c if c.isalpha() else "\0" for c in f" {text.lower()}   ")
+    for size in (2, 3, 4):
+        for at in range(len(line) - 3):
+            gram = line[at : at + size]
+            if all(c != "\0" for c in gram[1:-1]) if size > 2 else gram != "\0\0":
+                yield gram
+
+
+def plain_languages(rows):
+    """(language, share of all hits) of every text by dictionaries of n-grams, without a filter."""
+    counts = {}
+    for lang, text in {(r["lang"], r["text"]) for r in rows if r["lang"] and r["text"] is not None and not held(r["doc_id"])}:
+        counts.setdefault(lang, Counter()).update(plain_grams(text))
+    profiles = {}
+    for lang, found in counts.items():
+        if len(found) > language.PROFILE:  # equally frequent ones at the border are taken by hash
+            least = sorted(found.values(), reverse=True)[language.PROFILE - 1]
+            found = {g for g, n in found.items() if n > least}
+        profiles[lang] = set(found)
+    for r in rows:
+        own = Counter(plain_grams(r["text"] or ""))
+        hits = {lang: sum(n for g, n in own.items() if g in profile) for lang, profile in profiles.items()}
+        total = sum(hits.values())
+        best = min(hits, key=lambda lang: (-hits[lang], lang))
+        yield r["doc_id"], (best, hits[best] / total if total else 0.0) if own else ("und", 0.0), hits, sum(own.values())
+
+
+def held(doc_id):
+    return crc32(str(doc_id).encode()) % 5 == 0
+
+
+def test_languages_against_dictionaries(spark):
+    """The filter's counts, freed from false positives, decide as exact counts do."""
+    docs = common.table(spark, SMALL, "documents")
+    got = {r["doc_id"]: r for r in language.language_list(docs).collect()}
+    close = 0
+    for doc, (lang, score), hits, grams in plain_languages(docs.collect()):
+        row = got[doc]
+        assert row["held_out"] == held(doc)
+        first, second = sorted(hits.values(), reverse=True)[:2]
+        if grams and first - second <= 0.03 * grams:
+            close += 1
+            continue
+        assert row["lang_pred"] == lang and abs(row["score"] - score) < 0.05, doc
+    assert close <= 5 and len(got) == docs.count()
+
+
+def test_equal_languages_go_by_name(spark):
+    rows = [(1, "one two three", "xx"), (2, "one two three", "aa"), (3, "vier fuenf sechs", "mm")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(docs, language.fit(docs)).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {1: "aa", 2: "aa", 3: "mm"}
