@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import codes, geo, text, times
 from ..functions.fixed_values import OVERLAP_BOX
-from ..operators import filters, merges, regions, spatial
+from ..operators import filters, merges, name_index, regions, spatial
 from ..schemas import KEYS, STATUS_COLUMNS
+from ..session import workspace
 from .bindings import Bindings
 from .registry import query
 
@@ -282,6 +283,14 @@ def prefix_join_counts(b):
     return regions.available_in_box(in_box, b["fx_charger"])
 
 
+@query("select statid, chgerid, statnm from {fx_charger} where statnm like '%HOUSE%07%'")
+def search_station_index(b):
+    """The same search through posting lists of the names."""
+    index = name_index.NameIndex(b.spark, workspace(b.spark, "names"))
+    index.write(b["fx_charger"], "statnm")
+    return index.rows(b["fx_charger"], "statnm", "HOUSE%07").select("statid", "chgerid", "statnm")
+
+
 GEOCODED = """
     select statid, coalesce(bcode, '0') as addcd from (
         select s.statid, r.bcode, row_number() over (
