@@ -190,13 +190,43 @@ def test_longest_matches_against_all_pairs(seed):
 
     want = [max((shared(a, b) for j, b in enumerate(suffixes) if j != i), default=0) for i, a in enumerate(suffixes)]
     ends = np.cumsum([len(t) for t in texts])
-    assert repeats.longest_matches(np.concatenate(texts), ends).tolist() == want
-
-
-def test_transform_has_a_sample_at_every_run_end():
-    text = np.frombuffer(b"banana$bananas" * 3, np.uint8)
-    place, shared = repeats.run_samples(text, np.array([len(text)]))
-    assert len(place) < 2 * len(text) and shared.max() == 28
+    assert repeats.longest_matches(repeats.run_index(np.concatenate(texts), ends)).tolist() == want
+
+
+@pytest.mark.parametrize("data", [[b"banana$bananas" * 3], [b"abracadabra", b"abra", b"a", b"abracadabra"], [b"z" * 50]])
+def test_transform_is_stored_in_runs(data):
+    text, ends = np.frombuffer(b"".join(data), np.uint8), np.cumsum([len(d) for d in data])
+    index = repeats.run_index(text, ends)
+    own = [(d[i:], n, i) for n, d in enumerate(data) for i in range(len(d))]  # ties by text
+    rows = [(data[n][i - 1] if i else -1, int(ends[n]) - len(data[n]) + i) for _, n, i in sorted(own)]
+    assert np.repeat(index.heads, index.lengths).tolist() == [head for head, _ in rows]
+    starts = np.cumsum(index.lengths) - index.lengths
+    assert index.first.tolist() == [rows[i][1] for i in starts]
+    assert index.last.tolist() == [rows[i][1] for i in starts + index.lengths - 1]
+    assert len(index.shared) == len(index.heads) - 1
+
+
+def test_runs_follow_what_differs():
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 123, 2_000).astype(np.uint8)
+    copies = [base.copy() for _ in range(30)]
+    for i, copy in enumerate(copies):
+        copy[40 * i + 7] = 65
+    index = repeats.run_index(np.concatenate(copies), np.cumsum([len(c) for c in copies]))
+    assert index.size == 60_000 and len(index.heads) < 3_000
+
+
+def test_every_repeat_goes_through_an_index(spark, monkeypatch):
+    """Without the index nothing is found but copies of whole texts and third places."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = word(60)
+    texts = [passage + word(50), passage + word(50), word(45) + passage]
+    assert [r["n_spans"] for r in repeats.repeat_list(odd.of(spark, texts), 40).collect()] == [1, 1, 1]
+    nothing = spark.createDataFrame([], "digest binary, start long, end long")
+    monkeypatch.setattr(repeats, "indexed", lambda slices, least: nothing)
+    rows = repeats.repeat_list(odd.of(spark, texts[:2]), 40).collect()
+    assert [r["n_spans"] for r in rows] == [0, 0]
 
 
 def test_equal_strings_have_equal_anchors():

@@ -5,22 +5,22 @@ A byte is removed if some string of `least` bytes that covers it also starts els
 Candidates. In every string of `least` bytes the gram (a quarter as long) of the least hash is
 an anchor, so equal strings hold equal anchors at equal places. An anchor's key is
 the hash of its gram; around it lies its snippet, all bytes that a string with this
-anchor can reach. Counts per key, combined before the shuffle, leave three kinds:
-
-* keys that occur once: no repeat goes through them;
-* keys whose snippets are all equal, and snippets that occur twice: removed as a whole;
-* different snippets around one gram: their texts meet and are indexed.
+anchor can reach. No repeat goes through a key that occurs once; counts per key, combined before
+the shuffle, take these out. Of each other key all different snippets are indexed, and those that
+occur again a second time, from another place. Further copies of a snippet, which no index
+needs, are found by the 128-bit digest of their bytes and go as the first two do.
 
 Index. A task takes the snippets of some keys, at most a bounded number of bytes, joins
 those that overlap in their text, and builds the Burrows-Wheeler transform of all of them
-in runs. At the ends of runs it samples the suffix and its match with the neighbour across
-the border. Between samples a match shortens by one per byte, so the longest
+in runs: heads, lengths, and at the ends of runs the suffix and its match with the
+neighbour across the border. This is what is kept; it is as long as the runs are many, not as the
+text. Between samples a match shortens by one per byte, so the longest
 match of every position with any other is streamed from the samples in text order.
 Places where it reaches `least` are marked.
 
 All snippets of a key go to one index. Keys that share texts are put together, so that
 snippets overlap and each byte is indexed about once. Keys with very many
-different snippets are split by more context, left and right of the gram, until the parts
+snippets are split by more context, left and right of the gram, until the parts
 are small or the string itself is the key.
 """
 
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from .common import map_arrow, pieces, settle
 LEAST = 400
 #: Bytes of a gram, for each `least`.
 GRAMS = 4
-#: Different snippets of one key that are indexed together; more are split first.
+#: Snippets of one key that are indexed together; more are split first.
 GROUP_ROWS = 2_000
 #: Ranges that a full key's range is cut into at a time.
 SPLITS = 4
@@ -138,19 +139,39 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         size *= 63 // width
 
 
-def run_samples(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the suffix at each end of a run of the transform: its place, and the bytes it shares
-    with the neighbour across the border. Runs end at the beginning of a text as well."""
+class RunIndex(NamedTuple):
+    """The transform of some texts in runs. Runs end at the beginning of a text as well."""
+
+    heads: np.ndarray  # byte of each run, -1 for the beginning of a text
+    lengths: np.ndarray
+    first: np.ndarray  # place of the suffix at the first and at the last row of each run
+    last: np.ndarray
+    shared: np.ndarray  # bytes that the last suffix of a run shares with the first of the next
+    size: int  # bytes indexed
+
+    def samples(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the suffixes on both sides of the borders, and the bytes shared across."""
+        return np.concatenate([self.last[:-1], self.first[1:]]), np.concatenate([self.shared] * 2)
+
+
+def run_index(text: np.ndarray, ends: np.ndarray) -> RunIndex:
+    """The index of texts that lie one after the other."""
     order = suffix_order(text, ends)
-    starts = np.concatenate([[0], ends[:-1]])
     head = np.zeros(len(text), dtype=bool)
-    head[starts] = True
-    before = np.where(head[order], -1, text[order - 1].astype(np.int64))  # the transform
-    border = np.flatnonzero((before[1:] != before[:-1]) | (before[1:] < 0))
-    one, two = order[border], order[border + 1]
-    owner_end = np.repeat(ends, np.diff(ends, prepend=0))
-    shared = _shared(text, one, two, np.minimum(owner_end[one] - one, owner_end[two] - two))
-    return np.concatenate([one, two]), np.concatenate([shared, shared])
+    head[np.concatenate([[0], ends[:-1]])] = True
+    before = np.where(head[order], -1, text[order - 1].astype(np.int16)).astype(np.int16)
+    starts = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (before[1:] < 0)]))
+    heads, lengths = before[starts], np.diff(starts, append=len(text))
+    first, last = order[starts], order[starts + lengths - 1]
+    del order, before, head
+    one, two = last[:-1], first[1:]
+    shared = _shared(text, one, two, np.minimum(_left(one, ends), _left(two, ends)))
+    return RunIndex(heads, lengths, first, last, shared, len(text))
+
+
+def _left(place: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Bytes from each place to the end of its text."""
+    return ends[np.searchsorted(ends, place, side="right")] - place
 
 
 def _shared(text: np.ndarray, one: np.ndarray, two: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -171,12 +192,12 @@ def _shared(text: np.ndarray, one: np.ndarray, two: np.ndarray, most: np.ndarray
     return out
 
 
-def longest_matches(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def longest_matches(index: RunIndex) -> np.ndarray:
     """For each place the longest match with any other place, streamed from the samples."""
-    place, shared = run_samples(text, ends)
-    reach = np.zeros(len(text), dtype=np.int64)
+    place, shared = index.samples()
+    reach = np.zeros(index.size, dtype=np.int64)
     np.maximum.at(reach, place, place + shared)
-    return np.maximum.accumulate(reach) - np.arange(len(text))
+    return np.maximum.accumulate(reach) - np.arange(index.size)
 
 
 def repeated_strings(slices: list[tuple], least: int) -> list[tuple]:
@@ -195,7 +216,7 @@ def repeated_strings(slices: list[tuple], least: int) -> list[tuple]:
         return []
     text = np.frombuffer(b"".join(s[2] for s in segments), dtype=np.uint8)
     ends = np.cumsum([len(s[2]) for s in segments])
-    at = np.flatnonzero(longest_matches(text, ends) >= least)
+    at = np.flatnonzero(longest_matches(run_index(text, ends)) >= least)
     if not len(at):
         return []
     owner = np.searchsorted(ends, at, side="right")
@@ -269,32 +290,28 @@ def _anchor_places(texts: list[bytes], least: int) -> tuple[np.ndarray, np.ndarr
 
 
 def occurrences(texts: DataFrame, least: int) -> DataFrame:
-    """key, snip (hash of the snippet), digest, pos and size of the text, of all anchors."""
+    """key, snip (128-bit digest of the snippet), digest, pos and size of the text, of all anchors."""
     before = least - least // GRAMS
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        from xxhash import xxh3_64_intdigest
+        from xxhash import xxh3_128_digest
 
         rows = _bytes(batch, "text")
         owner, place, keys = _anchor_places(rows, least)
-        snips = np.fromiter(
-            (
-                # with the place of the gram: two grams of a short text can have all of it around them
-                xxh3_64_intdigest(rows[i][max(0, p - before) : p + least], min(p, before))
-                for i, p in zip(owner.tolist(), place.tolist())
-            ),
-            np.uint64,
-            len(owner),
-        )
+        snips = [
+            # with the place of the gram: two grams of a short text can have all of it around them
+            xxh3_128_digest(rows[i][max(0, p - before) : p + least], min(p, before))
+            for i, p in zip(owner.tolist(), place.tolist())
+        ]
         digests = batch.column(batch.schema.get_field_index("digest")).take(pa.array(owner))
         sizes = np.array([len(t) for t in rows], dtype=np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array(snips.view(np.int64)), digests, pa.array(place), pa.array(sizes[owner])],
+            [pa.array(keys), pa.array(snips, pa.binary()), digests, pa.array(place), pa.array(sizes[owner])],
             names=["key", "snip", "digest", "pos", "size"],
         )
 
     return map_arrow(
-        texts.select("digest", "text"), run, "key long, snip long, digest binary, pos long, size long", limit=STRIDE
+        texts.select("digest", "text"), run, "key long, snip binary, digest binary, pos long, size long", limit=STRIDE
     )
 
 
@@ -311,51 +328,52 @@ def repeated_runs(texts: DataFrame, least: int) -> DataFrame:
     """digest, start, end of runs of repeated bytes in the different texts; they may overlap."""
     copied = texts.filter("copies > 1").select("digest", F.lit(0).cast("bigint").alias("start"), F.col("size").alias("end"))
     found = settle(occurrences(texts, least), "anchors")
-    kinds = found.groupBy("key").agg(
-        F.count("*").alias("n"), (F.min("snip") == F.max("snip")).alias("single")
-    )
-    kinds = settle(kinds.filter("n > 1").select("key", "single"), "keys")
+    again = settle(found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "keys")
     # One plan at every size: a broadcast of few keys would only hide what this shuffle costs.
-    repeated = settle(found.join(kinds.hint("merge"), "key"), "repeated")
-    single = repeated.filter("single").select("digest", *_around(least))
-    several = repeated.filter("not single")
-    place = F.min(F.struct("digest", "pos", "size")).alias("first")
-    snips = settle(several.groupBy("key", "snip").agg(F.count("*").alias("n"), place), "snippets")
-    twice = snips.filter("n > 1").select("key", "snip")
-    whole = several.join(twice, ["key", "snip"]).select("digest", *_around(least))
-    firsts = snips.select("key", "first.*")
-    keys = _keys(firsts)
+    repeated = settle(found.join(again.hint("merge"), "key"), "repeated")
+    place = F.struct("digest", "pos", "size")
+    snips = repeated.groupBy("key", "snip").agg(
+        F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("second")
+    )
+    snips = settle(snips, "snippets")
+    more = snips.filter("n > 2").select("key", "snip")
+    further = join_apart(repeated, more, ["key", "snip"], "left_semi").select("digest", *_around(least))
+    firsts = snips.select("key", "n", "first.*")
+    pairs = firsts.unionAll(snips.filter("n > 1").select("key", "n", "second.*"))
+    keys = _keys(pairs)
     full = keys.filter(F.col("rows") > GROUP_ROWS).select("key")
-    slices = _together(firsts, keys.filter(F.col("rows") <= GROUP_ROWS), texts, least)
-    runs = copied.unionAll(single).unionAll(whole)
+    slices = _together(pairs.drop("n"), keys.filter(F.col("rows") <= GROUP_ROWS), texts, least)
+    runs = copied.unionAll(further)
     if not full.isEmpty():
-        split, equal = _split(firsts.join(full, "key", "left_semi"), texts, least)
-        slices, runs = slices.unionAll(split), runs.unionAll(equal)
+        # a split starts from one of each snippet, so what is there twice goes as a whole
+        pair = pairs.filter("n = 2").join(full, "key", "left_semi").select("digest", *_around(least))
+        split, equal = _split(firsts.drop("n").join(full, "key", "left_semi"), texts, least)
+        slices, runs = slices.unionAll(split), runs.unionAll(pair).unionAll(equal)
     return runs.unionAll(indexed(slices, least))
 
 
-def _keys(firsts: DataFrame) -> DataFrame:
-    """key, rows (different snippets), and a mark that keys of the same copies share.
+def _keys(snippets: DataFrame) -> DataFrame:
+    """key, rows (snippets to be indexed), and a mark that keys of the same copies share.
 
     The mark follows from the least key of the texts that a key occurs in and from its least
     place there. The window is over the anchors of one text.
     """
     other = F.min("key").over(Window.partitionBy("digest"))
-    of_key = firsts.withColumn("other", other).groupBy("key").agg(
+    of_key = snippets.withColumn("other", other).groupBy("key").agg(
         F.count("*").alias("rows"), F.min("other").alias("other"), F.min("pos").alias("at")
     )
     mark = F.xxhash64("other", F.floor(F.col("at") / SPAN))
     return settle(of_key.select("key", "rows", mark.alias("mark")), "marks")
 
 
-def _together(firsts: DataFrame, keys: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+def _together(snippets: DataFrame, keys: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """group, digest, start, data: what is to be indexed of each text, by groups of keys.
 
     Keys with one mark are a group; one with many rows is cut by key.
     """
     parts = F.ceil(F.sum("rows").over(Window.partitionBy("mark")) / GROUP_ROWS)
     group = F.xxhash64("mark", F.pmod(F.xxhash64("key"), parts)).alias("group")
-    wanted = firsts.join(keys.select("key", group), "key")
+    wanted = snippets.join(keys.select("key", group), "key")
     return _slices(wanted.select("digest", F.struct("group", *_around(least)).alias("want")), texts)
 
 
