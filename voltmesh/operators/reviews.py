@@ -92,7 +92,7 @@ def review_page(requests: DataFrame, table: DataFrame) -> DataFrame:
     return _marked(requests, with_reply_counts(page, table, few=True).select(*SHOWN), ["stid"])
 
 
-def _after(
+def numbers_after(
     cursors: DataFrame, rows: DataFrame, keys: Sequence[str], newest_first: bool, limit: int
 ) -> DataFrame:
     """(keys, last, pos, no): the next `limit` numbers behind each cursor (keys, last).
@@ -129,7 +129,7 @@ def _after(
 
 def keyset_page(cursors: DataFrame, table: DataFrame, limit: int = PAGE) -> DataFrame:
     """Next page for each cursor (stid, last): the newest reviews with a lower number."""
-    return _after(cursors, at_level(table, REVIEW), ["stid"], True, limit)
+    return numbers_after(cursors, at_level(table, REVIEW), ["stid"], True, limit)
 
 
 def next_review_page(requests: DataFrame, table: DataFrame, limit: int = PAGE) -> DataFrame:
@@ -155,7 +155,7 @@ def next_reply_page(requests: DataFrame, table: DataFrame, limit: int = PAGE) ->
     """The replies after each request's cursor (snsid, appid, stid, reviewid, last), oldest first."""
     keys = ["stid", "reviewid"]
     replies = _asked(at_level(table, REPLY), requests, keys)
-    page = _after(requests.select(*keys, "last").distinct(), replies, keys, False, limit)
+    page = numbers_after(requests.select(*keys, "last").distinct(), replies, keys, False, limit)
     shown = page.join(replies.select(*REPLIES_SHOWN), [*keys, "no"])
     return _marked(requests.select("snsid", "appid", *keys, "last"), shown, [*keys, "last"])
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import ids, lists, times
 from ..functions.fixed_values import REMOVED_NICKNAME, REMOVED_TEXT
-from ..operators import filters, reviews, user_lists, users
+from ..operators import filters, page_marks, reviews, user_lists, users
 from ..operators.skew import join_apart
 from ..session import workspace
 from .bindings import Bindings
-from .registry import query
+from .registry import SQL, query
 
 REVIEWS = "(select * from {fx_review} where level = '1')"
 REPLIES = "(select * from {fx_review} where level = '2')"
@@ -255,6 +255,41 @@ def next_reply_page(b):
     return reviews.next_reply_page(last, b["fx_review"])
 
 
+def marked(b: Bindings, level: str, keys: list[str]) -> page_marks.PageMarks:
+    """Two thirds of a level's numbers written as one run, the others appended among them."""
+    rows = reviews.at_level(b["fx_review"], level)
+    marks = page_marks.PageMarks(b.spark, workspace(b.spark, "pages"), rows.schema, keys)
+    late = F.col("no") % 3 == 0
+    marks.append(rows.filter(~late))
+    marks.append(rows.filter(late))
+    return marks
+
+
+@query(SQL["keyset_page"])
+def marked_review_page(b):
+    """keyset_page from the stretches that the marks name."""
+    replies = reviews.at_level(b["fx_review"], reviews.REPLY)
+    cursors = replies.select("stid", F.col("no").alias("last"))
+    page = marked(b, reviews.REVIEW, ["stid"]).page(cursors)
+    return page.select("stid", "last", "no", F.col("pos").cast("int").alias("pos"))
+
+
+@query(
+    f"""with asked as (select stid, reviewid, min(no) as last from {{fx_review}} group by stid, reviewid)
+    select stid, reviewid, last, no, replyid, reply, cast(pos as int) as pos from (
+        select a.*, r.no, r.replyid, r.reply,
+            row_number() over (partition by a.stid, a.reviewid order by r.no) as pos
+        from asked a join {REPLIES} r on r.stid = a.stid and r.reviewid = a.reviewid and r.no > a.last
+    ) as p where pos <= 10"""
+)
+def marked_reply_page(b):
+    """Replies behind the first entry under each review, oldest first, by marks."""
+    keys = ["stid", "reviewid"]
+    first = b["fx_review"].groupBy(*keys).agg(F.min("no").alias("last"))
+    page = marked(b, reviews.REPLY, keys).page(first, newest_first=False)
+    return page.select(*keys, "last", "no", "replyid", "reply", F.col("pos").cast("int").alias("pos"))
+
+
 @query(
     f"""select stid, no, cast((n - 1) // 10 + 1 as bigint) as page, cast((n - 1) % 10 + 1 as bigint) as pos
     from (select stid, no, row_number() over (partition by stid order by no desc) as n from {REVIEWS}) as r"""
