@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import codes, geo, text, times
 from ..functions.fixed_values import OVERLAP_BOX
-from ..operators import filters, merges, name_index, regions, spatial
+from ..operators import curve, filters, merges, name_index, regions, spatial
 from ..schemas import KEYS, STATUS_COLUMNS
 from ..session import workspace
+from ..sinks.tables import VersionedTable
 from .bindings import Bindings
-from .registry import query
+from .registry import SQL, query
 
 # A map section and a point on it.
 BOX = (37.606001, 35.307641, 128.700499, 126.406166)
@@ -35,6 +36,14 @@ def bbox_stations(b):
     return filters.stations_in_box(b["fx_charger"], *BOX)
 
 
+@query(SQL["bbox_stations"])
+def bbox_stations_by_curve(b):
+    """The same box on a snapshot published along the curve."""
+    table = VersionedTable(b.spark, workspace(b.spark, "curve"))
+    table.publish(curve.by_curve(b["fx_charger"]))
+    return curve.in_box(table.read(), *BOX).select("statid", "lat", "lng", "stat", "chgertype")
+
+
 @query(f"select bcode, arrt, lat, lng from {{fx_region}} where {IN_BOX} and level = 3")
 def bbox_regions(b):
     return filters.regions_in_box(b["fx_region"], *BOX, 3)
@@ -87,6 +96,14 @@ def nearest_station_search(b):
     return spatial.nearest_station(b["fx_charger"], "HOUSE", *POINT)
 
 
+@query(NEAREST)
+def nearest_station_by_index(b):
+    """The stations that the name index finds, ranked by distance."""
+    index = name_index.NameIndex(b.spark, workspace(b.spark, "names"))
+    index.write(b["fx_charger"], "statnm")
+    return spatial.nearest_station(index.rows(b["fx_charger"], "statnm", "HOUSE"), "HOUSE", *POINT)
+
+
 @query(
     """select statid, chgerid, statnm from (
         select *, row_number() over (partition by statid order by chgerid) as rn
