@@ -10,6 +10,7 @@ from ..operators import curve, filters, merges, name_index, regions, spatial
 from ..schemas import KEYS, STATUS_COLUMNS
 from ..session import workspace
 from ..sinks.tables import VersionedTable
+from ..streaming import status
 from .bindings import Bindings
 from .registry import SQL, query
 
@@ -181,6 +182,19 @@ def merge_status(b):
     return merges.merge_status(b["fx_base"], b["fx_delta"])
 
 
+@query(SQL["merge_status"])
+def merge_status_in_buckets(b):
+    """A third of the delta compacted into a snapshot in buckets, the rest read with it from the log."""
+    store = status.StatusStore(b.spark, workspace(b.spark, "buckets"), parts=4, buckets=8, small_log=0)
+    store.tables[status.SNAPSHOT].publish(b["fx_base"])
+    store.ensure_tables(0.0)
+    third = F.pmod(F.xxhash64("statid"), F.lit(3)) == 0
+    store.merge_batch(b["fx_delta"].filter(third), 0)
+    store.compact()
+    store.merge_batch(b["fx_delta"].filter(~third), 1)
+    return store.read().select(*KEYS, *STATUS_COLUMNS)
+
+
 @query(upserted("{fx_buffer}", "{fx_delta}"))
 def buffer_upsert(b):
     return merges.upsert_status(b["fx_buffer"], b["fx_delta"])

@@ -7,13 +7,15 @@ went by: of two writers that publish at once, or of one that publishes what it r
 before another published, the second fails, and nothing that was published is lost.
 
 A table may be kept in parts by a hash of its key. A version then lists the folder of
-each part, and a new one writes the parts that changed and takes over the others.
+each part, and a new one writes the parts that changed and takes over the others. The files of a
+part may be buckets by key as well: `aligned_parts` then reads them so that a join on the key takes the
+rows where they lie, however long the other side is.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -32,11 +34,23 @@ _COLUMNS = -1
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, parts: int = 1, key: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        parts: int = 1,
+        key: str | None = None,
+        buckets: int = 0,
+        by: Sequence[str] = (),
+    ):
+        """`buckets` cuts every part by a hash of the columns `by`, in the same way; 0 for none. It is
+        the number of tasks that a join with an aligned part has."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.parts = parts
         self.key = key
+        self.buckets = buckets
+        self.by = list(by)
         self.ledger = Ledger(spark, f"{self.root}/versions")
         self._gone: set[str] = set()
 
@@ -74,13 +88,15 @@ class VersionedTable:
         max_rows_per_file: int = 0,
         only: Iterable[int] | None = None,
         read_from: int | None = None,
+        aligned: bool = False,
     ) -> int:
         """Write the next version and drop those before the last KEEP_VERSIONS.
 
         `upto` is the last log entry it holds; `only` names the parts that the rows belong to,
         the others stay as they are. `read_from` is the version that the rows follow from: if it is no
         longer the newest, nothing is published. Rows that are read from the table itself are
-        held to that without it; others replace whatever is there.
+        held to that without it; others replace whatever is there. `aligned` says that the rows come
+        from aligned parts and lie by bucket already.
         """
         before = self._version()
         newest = before[0] if before else 0
@@ -90,7 +106,7 @@ class VersionedTable:
         stale = self._sources(rows) - {f.split("/")[1] for f in held.values()}
         if stale:
             raise PublishConflict(f"{self.root}: rows of a version before {newest}")
-        folder = f"data/{uuid.uuid4().hex}"
+        folder = f"data/{uuid.uuid4().hex}{self._suffix()}"
         found = dict(held) if only is not None else {}
         for part in only or ():
             found.pop(part, None)
@@ -102,8 +118,16 @@ class VersionedTable:
             found[0] = folder
         else:
             cut = rows.withColumn("_part", self.part_of())
+            if self.buckets and not aligned:
+                cut = cut.repartition(self.buckets, *self.by)
             writer = cut.write.partitionBy("_part").option("maxRecordsPerFile", max_rows_per_file)
-            writer.parquet(f"{self.root}/{folder}")
+            if self.buckets:
+                name = f"voltmesh_{uuid.uuid4().hex}"
+                to = writer.bucketBy(self.buckets, *self.by).option("path", f"{self.root}/{folder}")
+                to.saveAsTable(name)
+                self.spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
+            else:
+                writer.parquet(f"{self.root}/{folder}")
             files, target = file_system(self.spark, f"{self.root}/{folder}")
             names = [f.getPath().getName() for f in files.listStatus(target)]
             written = [int(n.split("=")[1]) for n in names if n.startswith("_part=")]
@@ -140,6 +164,36 @@ class VersionedTable:
         table = self.spark.read.schema(layout).parquet(*taken)
         return table.select(*columns) if columns else table
 
+    def _suffix(self) -> str:
+        """What the folders of writes in buckets end with, so that others are told apart."""
+        return f"-b{self.buckets}" if self.buckets and self.parts > 1 else ""
+
+    def aligned_parts(self, only: Iterable[int] | None = None, version: int | None = None) -> list[tuple[int, DataFrame]]:
+        """The parts of a version, each laid out by its buckets; none if some were not written in them.
+
+        Join each part with its own rows of the other side: a union of the parts would hide their layout.
+        """
+        folders = self.folders(version)
+        wanted = None if only is None else set(only)
+        taken = {p: f for p, f in folders.items() if p != _COLUMNS and (wanted is None or p in wanted)}
+        suffix = self._suffix()
+        if not suffix or not all(f.split("/")[1].endswith(suffix) for f in taken.values()):
+            return []
+        layout = self.read(version=version, only=()).schema
+        quoted = lambda name: "`" + name.replace("`", "``") + "`"
+        kinds = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in layout.fields)
+        by = ", ".join(quoted(name) for name in self.by)
+        parts = []
+        for part, folder in sorted(taken.items()):
+            name = f"voltmesh_{uuid.uuid4().hex}"
+            place = f"{self.root}/{folder}".replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({kinds}) USING parquet CLUSTERED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{place}'"
+            )
+            parts.append((part, self.spark.table(name)))
+            self.spark.sql(f"DROP TABLE {name}")
+        return parts
+
     def ensure(self, rows: DataFrame) -> bool:
         """Publish the rows if the table does not exist yet."""
         if self.last() is not None:

@@ -46,13 +46,20 @@ class StatusStore:
         root: str,
         parts: int = PARTS,
         layout: Callable[[DataFrame], DataFrame] | None = None,
+        buckets: int = 0,
+        small_log: int | None = None,
     ):
-        """`layout` orders the rows of a snapshot before they are written, by place for example."""
+        """`layout` orders the rows of a snapshot before they are written, by place for example.
+
+        With `buckets`, each part of the snapshot is cut by charger too, and logs of any size are merged
+        without moving its rows; a snapshot in buckets keeps no layout.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self.layout = layout or (lambda rows: rows)
+        self.small_log = small_log
         self.tables = {
-            SNAPSHOT: VersionedTable(spark, f"{self.root}/{SNAPSHOT}", parts, "statid"),
+            SNAPSHOT: VersionedTable(spark, f"{self.root}/{SNAPSHOT}", parts, "statid", buckets, KEYS),
             BUFFER: VersionedTable(spark, f"{self.root}/{BUFFER}"),
         }
         self.log = DeltaLog(spark, f"{self.root}/log", STATUS)
@@ -92,14 +99,27 @@ class StatusStore:
         ck, _, mark = self._control()
         return mark if ck == 0 else None
 
+    def _small(self, after: int, upto: int | None) -> bool:
+        """Whether the deltas may go to every task, `small_log` bytes at most."""
+        return self.log.size(after, upto) <= (SMALL_LOG if self.small_log is None else self.small_log)
+
     def read(self, name: str = SNAPSHOT) -> DataFrame:
         table = self.tables[name]
         limit = self._mark() if name == SNAPSHOT else None
         version, done = table.last()
         log = self.log.read(done, limit)
-        small = self.log.size(done, limit) <= SMALL_LOG
+        small = self._small(done, limit)
+        parts = [] if small else table.aligned_parts(version=version)
+        if parts:
+            return self._fold_parts(parts, log)
         return fold_updates(table.read(version=version), log, "seq", upsert=name == BUFFER, small=small)
 
+    def _fold_parts(self, parts: list[tuple[int, DataFrame]], log: DataFrame) -> DataFrame:
+        """The log folded into aligned parts, each with its own rows of the log: only the log is shuffled."""
+        own = self.tables[SNAPSHOT].part_of()
+        folded = [fold_updates(rows, log.filter(own == part), "seq", upsert=False) for part, rows in parts]
+        return reduce(DataFrame.unionAll, folded)
+
     def merge_batch(self, rows: DataFrame, batch: int, run: str = "", at: float | None = None) -> None:
         """Log the newest row of each charger and the time of the run.
 
@@ -142,15 +162,20 @@ class StatusStore:
         if name == SNAPSHOT and self._mark() is not None:
             return
         version, done = table.last()
-        log, small = self.log.read(done, upto), self.log.size(done, upto) <= SMALL_LOG
+        log, small = self.log.read(done, upto), self._small(done, upto)
         if name == SNAPSHOT:
             touched = [r[0] for r in log.select(table.part_of()).distinct().collect()]
-            rows = table.read(only=touched, version=version)
-            folded = fold_updates(rows, log, "seq", upsert=False, small=small)
+            parts = table.aligned_parts(touched, version)
+            if parts:
+                folded = self._fold_parts(parts, log)
+            else:
+                rows = table.read(only=touched, version=version)
+                folded = fold_updates(rows, log, "seq", upsert=False, small=small)
             counted, kept = None, self.counts.last()
             if kept is not None and kept[1] == version:
                 counted = self.available_codes(upto)
-            new = table.publish(self.layout(folded), upto, only=touched, read_from=version)
+            rows = folded if parts else self.layout(folded)
+            new = table.publish(rows, upto, only=touched, read_from=version, aligned=bool(parts))
             if counted is not None:
                 with contextlib.suppress(PublishConflict):
                     self.counts.publish(counted, new, read_from=kept[0])
@@ -174,7 +199,7 @@ class StatusStore:
             with contextlib.suppress(PublishConflict):  # another reader counted as well
                 self.counts.publish(available_by_code(everyone), version, read_from=kept[0] if kept else 0)
         upto = self._mark() if upto is None else upto
-        log, small = self.log.read(done, upto), self.log.size(done, upto) <= SMALL_LOG
+        log, small = self.log.read(done, upto), self._small(done, upto)
         touched = [r[0] for r in log.select(table.part_of()).distinct().collect()]
         counts = self.counts.read()
         if not touched:
