@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from tests.test_lists import SCHEMA, commands
 from tests.test_merges import as_dict, random_rows, table
 from voltmesh.operators import merges, user_lists
@@ -29,6 +30,24 @@ def test_feed_page(spark, tmp_path):
     assert older[1]["powertype"] == "급속" and "location" not in older[1].asDict()
 
 
+@pytest.mark.parametrize("schema", [CHARGER_FEED, CHARGER_FEED_V1])
+def test_landed_pages_are_smaller_than_their_values(spark, tmp_path, schema):
+    text = lambda f: F.concat(F.lit("P"), F.col("id") % 5).alias(f.name)
+    value = lambda f: text(f) if f.dataType.typeName() == "string" else F.lit(None).cast(f.dataType).alias(f.name)
+    rows = spark.range(3000).select(
+        *[F.col("id").cast(f.dataType).alias(f.name) if f.name in ("statid", "chgerid") else value(f) for f in schema.fields]
+    )
+    feeds.write_pages(rows.coalesce(2), str(tmp_path / "pages"))
+    landed = sum(p.stat().st_size for p in (tmp_path / "pages").glob("part-*"))
+    assert landed < sum(len(str(v)) for r in rows.collect() for v in r if v is not None)
+    read = feeds.read_pages(spark, str(tmp_path / "pages"), schema)
+    assert sorted(map(tuple, read.collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    streamed = feeds.stream_pages(spark, str(tmp_path / "pages"), schema)
+    query = streamed.writeStream.format("memory").queryName("landed").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("landed").count() == 3000
+
+
 def test_missing_pages(spark):
     totals = spark.createDataFrame([(30000,)], "total bigint")
     landed = spark.createDataFrame([(1,), (3,)], "page bigint")
