@@ -284,12 +284,12 @@ AFTER = f"""select * replace (case when output % 5 = 1 then {SECOND_STAT} else s
 )
 def available_by_region_after(b):
     """Counts of a snapshot, moved by two waves: the first is published, the second still in the log."""
-    columns = [*KEYS, "addcd", *STATUS_COLUMNS]
+    columns = [*KEYS, "addcd", *STATUS_COLUMNS, "output"]
     store = status.StatusStore(b.spark, workspace(b.spark, "counted"))
-    store.tables[status.SNAPSHOT].publish(b["fx_charger"].select(*columns))
+    published = store.tables[status.SNAPSHOT].publish(b["fx_charger"].select(*columns))
     store.ensure_tables(0.0)
     store.available_codes()
-    base = b["fx_charger"].select(*columns, "output")
+    base = store.tables[status.SNAPSHOT].read(version=published)  # its files stay through one compaction
     first = base.filter("output % 3 = 0").withColumn("stat", F.expr(FIRST_STAT))
     store.merge_batch(first.select(*STATUS.names), 0)
     store.compact()
