@@ -144,3 +144,17 @@ def test_a_minute_does_not_move_the_snapshot(spark, tmp_path, monkeypatch):
         assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_waves_are_made_from_the_published_snapshot(spark, folder, monkeypatch):
+    """The chargers come from the tables once, for the snapshot, not again for each wave."""
+    read, merge = [], status.StatusStore.merge_batch
+
+    def watched(self, rows, *args):
+        read.append(rows.inputFiles())
+        return merge(self, rows, *args)
+
+    monkeypatch.setattr(status.StatusStore, "merge_batch", watched)
+    all_queries()["available_by_region_after"](spark, folder)
+    assert len(read) == 2 and all(read)
+    assert all("/snapshot/data/" in file for files in read for file in files)
