@@ -171,12 +171,14 @@ class StatusStore:
             else:
                 rows = table.read(only=touched, version=version)
                 folded = fold_updates(rows, log, "seq", upsert=False, small=small)
-            counted, kept = None, self.counts.last()
-            if kept is not None and kept[1] == version:
-                counted = self.available_codes(upto)
+            kept = self.counts.last()
             rows = folded if parts else self.layout(folded)
             new = table.publish(rows, upto, only=touched, read_from=version, aligned=bool(parts))
-            if counted is not None:
+            if kept is not None and kept[1] == version:
+                # What was folded is not folded again: the touched parts are counted as they were and as they are.
+                was, now = (available_by_code(table.read("addcd", "stat", only=touched, version=v)) for v in (version, new))
+                changes = now.unionByName(was.withColumn("n", -F.col("n")))
+                counted = shifted_counts(self.counts.read(version=kept[0]), changes)
                 with contextlib.suppress(PublishConflict):
                     self.counts.publish(counted, new, read_from=kept[0])
             self.log.prune(done)  # readers of the version before may still fold the rest
